@@ -87,13 +87,15 @@ def decode(records: DataFrame, options: DecodeOptions) -> DataFrame:
         "case when _codec is null then concat('no decoder registered for topic \"', topic, '\"')"
         " else coalesce(_problem, get(filter(_events, e -> e.error is not null), 0).error) end as detail",
     )
-    return df.selectExpr(
-        *kept,
-        "case when detail is null then null when _codec is null then 'unknown_topic' else 'decode' end as error",
-        "detail",
-        "case when detail is null then _cmd.operation end as op",
-        "case when detail is null then _events end as events",
+    # A generator is a fence: a filter on the verdict stays above it, where pushing
+    # it down would copy the whole rule set into the predicate.
+    verdict = (
+        "named_struct('error', case when detail is null then null when _codec is null"
+        " then 'unknown_topic' else 'decode' end, 'detail', detail,"
+        " 'op', case when detail is null then _cmd.operation end,"
+        " 'events', case when detail is null then _events end)"
     )
+    return df.selectExpr(*kept, f"inline_outer(array({verdict}))")
 
 
 def _routed(routes: dict[str, str]) -> str:
@@ -334,8 +336,6 @@ def _checked_events(df: DataFrame, registry: Registry) -> DataFrame:
 def explode_events(decoded: DataFrame) -> DataFrame:
     """One row per event of every usable record, the record's position kept."""
     return (
-        decoded.filter("error is null")
-        .selectExpr("topic", "partition", "offset", "op", "events")
-        .selectExpr("topic", "partition", "offset", "op", "inline(events)")
-        .drop("error")
+        decoded.selectExpr("topic", "partition", "offset", "op", "inline_outer(events)")
+        .filter("idx is not null").drop("error")
     )
