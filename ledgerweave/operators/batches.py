@@ -21,14 +21,16 @@ def op_runs(commands: DataFrame) -> DataFrame:
 
 
 def _greedy(limit: int):
+    """Fold commands in order: a change of kind or a full batch starts the next one."""
+
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("offset")
-        batch, filled, out = 0, 0, []
-        for n in pdf["n_events"]:
-            if filled and filled + n > limit:
+        batch, filled, kind, out = 0, 0, None, []
+        for op, n in zip(pdf["op"], pdf["n_events"]):
+            if filled and (op != kind or filled + n > limit):
                 batch, filled = batch + 1, 0
             out.append(batch)
-            filled += n
+            filled, kind = filled + n, op
             if filled >= limit:
                 batch, filled = batch + 1, 0
         return pdf.assign(batch=out)
@@ -40,20 +42,18 @@ def command_batches(commands: DataFrame, limit: int, flush_every: int = 65536) -
     """Greedy packing of whole commands, never across a run, at most ``limit`` events.
 
     A batch is also sent every ``flush_every`` offsets, as a lingering sender
-    would; that bounds the group one task folds, however long a run is.
+    would; that bounds the group one task folds, however busy a partition is.
     Commands that can never be sent keep their reason in ``error``.
     """
-    sized = commands.withColumn("error", F.expr(
+    sized = commands.select("topic", "partition", "offset", "op", "n_events").withColumn("error", F.expr(
         f"case when n_events = 0 then 'empty_command' when n_events > {limit} then 'command_too_large' end"))
-    runs = op_runs(sized.filter("error is null"))
-    runs = runs.withColumn("flush", F.expr(f"offset div {flush_every}")).withColumn("batch", F.lit(0))
-    columns = ["topic", "partition", "offset", "op", "n_events", "run", "flush", "batch"]
-    packed = runs.select(*columns).groupBy("topic", "partition", "run", "flush").applyInPandas(
+    blocks = sized.filter("error is null").selectExpr(
+        "topic", "partition", f"offset div {flush_every} as flush", "offset", "op", "n_events", "0 as batch")
+    packed = blocks.groupBy("topic", "partition", "flush").applyInPandas(
         _greedy(limit),
-        "topic string, partition int, offset bigint, op string, n_events int, run bigint, flush bigint, batch int",
+        "topic string, partition int, flush bigint, offset bigint, op string, n_events int, batch int",
     )
-    refused = sized.filter("error is not null").select("topic", "partition", "offset", "op", "n_events", "error")
-    return packed.unionByName(refused, allowMissingColumns=True)
+    return packed.unionByName(sized.filter("error is not null"), allowMissingColumns=True)
 
 
 def chains(events: DataFrame) -> DataFrame:

@@ -1 +1,195 @@
+"""Change events, checkpoints and recovery."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerweave.functions import uint128 as u128
+from ledgerweave.functions import values as v
+from ledgerweave.operators import cdc
+from ledgerweave.operators.balances import NAMES
+from ledgerweave.plans import duck, inputs
+from ledgerweave.schemas import header
+from ledgerweave.sources import tables as t
+
 QUERIES, ORACLES = {}, {}
+WINDOW = 1000
+
+
+def query(name: str, oracle: str | None = None):
+    def add(fn):
+        QUERIES[name] = fn
+        if oracle:
+            ORACLES[name] = oracle
+        return fn
+    return add
+
+
+_TYPES = "CASE type " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(v.EVENT_TYPES)) + " END"
+# checkpoints and names of the change events, restated
+_SHOWN = f"""{duck.CHANGES}, {duck.LEDGERS}, {duck.CODES},
+num AS (SELECT *, row_number() OVER (ORDER BY seq) AS rn FROM chg),
+win AS (SELECT *, (rn - 1) // {WINDOW} AS w FROM num),
+ends AS (SELECT w, max(seq) AS wend FROM win GROUP BY 1),
+cp AS (SELECT win.*, seq = e.wend AS is_closing, CASE WHEN seq = e.wend THEN seq ELSE coalesce(p.wend, 0) END AS checkpoint
+ FROM win JOIN ends e ON e.w = win.w LEFT JOIN ends p ON p.w = win.w - 1),
+shown AS (SELECT cp.*, l.name AS ledger_name, l.scale, coalesce(tc.name, cp.code::VARCHAR) AS t_code, coalesce(dc.name, cp.d_code::VARCHAR) AS dc_name,
+ coalesce(cc.name, cp.c_code::VARCHAR) AS cc_name FROM cp JOIN ledgers l ON l.id = cp.ledger LEFT JOIN codes tc ON tc.value = cp.code
+ LEFT JOIN codes dc ON dc.value = cp.d_code LEFT JOIN codes cc ON cc.value = cp.c_code)"""
+
+
+@query("change_events", f"""WITH {duck.CHANGES}
+SELECT type, seq AS timestamp, ledger::BIGINT AS ledger, id AS transfer_id, amt::VARCHAR AS transfer_amount, pending_id AS transfer_pending_id, timeout_s AS transfer_timeout,
+ code AS transfer_code, flags AS transfer_flags, debit AS debit_account_id, credit AS credit_account_id,
+ d_dp::VARCHAR AS debit_account_debits_pending, d_db::VARCHAR AS debit_account_debits_posted, d_cp::VARCHAR AS debit_account_credits_pending, d_cb::VARCHAR AS debit_account_credits_posted,
+ c_dp::VARCHAR AS credit_account_debits_pending, c_db::VARCHAR AS credit_account_debits_posted, c_cp::VARCHAR AS credit_account_credits_pending, c_cb::VARCHAR AS credit_account_credits_posted,
+ d_code AS debit_account_code, c_code AS credit_account_code, d_flags AS debit_account_flags, c_flags AS credit_account_flags,
+ d_created AS debit_account_timestamp, c_created AS credit_account_timestamp FROM chg""")
+def change_events(spark, sf):
+    sides = [f"{s}_account_{n}" for s in ("debit", "credit") for n in NAMES]
+    return inputs.changes(spark, sf).selectExpr(
+        "type", "timestamp", "ledger", "transfer_id", f"{u128.digits('transfer_amount')} as transfer_amount",
+        "transfer_pending_id", "transfer_timeout", "transfer_code", "transfer_flags", "debit_account_id", "credit_account_id",
+        *[f"{u128.digits(c)} as {c}" for c in sides],
+        "debit_account_code", "credit_account_code", "debit_account_flags", "credit_account_flags",
+        "debit_account_timestamp", "credit_account_timestamp")
+
+
+@query("cdc_window_scan", f"""WITH {duck.CHANGES} SELECT seq AS timestamp, id AS transfer_id FROM chg WHERE seq > {duck.BASE} ORDER BY seq LIMIT {cdc.MAX_WINDOW}""")
+def cdc_window_scan(spark, sf):
+    return cdc.window_scan(inputs.changes(spark, sf), duck.BASE, cdc.MAX_WINDOW).select("timestamp", "transfer_id")
+
+
+@query("cdc_checkpoints", f"""WITH {_SHOWN} SELECT seq AS timestamp, w AS "window", is_closing, checkpoint FROM cp""")
+def cdc_checkpoints(spark, sf):
+    return cdc.checkpoints(inputs.changes(spark, sf).select("timestamp"), WINDOW)
+
+
+@query("ascending_violations", """WITH x AS (SELECT event_id AS k, event_id + CASE WHEN event_id % 97 = 0 THEN -5 ELSE 0 END AS timestamp FROM events),
+y AS (SELECT *, lag(timestamp) OVER (ORDER BY k) AS previous_timestamp FROM x)
+SELECT k, timestamp, previous_timestamp FROM y WHERE timestamp <= previous_timestamp""")
+def ascending_violations(spark, sf):
+    shaken = t.load(spark, sf, "events").selectExpr(
+        "event_id as k", "event_id + if(event_id % 97 = 0, -5, 0) as timestamp")
+    return cdc.ascending_violations(shaken, "k").select("k", "timestamp", "previous_timestamp")
+
+
+def _named(spark, sf):
+    return cdc.named(inputs.changes(spark, sf), t.ledgers(spark, sf), t.codes(spark))
+
+
+# ledger and code numbers of every line item, some of them missing from the registry
+@query("cdc_ledger_name", f"""WITH {duck.LEDGERS}, x AS (SELECT event_id AS k, event_id % 8 AS ledger FROM events)
+SELECT k, coalesce(name, ledger::VARCHAR) AS ledger_name, coalesce(scale, 0) AS scale FROM x LEFT JOIN ledgers ON id = ledger""")
+def cdc_ledger_name(spark, sf):
+    return _numbers(spark, sf).select("k", "ledger_name", "scale")
+
+
+@query("cdc_code_name", f"""WITH {duck.CODES}, x AS (SELECT event_id AS k, event_id % 5 AS a, event_id % 4 AS b, event_id % 6 AS c FROM events)
+SELECT k, coalesce(p.name, a::VARCHAR) AS transfer_code_name, coalesce(q.name, b::VARCHAR) AS debit_account_code_name, coalesce(r.name, c::VARCHAR) AS credit_account_code_name
+FROM x LEFT JOIN codes p ON p.value = a LEFT JOIN codes q ON q.value = b LEFT JOIN codes r ON r.value = c""")
+def cdc_code_name(spark, sf):
+    return _numbers(spark, sf).select("k", "transfer_code_name", "debit_account_code_name", "credit_account_code_name")
+
+
+def _number_rows(spark, sf):
+    return t.load(spark, sf, "events").selectExpr(
+        "event_id as k", "event_id as timestamp", "event_id % 8 as ledger", "cast(event_id % 5 as int) as transfer_code",
+        "cast(event_id % 4 as int) as debit_account_code", "cast(event_id % 6 as int) as credit_account_code",
+        "cast(event_id % 7 as int) as type")
+
+
+def _numbers(spark, sf):
+    return cdc.named(_number_rows(spark, sf), t.ledgers(spark, sf), t.codes(spark))
+
+
+@query("registry_gaps", """WITH x AS (SELECT event_id AS k, 'ledger' AS kind, event_id % 8 AS value FROM events UNION ALL SELECT event_id, 'code', event_id % 5 FROM events
+ UNION ALL SELECT event_id, 'code', event_id % 4 FROM events UNION ALL SELECT event_id, 'code', event_id % 6 FROM events UNION ALL SELECT event_id, 'event_type', event_id % 7 FROM events)
+SELECT kind, value, min(k) AS first_timestamp FROM x WHERE (kind = 'ledger' AND value NOT BETWEEN 1 AND 5) OR (kind = 'code' AND value NOT BETWEEN 1 AND 3) OR (kind = 'event_type' AND value > 4) GROUP BY ALL""")
+def registry_gaps(spark, sf):
+    return cdc.registry_gaps(_number_rows(spark, sf), t.ledgers(spark, sf), t.codes(spark))
+
+
+def _side(p: str, side: str) -> str:
+    return (
+        f"'{{\"id\":\"' || {side} || '\",\"debits_pending\":\"' || {duck.fmt(p + '_dp', 'scale')} || '\",\"debits_posted\":\"' || {duck.fmt(p + '_db', 'scale')}"
+        f" || '\",\"credits_pending\":\"' || {duck.fmt(p + '_cp', 'scale')} || '\",\"credits_posted\":\"' || {duck.fmt(p + '_cb', 'scale')} || '\"'"
+        f" || CASE WHEN {p}_ud > 0 THEN ',\"user_data_64\":' || {p}_ud ELSE '' END || ',\"code\":\"' || {p}c_name || '\",\"flags\":['"
+        f" || concat_ws(',', CASE WHEN {p}_flags & 2 <> 0 THEN '\"debits_must_not_exceed_credits\"' END, CASE WHEN {p}_flags & 8 <> 0 THEN '\"history\"' END)"
+        f" || '],\"timestamp\":\"' || {p}_created || '\"}}'"
+    )
+
+
+_BODY = (
+    f"'{{\"type\":\"' || {_TYPES} || '\",\"timestamp\":\"' || seq || '\",\"checkpoint\":\"' || checkpoint || '\",\"ledger\":\"' || ledger_name"
+    f" || '\",\"transfer\":{{\"id\":\"' || id || '\",\"amount\":\"' || {duck.fmt('amt', 'scale')} || '\"' || CASE WHEN pending_id IS NOT NULL THEN ',\"pending_id\":\"' || pending_id || '\"' ELSE '' END"
+    " || CASE WHEN timeout_s >= 60 THEN ',\"timeout\":\"' || (timeout_s // 60) || 'm' || (timeout_s % 60) || 's\"' WHEN timeout_s > 0 THEN ',\"timeout\":\"' || timeout_s || 's\"' ELSE '' END"
+    " || ',\"code\":\"' || t_code || '\",\"flags\":[' || concat_ws(',', CASE WHEN flags & 1 <> 0 THEN '\"linked\"' END, CASE WHEN flags & 2 <> 0 THEN '\"pending\"' END,"
+    " CASE WHEN flags & 4 <> 0 THEN '\"post_pending_transfer\"' END, CASE WHEN flags & 8 <> 0 THEN '\"void_pending_transfer\"' END) || '],\"timestamp\":\"' || seq || '\"}'"
+    f" || ',\"debit_account\":' || {_side('d', 'debit')} || ',\"credit_account\":' || {_side('c', 'credit')} || '}}'"
+)
+
+
+def _shown(spark, sf):
+    return t.staged(spark, sf, "shown", lambda s, d: cdc.named(
+        cdc.checkpoints(inputs.changes(s, d), WINDOW), t.ledgers(s, d), t.codes(s)))
+
+
+@query("cdc_body", f"WITH {_SHOWN} SELECT seq AS timestamp, {_BODY} AS body FROM shown")
+def cdc_body(spark, sf):
+    return _shown(spark, sf).selectExpr("timestamp", f"{cdc.body()} as body")
+
+
+@query("cdc_records", f"""WITH {_SHOWN} SELECT debit AS key, length({_BODY}) AS n_bytes, {_TYPES} AS event_type, ledger_name AS ledger, t_code AS transfer_code,
+ dc_name AS debit_account_code, cc_name AS credit_account_code, seq::VARCHAR AS timestamp, 6 AS n_headers FROM shown""")
+def cdc_records(spark, sf):
+    names = ("event_type", "ledger", "transfer_code", "debit_account_code", "credit_account_code", "timestamp")
+    return cdc.records(_shown(spark, sf), "ledger.changes").selectExpr(
+        "cast(key as string) as key", "octet_length(value) as n_bytes", "size(headers) as n_headers",
+        *[f"{header('headers', n)} as {n}" for n in names])
+
+
+@query("cdc_partition_key", f"""WITH {_SHOWN} SELECT seq AS timestamp, debit AS debit_account_id, credit AS credit_account_id, ledger_name AS ledger, id AS transfer_id FROM shown""")
+def cdc_partition_key(spark, sf):
+    return _shown(spark, sf).selectExpr("timestamp", *[f"{cdc.key(k)} as {k}" for k in cdc.KEYS])
+
+
+@query("cdc_sorted", f"""WITH {duck.CHANGES} SELECT seq AS timestamp, row_number() OVER (ORDER BY seq) AS rn FROM chg""")
+def cdc_sorted(spark, sf):
+    from ledgerweave.operators.scan import number_rows
+    return number_rows(inputs.changes(spark, sf).select("timestamp"), ["timestamp"])
+
+
+def _topic(spark, sf):
+    """The published change topic as read back: every 5th record twice, four partitions."""
+    def build(s, d):
+        out = cdc.records(_shown(s, d), "ledger.changes").withColumn("copies", F.expr(
+            "if(event_timestamp % 5 = 0, 2, 1)"))
+        rows = out.selectExpr("*", "posexplode(sequence(1, copies)) as (copy, one)")
+        return rows.selectExpr(
+            "topic", "cast(event_timestamp % 4 as int) as partition", "event_timestamp * 2 + copy as offset",
+            "key", "value", "event_timestamp as timestamp")
+    return t.staged(spark, sf, "topic", build)
+
+
+@query("topic_tails", f"""WITH {_SHOWN} SELECT (seq % 4)::INT AS partition, max(seq * 2 + CASE WHEN seq % 5 = 0 THEN 1 ELSE 0 END) AS "offset", max(seq) AS timestamp FROM shown GROUP BY 1""")
+def topic_tails(spark, sf):
+    return cdc.tails(_topic(spark, sf)).select("partition", "offset", "timestamp")
+
+
+@query("resume_cursor", f"""WITH {_SHOWN}, x AS (SELECT seq % 4 AS p, seq, checkpoint FROM shown QUALIFY row_number() OVER (PARTITION BY seq % 4 ORDER BY seq DESC) = 1)
+SELECT max(checkpoint)::VARCHAR AS checkpoint FROM x""")
+def resume_cursor(spark, sf):
+    return cdc.resume_cursor(_topic(spark, sf)).selectExpr("cast(checkpoint as string) as checkpoint")
+
+
+@query("cdc_dedup", f"""WITH {duck.CHANGES} SELECT seq AS timestamp, id FROM chg""")
+def cdc_dedup(spark, sf):
+    return cdc.deduplicated(_topic(spark, sf)).selectExpr(
+        "timestamp", "get_json_object(cast(value as string), '$.transfer.id') as id")
+
+
+@query("cdc_no_gaps", f"""WITH {duck.CHANGES} SELECT seq AS timestamp, 'missing' AS problem FROM chg WHERE seq % 1009 = 0""")
+def cdc_no_gaps(spark, sf):
+    """Drop every event whose timestamp divides by 1009 from the topic and find exactly those."""
+    return cdc.reconcile(inputs.changes(spark, sf), _topic(spark, sf).filter("timestamp % 1009 <> 0"))
