@@ -1 +1,283 @@
-def settle(events, accounts): raise NotImplementedError
+"""Posting with spending limits, linked chains and two-phase transfers together.
+
+A limit makes every verdict depend on the verdicts before it. Instead of
+replaying accounts one by one, every round brackets the room an account has
+before each event: at worst, if of the undecided events only those that shrink
+it apply, at best, if only those that widen it do. Whatever both ends agree on
+is decided, for all accounts at once, with two-level prefix sums; a hot account
+is spread over many tasks. Each round decides at least the first undecided
+event, so the result is exactly that of a replay in ``seq`` order. When few
+enough events are left, counted first, they are replayed in order by one task,
+on top of the room the decided events leave.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ledgerweave.functions import uint128 as u128
+from ledgerweave.functions import values as v
+from ledgerweave.operators import posting
+from ledgerweave.operators.scan import running_sums
+from ledgerweave.session import stage
+
+UNDECIDED, ACCEPTED, REJECTED = 0, 1, 2
+REPLAY_ROWS = 200_000
+_WIDE = "struct<hi:decimal(22,0),lo:decimal(19,0)>"
+
+
+def settle(
+    events: DataFrame, accounts: DataFrame, opening: DataFrame | None = None, replay_rows: int = REPLAY_ROWS
+) -> DataFrame:
+    """One row per transfer id with its ``error``, limits included.
+
+    ``opening`` holds earlier balances (``account_id`` and the four limb
+    columns) of accounts that already moved. An account carries at most one of
+    the two limit flags.
+    """
+    firsts = stage(_prepared(events, accounts), "limits-firsts")
+    state = firsts.withColumn("status", F.expr(
+        f"if(max(if(e1 is not null, 1, 0)) over (partition by chain_key) = 1, {REJECTED}, {UNDECIDED})"))
+    rooms = _opening_rooms(opening, accounts)
+    while True:
+        decided = _decide(state, rooms)
+        state = stage(decided, "limits-round")
+        left = state.filter(f"status = {UNDECIDED}").count()
+        if left <= replay_rows:
+            break
+    if left:
+        state = stage(_replayed(state, rooms), "limits-replayed")
+    judged = _judged(state, rooms)
+    first_bad = judged.filter("leg_error is not null").groupBy("chain_key").agg(F.min("seq").alias("_bad"))
+    return judged.join(first_bad, "chain_key", "left").selectExpr(
+        *[c for c in events.columns], "p_amount", "p_debit", "p_credit",
+        f"case when status = {ACCEPTED} then null when seq = _bad then leg_error else 'linked_event_failed' end as error",
+    )
+
+
+# --- preparation ----------------------------------------------------------------
+
+def _prepared(events: DataFrame, accounts: DataFrame) -> DataFrame:
+    """First copies with their static errors, their pending transfer and their limited accounts."""
+    checked = posting.account_errors(posting.first_copies(events), accounts).withColumnRenamed("error", "e1")
+    targets = checked.filter(f"not ({posting.RESOLVES})").selectExpr(
+        "id as _p", "seq as _p_seq", "flags as _p_flags", "amount as p_amount",
+        "debit_account_id as p_debit", "credit_account_id as p_credit")
+    plain = checked.filter(f"not ({posting.RESOLVES})").selectExpr(
+        "*", f"cast(null as {u128.LIMBS}) as p_amount", "cast(null as string) as p_debit", "cast(null as string) as p_credit")
+    resolving = checked.filter(posting.RESOLVES).join(
+        targets, F.expr("pending_id = _p and _p_seq < seq"), "left"
+    ).selectExpr(
+        *[c for c in checked.columns if c != "e1"],
+        "coalesce(e1, case when _p is null then 'pending_transfer_not_found'"
+        f" when (_p_flags & {v.PENDING}) = 0 then 'pending_transfer_not_pending'"
+        f" when (flags & {v.POST}) <> 0 and amount > p_amount then 'exceeds_pending_transfer_amount' end) as e1",
+        "p_amount", "p_debit", "p_credit",
+    )
+    limited = accounts.filter(f"(flags & {v.DEBITS_CAPPED | v.CREDITS_CAPPED}) <> 0").selectExpr(
+        "id as _a", f"if((flags & {v.DEBITS_CAPPED}) <> 0, 'd', 'c') as cap")
+    out = plain.unionByName(resolving).withColumn("chain_key", F.expr("coalesce(chain_id, -seq)"))
+    for side in ("debit", "credit"):
+        known = limited.selectExpr("_a as _id", f"cap as {side}_cap")
+        out = out.join(known, F.expr(f"coalesce(p_{side}, {side}_account_id) = _id"), "left").drop("_id")
+    return out
+
+
+def _opening_rooms(opening: DataFrame | None, accounts: DataFrame) -> DataFrame | None:
+    """Room of limited accounts before the first event."""
+    if opening is None:
+        return None
+    limited = accounts.filter(f"(flags & {v.DEBITS_CAPPED | v.CREDITS_CAPPED}) <> 0").selectExpr(
+        "id as account_id", f"(flags & {v.DEBITS_CAPPED}) <> 0 as d")
+
+    def room(part: str) -> str:
+        return (
+            f"if(d, credits_posted.{part} - debits_posted.{part} - debits_pending.{part},"
+            f" debits_posted.{part} - credits_posted.{part} - credits_pending.{part})"
+        )
+
+    return opening.join(limited, "account_id").selectExpr(
+        "account_id as _o", f"{room('hi')} as o_hi", f"{room('lo')} as o_lo")
+
+
+# --- one round --------------------------------------------------------------------
+
+def _limb(sign: str, amount: str) -> str:
+    return f"cast(named_struct('hi', {sign}{amount}.hi, 'lo', {sign}{amount}.lo) as {_WIDE})"
+
+
+def _minus(a: str, b: str) -> str:
+    return f"cast(named_struct('hi', {a}.hi - {b}.hi, 'lo', {a}.lo - {b}.lo) as {_WIDE})"
+
+
+def _effect(limited_side: bool) -> str:
+    """What an event does to the room of an account limited on this side, or on the other one."""
+    zero = f"cast({u128.ZERO} as {_WIDE})"
+    if limited_side:
+        return (
+            f"case when (flags & {v.POST}) <> 0 then {_minus('p_amount', 'amount')}"
+            f" when (flags & {v.VOID}) <> 0 then {_limb('', 'p_amount')} else {_limb('-', 'amount')} end"
+        )
+    return f"case when (flags & {v.PENDING | v.VOID}) <> 0 then {zero} else {_limb('', 'amount')} end"
+
+
+def _legs(state: DataFrame) -> DataFrame:
+    """Every touch of a limited account: its effect on the room, and whether it is checked."""
+    def leg(side: str, own: str) -> str:
+        return (
+            f"named_struct('account', coalesce(p_{side}, {side}_account_id), 'cap', {side}_cap,"
+            f" 'effect', case when {side}_cap = '{own}' then {_effect(True)} else {_effect(False)} end,"
+            f" 'checked', {side}_cap = '{own}' and not ({posting.RESOLVES}), 'name', '{side}')"
+        )
+
+    return state.filter("debit_cap is not null or credit_cap is not null").selectExpr(
+        "seq", "chain_key", "status", "amount", f"inline(array({leg('debit', 'd')}, {leg('credit', 'c')}))"
+    ).filter("cap is not null")
+
+
+_NEGATIVE = f"(effect.hi + floor(effect.lo / {u128.BASE}) < 0)"
+
+
+def _with_room(state: DataFrame, rooms: DataFrame | None, low: str, high: str) -> DataFrame:
+    """Legs with the room before them when undecided events count as ``low`` and as ``high`` say."""
+    def counted(part: str, undecided: str) -> str:
+        return f"case when status = {ACCEPTED} or (status = {UNDECIDED} and {undecided}) then effect.{part} else 0BD end"
+
+    own = {f"{n}_{p}": counted(p, rule) for n, rule in (("low", low), ("high", high)) for p in ("hi", "lo")}
+    scanned = running_sums(_legs(state), ["account"], "seq", own)
+    scanned = scanned.selectExpr(
+        "seq", "chain_key", "status", "amount", "account", "effect", "checked", "name",
+        *[f"{c} - {e} as {c}" for c, e in own.items()], *[f"{e} as own_{c}" for c, e in own.items()])
+    if rooms is None:
+        return scanned
+    keep = [c for c in scanned.columns if c not in own]
+    return scanned.join(rooms, F.expr("account = _o"), "left").selectExpr(
+        *keep, *[f"{c} + coalesce(o_{c[-2:]}, 0BD) as {c}" for c in own])
+
+
+def _judged(state: DataFrame, rooms: DataFrame | None) -> DataFrame:
+    """Add ``passes`` (certainly) and ``leg_error`` (certainly fails) to every event."""
+    legs = _with_room(state, rooms, _NEGATIVE, f"not {_NEGATIVE}")
+    # inside its own chain an event sees the legs before it as applied, whatever becomes of the chain
+    earlier = Window.partitionBy("chain_key", "account").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    seen = {}
+    for c in ("low_hi", "low_lo", "high_hi", "high_lo"):
+        seen[c] = F.col(c) + F.coalesce(F.sum(F.expr(f"effect.{c[-2:]} - own_{c}")).over(earlier), F.lit(0))
+    legs = legs.select("seq", "amount", "checked", "name", *[e.alias(c) for c, e in seen.items()]).filter("checked")
+
+    def enough(end: str) -> str:
+        return f"({end}_hi - amount.hi + floor(({end}_lo - amount.lo) / {u128.BASE}) >= 0)"
+
+    checks = legs.groupBy("seq").agg(
+        F.expr(f"bool_and({enough('low')})").alias("_enough"),
+        F.expr(f"min(case when not {enough('high')} then if(name = 'debit', '1exceeds_credits', '2exceeds_debits') end)").alias("_over"),
+    ).withColumnRenamed("seq", "_c")
+    resolvers = state.filter(posting.RESOLVES).filter("e1 is null").groupBy("pending_id").agg(
+        F.expr(f"min(seq) filter (where status = {ACCEPTED})").alias("_taken"),
+        F.expr(f"min(seq) filter (where status <> {REJECTED})").alias("_open"),
+    ).withColumnRenamed("pending_id", "_r")
+    pendings = state.filter(f"(flags & {v.PENDING}) <> 0").selectExpr("id as _q", "status as _p_status")
+    base = state.join(checks, F.expr("seq = _c"), "left")
+    out = base.filter(posting.RESOLVES).join(resolvers, F.expr("pending_id = _r"), "left").join(
+        pendings, F.expr("pending_id = _q"), "left").unionByName(
+        base.filter(f"not ({posting.RESOLVES})"), allowMissingColumns=True)
+    return out.selectExpr(
+        *state.columns,
+        f"e1 is null and coalesce(_enough, true) and (not ({posting.RESOLVES}) or"
+        f" (_p_status = {ACCEPTED} and coalesce(_open, seq) >= seq and coalesce(_taken, seq) >= seq)) as passes",
+        "coalesce(e1, substr(_over, 2), case when _p_status = 2 then 'pending_transfer_not_found'"
+        " when _taken < seq then 'pending_transfer_already_resolved' end) as leg_error",
+    )
+
+
+def _decide(state: DataFrame, rooms: DataFrame | None) -> DataFrame:
+    judged = _judged(state, rooms)
+    chain = judged.groupBy("chain_key").agg(
+        F.expr("bool_and(passes)").alias("_all"), F.expr("bool_or(leg_error is not null)").alias("_any"))
+    return judged.join(chain, "chain_key").selectExpr(
+        *[c for c in state.columns if c != "status"],
+        f"case when status <> {UNDECIDED} then status when _any then {REJECTED} when _all then {ACCEPTED}"
+        f" else {UNDECIDED} end as status",
+    )
+
+
+# --- the last few, in order ----------------------------------------------------------
+
+def _replayed(state: DataFrame, rooms: DataFrame | None) -> DataFrame:
+    """Replay the undecided events, at most ``replay_rows`` of them, in one ordered pass."""
+    left = state.filter(f"status = {UNDECIDED}")
+    legs = _with_room(state, rooms, "false", "false").filter(f"status = {UNDECIDED}").groupBy("seq").agg(
+        F.collect_list(F.struct(
+            "account", "checked",
+            *[F.col(c).cast("string").alias(n) for c, n in (
+                ("low_hi", "room_hi"), ("low_lo", "room_lo"), ("effect.hi", "effect_hi"), ("effect.lo", "effect_lo"))],
+        )).alias("legs")).withColumnRenamed("seq", "_s")
+    taken = state.filter(f"({posting.RESOLVES}) and status = {ACCEPTED}").groupBy("pending_id").agg(
+        F.min("seq").alias("taken_at")).withColumnRenamed("pending_id", "_r")
+    pendings = state.filter(f"(flags & {v.PENDING}) <> 0").selectExpr("id as _q", "status as p_status")
+    rows = (
+        left.join(legs, F.expr("seq = _s"), "left").join(taken, F.expr("pending_id = _r"), "left")
+        .join(pendings, F.expr("pending_id = _q"), "left")
+        .selectExpr("seq", "chain_key", "id", "pending_id", posting.RESOLVES + " as resolves", "e1 is not null as bad",
+                    u128.digits("amount") + " as amount", "taken_at", "p_status", "to_json(legs) as legs", "1 as one")
+    )
+    verdicts = rows.groupBy("one").applyInPandas(_replay, "seq bigint, verdict int").withColumnRenamed("seq", "_v")
+    return state.join(verdicts, F.expr("seq = _v"), "left").selectExpr(
+        *[c for c in state.columns if c != "status"], "coalesce(verdict, status) as status")
+
+
+def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
+    import json
+
+    base, extra, verdicts, resolved = 10**18, {}, {}, {}
+    by_id = {}
+    pdf = pdf.sort_values("seq")
+    sizes = pdf.groupby("chain_key")["seq"].count().to_dict()
+    open_rows: dict = {}
+
+    def finish(rows):
+        """Try a whole command's chain; undo it when a leg fails."""
+        trail, fine = [], True
+        marked = []
+        for row in rows:
+            legs = json.loads(row.legs) if isinstance(row.legs, str) else []
+            if row.bad:
+                fine = False
+            elif row.resolves:
+                status = by_id.get(row.pending_id, row.p_status)
+                late = row.taken_at is not None and not pd.isna(row.taken_at) and row.taken_at < row.seq
+                fine = status == ACCEPTED and not late and row.pending_id not in resolved
+            for leg in legs:
+                room = int(leg["room_hi"]) * base + int(leg["room_lo"]) + extra.get(leg["account"], 0)
+                if fine and leg["checked"] and room < int(row.amount):
+                    fine = False
+            if not fine:
+                break
+            for leg in legs:
+                effect = int(leg["effect_hi"]) * base + int(leg["effect_lo"])
+                extra[leg["account"]] = extra.get(leg["account"], 0) + effect
+                trail.append((leg["account"], effect))
+            if row.resolves:
+                resolved[row.pending_id] = row.seq
+                marked.append(row.pending_id)
+            by_id[row.id] = ACCEPTED
+        if not fine:
+            for account, effect in trail:
+                extra[account] -= effect
+            for pending in marked:
+                del resolved[pending]
+        for row in rows:
+            verdicts[row.seq] = by_id[row.id] = ACCEPTED if fine else REJECTED
+
+    for row in pdf.itertuples(index=False):
+        if sizes[row.chain_key] == 1:
+            finish([row])
+        else:
+            chain = open_rows.setdefault(row.chain_key, [])
+            chain.append(row)
+            if len(chain) == sizes[row.chain_key]:
+                finish(open_rows.pop(row.chain_key))
+    return pd.DataFrame({"seq": list(verdicts), "verdict": list(verdicts.values())})
