@@ -22,6 +22,11 @@ def make(hi: str, lo: str) -> str:
 ZERO = make("cast(0 as decimal(21,0))", "cast(0 as decimal(18,0))")
 
 
+def floor_div(value: str) -> str:
+    """Whole multiples of the limb base in a signed decimal; decimal ``/`` would round."""
+    return f"(({value} - pmod({value}, {BASE})) div {BASE})"
+
+
 def strip_zeros(digits: str) -> str:
     """Digit text without leading zeros; ``0`` stays ``0``."""
     return f"regexp_replace({digits}, '^0+(?=[0-9])', '')"
@@ -52,18 +57,18 @@ def from_long(minor: str) -> str:
     """Non-negative BIGINT minor units as limbs."""
     wide = f"cast({minor} as decimal(38,0))"
     large = make(
-        f"cast(floor({wide} / {BASE}) as decimal(21,0))", f"cast({wide} % {BASE} as decimal(18,0))"
+        f"cast({floor_div(wide)} as decimal(21,0))", f"cast({wide} % {BASE} as decimal(18,0))"
     )
     small = make("cast(0 as decimal(21,0))", f"cast({minor} as decimal(18,0))")
     return f"case when {minor} < 1000000000000000000 then {small} else {large} end"
 
 
 def carry(hi: str, lo: str) -> str:
-    """Normalise summed limbs (any non-negative ``lo``) to limbs again."""
+    """Normalise summed limbs to limbs again; ``lo`` may have any size and sign."""
     wide = f"cast({lo} as decimal(38,0))"
     return make(
-        f"cast(cast({hi} as decimal(37,0)) + floor({wide} / {BASE}) as decimal(38,0))",
-        f"cast({wide} % {BASE} as decimal(18,0))",
+        f"cast(cast({hi} as decimal(37,0)) + {floor_div(wide)} as decimal(38,0))",
+        f"cast(pmod({wide}, {BASE}) as decimal(18,0))",
     )
 
 

@@ -135,11 +135,14 @@ def timeout_nanos(value: str) -> str:
         "case u when 'h' then 3600000000000BD when 'm' then 60000000000BD when 's' then 1000000000BD"
         " when 'ms' then 1000000BD when 'ns' then 1BD else 1000BD end"
     )
+    # whole and fraction apart, the fraction cut (not rounded) at twelve digits
+    whole = "try_cast(coalesce(nullif(substring_index(n, '.', 1), ''), '0') as decimal(20,0))"
+    frac = "cast(concat('0.0', left(if(contains(n, '.'), substring_index(n, '.', -1), ''), 12)) as decimal(14,13))"
     parts = (
         f"zip_with(regexp_extract_all({value}, r'{_DURATION_PART}', 1),"
         f" regexp_extract_all({value}, r'{_DURATION_PART}', 2),"
-        f" (n, u) -> cast(floor(try_multiply(try_cast(n as decimal(22,9)), cast({unit} as decimal(13,0))))"
-        f" as decimal(38,0)))"
+        f" (n, u) -> cast(try_add(try_multiply({whole}, cast({unit} as decimal(14,0))),"
+        f" cast(floor({frac} * 10BD * cast({unit} as decimal(14,0))) as decimal(20,0))) as decimal(38,0)))"
     )
     total = (
         f"aggregate({parts}, cast(0 as decimal(38,0)), (a, x) -> cast(try_add(a, x) as decimal(38,0)))"
@@ -160,7 +163,7 @@ def timeout_error(value: str, nanos: str) -> str:
 
 
 def timeout_seconds(nanos: str) -> str:
-    return f"try_cast(floor({nanos} / 1000000000BD) as bigint)"
+    return f"case when {nanos} <= 9223372036854775807 then {nanos} div 1000000000BD end"
 
 
 def format_timeout(seconds: str) -> str:

@@ -80,6 +80,11 @@ def _prepared(events: DataFrame, accounts: DataFrame) -> DataFrame:
     limited = accounts.filter(f"(flags & {v.DEBITS_CAPPED | v.CREDITS_CAPPED}) <> 0").selectExpr(
         "id as _a", f"if((flags & {v.DEBITS_CAPPED}) <> 0, 'd', 'c') as cap")
     out = plain.unionByName(resolving).withColumn("chain_key", F.expr("coalesce(chain_id, -seq)"))
+    # a chain that resolves one pending transfer twice fails at the second leg
+    again = Window.partitionBy("chain_key", "pending_id").orderBy("seq")
+    out = out.withColumn("_nth", F.row_number().over(again)).withColumn("e1", F.expr(
+        f"coalesce(e1, case when {posting.RESOLVES} and _nth > 1 then 'pending_transfer_already_resolved' end)"
+    )).drop("_nth")
     for side in ("debit", "credit"):
         known = limited.selectExpr("_a as _id", f"cap as {side}_cap")
         out = out.join(known, F.expr(f"coalesce(p_{side}, {side}_account_id) = _id"), "left").drop("_id")
@@ -138,7 +143,7 @@ def _legs(state: DataFrame) -> DataFrame:
     ).filter("cap is not null")
 
 
-_NEGATIVE = f"(effect.hi + floor(effect.lo / {u128.BASE}) < 0)"
+_NEGATIVE = f"(effect.hi + {u128.floor_div('effect.lo')} < 0)"
 
 
 def _with_room(state: DataFrame, rooms: DataFrame | None, low: str, high: str) -> DataFrame:
@@ -169,7 +174,7 @@ def _judged(state: DataFrame, rooms: DataFrame | None) -> DataFrame:
     legs = legs.select("seq", "amount", "checked", "name", *[e.alias(c) for c, e in seen.items()]).filter("checked")
 
     def enough(end: str) -> str:
-        return f"({end}_hi - amount.hi + floor(({end}_lo - amount.lo) / {u128.BASE}) >= 0)"
+        return f"({end}_hi - amount.hi + {u128.floor_div(f'({end}_lo - amount.lo)')} >= 0)"
 
     checks = legs.groupBy("seq").agg(
         F.expr(f"bool_and({enough('low')})").alias("_enough"),
@@ -179,7 +184,7 @@ def _judged(state: DataFrame, rooms: DataFrame | None) -> DataFrame:
         F.expr(f"min(seq) filter (where status = {ACCEPTED})").alias("_taken"),
         F.expr(f"min(seq) filter (where status <> {REJECTED})").alias("_open"),
     ).withColumnRenamed("pending_id", "_r")
-    pendings = state.filter(f"(flags & {v.PENDING}) <> 0").selectExpr("id as _q", "status as _p_status")
+    pendings = state.filter(f"not ({posting.RESOLVES})").selectExpr("id as _q", "chain_key as _p_chain", "status as _p_status")
     base = state.join(checks, F.expr("seq = _c"), "left")
     out = base.filter(posting.RESOLVES).join(resolvers, F.expr("pending_id = _r"), "left").join(
         pendings, F.expr("pending_id = _q"), "left").unionByName(
@@ -187,9 +192,9 @@ def _judged(state: DataFrame, rooms: DataFrame | None) -> DataFrame:
     return out.selectExpr(
         *state.columns,
         f"e1 is null and coalesce(_enough, true) and (not ({posting.RESOLVES}) or"
-        f" (_p_status = {ACCEPTED} and coalesce(_open, seq) >= seq and coalesce(_taken, seq) >= seq)) as passes",
-        "coalesce(e1, substr(_over, 2), case when _p_status = 2 then 'pending_transfer_not_found'"
-        " when _taken < seq then 'pending_transfer_already_resolved' end) as leg_error",
+        f" ((_p_status = {ACCEPTED} or _p_chain = chain_key) and coalesce(_open, seq) >= seq and coalesce(_taken, seq) >= seq)) as passes",
+        f"case when _p_status = {REJECTED} and _p_chain <> chain_key then 'pending_transfer_not_found' else coalesce(e1, substr(_over, 2),"
+        " case when _taken < seq then 'pending_transfer_already_resolved' end) end as leg_error",
     )
 
 

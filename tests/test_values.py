@@ -78,6 +78,13 @@ def test_limb_sums_and_differences(spark):
         .selectExpr(f"{u128.digits('s')} as t").first().t
     )
     assert int(total) == sum(values)
+    for near in ([10**18 - 1], [10**18 - 1, 1], [10**18 - 2, 1], [2 * 10**18 - 1], [10**36 - 1, 0]):
+        rows = [(str(x),) for x in near]
+        total = (
+            spark.createDataFrame(rows, "d string").selectExpr(f"{u128.limbs('d')} as a")
+            .groupBy().agg(F.expr(u128.sum_limbs("a")).alias("s")).selectExpr(f"{u128.digits('s')} as t").first().t
+        )
+        assert int(total) == sum(near)
     pairs = [(str(a), str(b)) for a in values for b in values]
     got = evaluate(spark, pairs, "a string, b string", a="a", b="b",
                    g=u128.difference(f"({u128.limbs('a')})", f"({u128.limbs('b')})"))
@@ -105,7 +112,7 @@ def test_timeouts(spark):
             ("999ms", None), ("0", None), ("-1s", None), ("", None), ("5", None), ("1x", None),
             ("4294967295s", 4294967295), ("4294967296s", None), ("99999999999999999999h", None),
             ("1s\n", None), ("+2s", 2), (".5m", 30), ("2m0.5s", 120), ("3000000us", 3),
-            ("3000000µs", 3), ("2000000000ns", 2)]
+            ("3000000µs", 3), ("2000000000ns", 2), ("1999999999ns", 1), ("59.9999999999s", 59)]
     got = evaluate(spark, rows, "t string, e long", t="t", e="e",
                    g=v.timeout_seconds(f"({v.timeout_nanos('t')})"),
                    err=v.timeout_error("t", f"({v.timeout_nanos('t')})"))
