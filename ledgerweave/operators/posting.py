@@ -65,13 +65,18 @@ def chain_errors(events: DataFrame) -> DataFrame:
     )
 
 
-def two_phase(events: DataFrame) -> DataFrame:
+def two_phase(events: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     """Match posts and voids with their pending transfer; the first good one wins.
 
     Adds ``p_amount, p_debit, p_credit``: what the resolved transfer reserved, and where.
+    ``earlier`` holds rows a previous call returned, for a stream posted in batches.
     """
     plain = events.filter(f"not ({RESOLVES})")
-    targets = plain.filter("error is null").selectExpr(
+    needed = ["id", "seq", "flags", "amount", "debit_account_id", "credit_account_id", "error"]
+    known = plain.select(*needed)
+    if earlier is not None:
+        known = known.unionByName(earlier.filter(f"not ({RESOLVES})").select(*needed))
+    targets = known.filter("error is null").selectExpr(
         "id as _p", "seq as _p_seq", "flags as _p_flags", "amount as p_amount",
         "debit_account_id as p_debit", "credit_account_id as p_credit",
     )
@@ -86,10 +91,10 @@ def two_phase(events: DataFrame) -> DataFrame:
             " as error",
         )
     )
-    winners = (
-        matched.filter("error is null").groupBy("pending_id").agg(F.min("seq").alias("_won"))
-        .withColumnRenamed("pending_id", "_resolved")
-    )
+    claims = matched.filter("error is null").select("pending_id", "seq")
+    if earlier is not None:
+        claims = claims.unionByName(earlier.filter(f"error is null and {RESOLVES}").select("pending_id", "seq"))
+    winners = claims.groupBy("pending_id").agg(F.min("seq").alias("_won")).withColumnRenamed("pending_id", "_resolved")
     resolved = matched.join(winners, F.expr("pending_id = _resolved"), "left").selectExpr(
         *[c for c in matched.columns if c != "error"],
         "coalesce(error, case when seq <> _won then 'pending_transfer_already_resolved' end) as error",
@@ -97,13 +102,18 @@ def two_phase(events: DataFrame) -> DataFrame:
     return resolved.unionByName(plain, allowMissingColumns=True)
 
 
-def post(events: DataFrame, accounts: DataFrame) -> DataFrame:
+def post(events: DataFrame, accounts: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     """One row per transfer id: its first event, its ``error`` (NULL when applied).
 
+    With ``earlier`` posted rows, ids that are already decided are left out.
+
     Chains are judged before posts and voids, so a post or void inside a chain
     belongs to ``limits.settle``.
     """
-    return two_phase(chain_errors(account_errors(first_copies(events), accounts)))
+    firsts = first_copies(events)
+    if earlier is not None:
+        firsts = firsts.join(earlier.select(F.col("id").alias("_e")), F.expr("id = _e"), "left_anti")
+    return two_phase(chain_errors(account_errors(firsts, accounts)), earlier)
 
 
 def outcomes(events: DataFrame, posted: DataFrame) -> DataFrame:
