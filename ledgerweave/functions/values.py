@@ -115,10 +115,10 @@ def overflow_error(value: str, minor: str) -> str:
 
 def format_digits(minor: str, scale: str) -> str:
     """Minor-unit digit text as decimal text with exactly ``scale`` decimals."""
-    padded = f"lpad({minor}, greatest(length({minor}), {scale} + 1), '0')"
     return (
-        f"case when {scale} = 0 then {minor} else concat("
-        f"left({padded}, length({padded}) - {scale}), '.', right({padded}, {scale})) end"
+        f"case when {scale} = 0 then {minor} when length({minor}) > {scale} then"
+        f" concat(left({minor}, length({minor}) - {scale}), '.', right({minor}, {scale}))"
+        f" else concat('0.', lpad({minor}, {scale}, '0')) end"
     )
 
 
@@ -203,7 +203,7 @@ def flag_names(mask: str, table: list[str]) -> str:
     """Names of the set bits in bit order; a bit without a name is ``bit_N``."""
     labels = [table[b] if b < len(table) else f"bit_{b}" for b in range(16)]
     picked = ", ".join(f"if(({mask} & {1 << b}) != 0, '{label}', null)" for b, label in enumerate(labels))
-    return f"if({mask} = 0, cast(array() as array<string>), array_compact(array({picked})))"
+    return f"if({mask} = 0, cast(array() as array<string>), split(concat_ws(',', {picked}), ','))"
 
 
 # --- names of statuses and event types ---------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerweave.functions import uint128 as u128
 from ledgerweave.functions import values as v
 from ledgerweave.operators.scan import number_rows, previous
 
@@ -29,16 +30,16 @@ def checkpoints(events: DataFrame, size: int, start: int = 0) -> DataFrame:
     Every record claims the checkpoint its window started from; the closing one,
     written last, claims its own timestamp.
     """
-    numbered = number_rows(events, ["timestamp"]).withColumn("window", F.expr(f"(rn - 1) div {size}"))
+    # only timestamps are numbered and written; the wide rows are shuffled once, by a unique key
+    numbered = number_rows(events.select("timestamp"), ["timestamp"]).selectExpr(
+        "timestamp", f"(rn - 1) div {size} as window")
     ends = numbered.groupBy("window").agg(F.max("timestamp").alias("_end"))
     before = ends.selectExpr("window + 1 as window", "_end as _start")
-    return (
-        numbered.join(ends, "window").join(before, "window", "left")
-        .selectExpr(
-            *events.columns, "window", "timestamp = _end as is_closing",
-            f"if(timestamp = _end, timestamp, coalesce(_start, {start}L)) as checkpoint",
-        )
+    claims = numbered.join(ends, "window").join(before, "window", "left").selectExpr(
+        "timestamp", "window", "timestamp = _end as is_closing",
+        f"if(timestamp = _end, timestamp, coalesce(_start, {start}L)) as checkpoint",
     )
+    return events.join(claims, "timestamp").select(*events.columns, "window", "is_closing", "checkpoint")
 
 
 def named(events: DataFrame, ledgers: DataFrame, codes: DataFrame) -> DataFrame:
@@ -65,7 +66,7 @@ def named(events: DataFrame, ledgers: DataFrame, codes: DataFrame) -> DataFrame:
 def _account(side: str) -> str:
     p = f"{side}_account"
     money = ", ".join(
-        f"'{b}', {v.format_amount(f'{p}_{b}', 'scale')}"
+        f"'{b}', {v.format_digits(f'_{p}_{b}', 'scale')}"
         for b in ("debits_pending", "debits_posted", "credits_pending", "credits_posted")
     )
     return (
@@ -76,10 +77,21 @@ def _account(side: str) -> str:
     )
 
 
+AMOUNTS = ["transfer_amount"] + [
+    f"{side}_account_{b}" for side in ("debit", "credit")
+    for b in ("debits_pending", "debits_posted", "credits_pending", "credits_posted")
+]
+
+
+def with_digits(named_events: DataFrame) -> DataFrame:
+    """Digit text of every amount, once, ahead of ``body``."""
+    return named_events.selectExpr("*", *[f"{u128.digits(a)} as _{a}" for a in AMOUNTS])
+
+
 def body() -> str:
-    """JSON text of one change event; absent optional fields are left out, ``flags`` never is."""
+    """JSON text of one change event ``with_digits``; absent optional fields are left out, ``flags`` never is."""
     transfer = (
-        f"named_struct('id', transfer_id, 'amount', {v.format_amount('transfer_amount', 'scale')},"
+        f"named_struct('id', transfer_id, 'amount', {v.format_digits('_transfer_amount', 'scale')},"
         f" 'pending_id', {v.optional_id('transfer_pending_id')},"
         f" 'user_data_128', {v.optional_id('transfer_user_data_128')},"
         " 'user_data_64', nullif(transfer_user_data_64, 0), 'user_data_32', nullif(transfer_user_data_32, 0),"
@@ -112,7 +124,7 @@ def records(named_events: DataFrame, topic: str, partition_key: str = "debit_acc
         )
     )
     extra = [c for c in ("window", "is_closing") if c in named_events.columns]
-    return named_events.selectExpr(
+    return with_digits(named_events).selectExpr(
         f"cast({key(partition_key)} as binary) as key", f"cast({body()} as binary) as value",
         f"{v.text(topic)} as topic", f"array({headers}) as headers", "timestamp as event_timestamp", *extra,
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerweave.functions import uint128 as u128
 from ledgerweave.functions import values as v
+from ledgerweave.session import stage
 
 RESOLVES = f"(flags & {v.POST | v.VOID}) <> 0"
 
@@ -20,14 +21,12 @@ RESOLVES = f"(flags & {v.POST | v.VOID}) <> 0"
 def first_copies(events: DataFrame) -> DataFrame:
     """The first event of every id; repeats move nothing.
 
-    ``min_by`` aggregates on the map side, so an id that makes up a third of
-    the stream still reaches the shuffle as one row per task.
+    The minimum of ``seq`` aggregates on the map side, so an id that makes up a
+    third of the stream reaches the shuffle as one row per task, and the rows
+    themselves are picked by ``seq``, which is unique.
     """
-    return (
-        events.groupBy("id")
-        .agg(F.min_by(F.struct(*[c for c in events.columns if c != "id"]), "seq").alias("e"))
-        .select("id", "e.*").select(*events.columns)
-    )
+    first = events.groupBy("id").agg(F.min("seq").alias("seq")).select("seq")
+    return events.join(first, "seq", "left_semi").select(*events.columns)
 
 
 def account_errors(events: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -113,7 +112,9 @@ def post(events: DataFrame, accounts: DataFrame, earlier: DataFrame | None = Non
     firsts = first_copies(events)
     if earlier is not None:
         firsts = firsts.join(earlier.select(F.col("id").alias("_e")), F.expr("id = _e"), "left_anti")
-    return two_phase(chain_errors(account_errors(firsts, accounts)), earlier)
+    # written once: the rules below look at these rows from several sides
+    checked = stage(account_errors(firsts, accounts), "checked")
+    return two_phase(chain_errors(checked), earlier)
 
 
 def outcomes(events: DataFrame, posted: DataFrame) -> DataFrame:

@@ -137,7 +137,7 @@ def _shown(spark, sf):
 
 @query("cdc_body", f"WITH {_SHOWN} SELECT seq AS timestamp, {_BODY} AS body FROM shown")
 def cdc_body(spark, sf):
-    return _shown(spark, sf).selectExpr("timestamp", f"{cdc.body()} as body")
+    return cdc.with_digits(_shown(spark, sf)).selectExpr("timestamp", f"{cdc.body()} as body")
 
 
 @query("cdc_records", f"""WITH {_SHOWN} SELECT debit AS key, length({_BODY}) AS n_bytes, {_TYPES} AS event_type, ledger_name AS ledger, t_code AS transfer_code,

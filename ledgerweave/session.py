@@ -44,6 +44,12 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small input of few files over all cores; a large one as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 

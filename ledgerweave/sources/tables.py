@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerweave.functions import uint128 as u128
 from ledgerweave.operators.decode import DecodeOptions, Limits
 from ledgerweave.operators.scan import number_rows
-from ledgerweave.session import configure, stage
+from ledgerweave.session import configure, spread, stage
 from ledgerweave.sources.registry import CODE_SCHEMA, Registry
 
 # Fixed values of the mapping.
@@ -284,7 +284,7 @@ def command_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = customer_regions(spark, sf_dir).join(
         load(spark, sf_dir, "region"), F.expr("region = r_regionkey")
     ).selectExpr("c_custkey", "r_name", "case when region < 3 then 2 when region = 3 then 0 else 3 end as scale")
-    rows = load(spark, sf_dir, "events").join(users, F.expr("user_id = c_custkey")).selectExpr(
+    rows = spread(load(spark, sf_dir, "events")).join(users, F.expr("user_id = c_custkey")).selectExpr(
         "event_id", "ts", "user_id", "event_type", "r_name", "scale",
         f"{money_text(minor('value'))} as amount",
         f"{object_id(TRANSFER, '0', 'event_id')} as ident",
