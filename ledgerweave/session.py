@@ -14,6 +14,9 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a repeated JSON key keeps its last value instead of failing the document
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # the JVM does not compile methods beyond 8000 bytes of code; wide projections
+    # run faster as many small methods than as one stage-wide interpreted one
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
