@@ -47,10 +47,10 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A small input of few files over all cores; a large one as it is."""
+def spread(df: DataFrame, source: DataFrame) -> DataFrame:
+    """Rows made from a ``source`` of few files over all cores; from a large one as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if source.rdd.getNumPartitions() < cores else df
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
