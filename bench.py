@@ -66,6 +66,8 @@ def main() -> None:
             build().write.format("noop").mode("overwrite").save()
             took = time.perf_counter() - started
             best = took if best is None else min(best, took)
+            if took > 5:  # long enough to be its own measurement
+                break
         print(f"{name} {best:.2f}s", file=sys.stderr, flush=True)
         seconds[name] = round(best, 3)
         rates[name] = round(rows / best)
