@@ -136,19 +136,22 @@ def _counted(batches):
             yield pd.DataFrame({"gram": gram} | {f"n{c}": np.bincount(back, n[c][of], len(gram)).astype(np.int64) for c in (0, 1)})
 
 
-def fit(labelled: DataFrame, per_class: int = PER_CLASS) -> Model:
-    """Fit on ``labelled`` (doc_id, text, toxic): a bounded sample, see the module.
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
+    """Fit on documents (doc_id, text) and their labels (doc_id, toxic): a bounded sample, see the module.
 
-    Rows whose label is neither 0 nor 1 are left out; null texts count as empty.
-    Without words of both classes every document gets a score near 0.
+    Rows whose label is neither 0 nor 1 or whose id is null are left out, of
+    repeated ids the larger label holds; null texts count as empty. Without words
+    of both classes every document gets the same score.
     """
-    spark = labelled.sparkSession
-    known = labelled.where("toxic in (0, 1)").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
+    spark = docs.sparkSession
+    known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64(F.col("doc_id"), F.lit(11))
     chosen = [known.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(per_class) for c in (0, 1)]
+    ids = F.broadcast(stage(chosen[0].union(chosen[1]), "toxic-ids"))  # 2 * per_class rows at most
     held = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(CALIBRATE_ONE_IN)) == 0
     # a text that was copied counts once
-    sample = stage(chosen[0].union(chosen[1]).groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id")).withColumn("held", held), "toxic-sample")
+    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(ids, "doc_id")
+    sample = stage(sample.groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id")).withColumn("held", held), "toxic-sample")
     at_once = 2 * spark.sparkContext.defaultParallelism
     counts = stage(sample.where(~F.col("held")).repartition(at_once).mapInPandas(_counted, "gram long, n0 long, n1 long")
                    .groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxic-grams")
@@ -156,19 +159,22 @@ def fit(labelled: DataFrame, per_class: int = PER_CLASS) -> Model:
     context = F.shiftright(F.col("gram").bitwiseAND(F.lit(_LOW)), 8).bitwiseOR(F.shiftleft(order_of - 1, 56))
     kept = [F.sum(F.greatest(F.col(f"n{c}") - CLASS_DISCOUNT, F.lit(0.0))).alias(f"kept{c}") for c in (0, 1)]
     contexts = (counts.groupBy(context.alias("context")).agg(*[F.sum(f"n{c}").alias(f"total{c}") for c in (0, 1)], *kept)
-                .where(F.col("total0") + F.col("total1") >= LEAST_SEEN).orderBy("context").toPandas())
-    stored = counts.where(F.col("n0") + F.col("n1") >= LEAST_SEEN).orderBy("gram").toPandas()
+                .where(F.col("total0") + F.col("total1") >= LEAST_SEEN).toArrow())
+    contexts = contexts.sort_by("context")
+    stored = counts.where(F.col("n0") + F.col("n1") >= LEAST_SEEN).toArrow().sort_by("gram")
     model = _ratios(contexts, stored)
-    tried = _with_evidence(sample.where("held").repartition(at_once), Shared(spark, model)).toPandas()
-    model.slope, model.shift = _logistic(tried["evidence"].to_numpy(float), tried["toxic"].to_numpy(float))
+    tried = _with_evidence(sample.where("held").repartition(at_once), Shared(spark, model)).toArrow()
+    model.slope, model.shift = _logistic(tried["evidence"].to_numpy(), tried["toxic"].to_numpy().astype(float))
     return model
 
 
 def _ratios(contexts, stored) -> Model:
-    keys, n = stored["gram"].to_numpy(np.int64), stored[["n0", "n1"]].to_numpy(float)
+    keys, n = stored["gram"].to_numpy(), np.stack([stored[f"n{c}"].to_numpy().astype(float) for c in (0, 1)], 1)
+    contexts = {name: contexts[name].to_numpy() for name in contexts.column_names}
+    size = len(contexts["context"])
     order = keys >> 56
     first = (keys & _LOW) >> (8 * (order - 1))
-    of = _member(contexts["context"].to_numpy(np.int64), ((keys & _LOW) >> 8) | ((order - 1) << 56))
+    of = _member(contexts["context"], ((keys & _LOW) >> 8) | ((order - 1) << 56))
     suffix = _member(keys, (keys & ((1 << (8 * (order - 1))) - 1)) | ((order - 1) << 56))
     continued = np.bincount(suffix[suffix >= 0], minlength=len(keys))
     counted = np.where((order == ORDER) | (first == 32), n.sum(1), continued)
@@ -176,20 +182,20 @@ def _ratios(contexts, stored) -> Model:
     for k in range(1, ORDER + 1):
         here = np.flatnonzero(order == k)
         lower = shared[suffix[here]] if k > 1 else np.full(len(here), 1 / 256)
-        total = np.bincount(of[here], counted[here], len(contexts))
+        total = np.bincount(of[here], counted[here], size)
         cut = np.minimum(counted[here], SHARED_DISCOUNT)
-        given = np.bincount(of[here], cut, len(contexts))
+        given = np.bincount(of[here], cut, size)
         base = np.maximum(total[of[here]], 1e-9)
         shared[here] = (counted[here] - cut + given[of[here]] * lower) / base
     shared = np.maximum(shared, 1e-9)
     by_class = []
     for c in (0, 1):
-        total = contexts[f"total{c}"].to_numpy(float)[of]
-        left = 1 - contexts[f"kept{c}"].to_numpy(float)[of] / np.maximum(total, 1)
+        total = contexts[f"total{c}"][of]
+        left = 1 - contexts[f"kept{c}"][of] / np.maximum(total, 1)
         by_class.append(np.maximum(n[:, c] - CLASS_DISCOUNT, 0) / np.maximum(total, 1) + left * shared)
     ratio = np.log(by_class[1]) - np.log(by_class[0])
     ratio = np.sign(ratio) * np.maximum(np.abs(ratio) - LEAST_RATIO, 0)
-    return Model(contexts["context"].to_numpy(np.int64), keys, ratio)
+    return Model(contexts["context"], keys, ratio)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
