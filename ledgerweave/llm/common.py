@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,3 +70,8 @@ class Shared:
         if self._opened is None:
             self._opened = cloudpickle.loads(self._sent.value)
         return self._opened
+
+
+def vectorised(kind: str) -> Callable:
+    """A function of pandas columns as a Spark function of this type; made when used, so a session may come later."""
+    return lambda f: lambda *columns: F.pandas_udf(f, kind)(*columns)

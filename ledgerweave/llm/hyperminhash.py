@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.llm.common import ship, without, words
+from ledgerweave.llm.common import ship, vectorised, without, words
 from ledgerweave.llm.components import components
 from ledgerweave.session import stage
 
@@ -106,7 +106,7 @@ def estimate(equal: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (equal / REGISTERS - chance) / (1 - chance)
 
 
-@F.pandas_udf("key binary, n long, bands array<long>")
+@vectorised("key binary, n long, bands array<long>")
 def _sketch(texts):
     import hashlib
 
@@ -121,7 +121,7 @@ def _sketch(texts):
     return pd.DataFrame(out, columns=["key", "n", "bands"])
 
 
-@F.pandas_udf("boolean")
+@vectorised("boolean")
 def _likely(a, b, n, m):
     import pandas as pd
 
@@ -132,7 +132,7 @@ def _likely(a, b, n, m):
     return pd.Series((estimate((x == y).sum(1), n, m) >= PERCENT / 100 - MARGIN) & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)))
 
 
-@F.pandas_udf("boolean")
+@vectorised("boolean")
 def _linked(left, right):
     import pandas as pd
 

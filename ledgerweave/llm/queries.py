@@ -4,15 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import toxicity
+from ledgerweave.llm import bpe, hyperminhash, mixing, pii, toxicity
 from ledgerweave.llm.common import id_fold, table
 
 
+#: The tokenizer file of op7 and of the pipeline.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op1_bootstrapped_contexts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.extract(docs, keep_text=False)
+    counts = [F.size(F.filter("pii_base", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.digest("pii_base"), 256).alias("base_sha256"), pii.digest("pii").alias("spans"))
+
+
 def toxicity_model(spark, sf_dir, docs):
     """Learnt from the labelled documents whose fold of three is not 1."""
-    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    learnt = docs.where(id_fold(3) != 1).select("doc_id", "text").join(labels, "doc_id")
-    return toxicity.fit(learnt)
+    return toxicity.fit(docs, table(spark, sf_dir, "labels").where(id_fold(3) != 1))
 
 
 def op5_class_kneser_ney(spark, sf_dir):
@@ -23,7 +38,29 @@ def op5_class_kneser_ney(spark, sf_dir):
         (F.col("toxic_score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op7_chunk_reuse(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(docs, tokenizer_path()), tokenizer_path())
+    digits = F.array_join(F.col("token_ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(digits, 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op9_hyperminhash(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return hyperminhash.cluster(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op10_raking(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return mixed.select("doc_id", "topic", "tokens", F.round("mix_probability", 6).alias("probability"), F.col("mix_kept").alias("kept"))
+
+
 QUERIES = {
+    "op1_bootstrapped_contexts": op1_bootstrapped_contexts,
     "op5_class_kneser_ney": op5_class_kneser_ney,
+    "op7_chunk_reuse": op7_chunk_reuse,
+    "op9_hyperminhash": op9_hyperminhash,
+    "op10_raking": op10_raking,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_raking": mixing.oracle()}
