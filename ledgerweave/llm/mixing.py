@@ -3,8 +3,10 @@
 Documents fall into cells of source, language and topic. Raking scales the
 cells' token weights to the target shares of one dimension after another until
 all three marginals hold. A cell's ratio of raked to present tokens, divided by
-the largest ratio, is the probability with which each of its documents is kept,
-so the expected tokens of the sample have the target marginals exactly.
+a common scale, is the probability with which each of its documents is kept, so
+the expected tokens of the sample have the target marginals. The scale is the
+least power of 2^(1/16) above which cells of at most ``WHOLE`` of the raked
+weight have their ratio: those few, rare cells are kept whole.
 
 Whether a document is kept is decided by a hash of its id, not by chance: the
 same id always falls alike. A null source or language is a value of its own. A
@@ -29,6 +31,8 @@ TOPICS, LEAST_BYTES = 8, 5
 #: Present shares are raised to this power and normalised: rare values gain, frequent ones lose.
 TEMPER = 0.7
 ROUNDS = 8
+#: So much of the raked weight may be in cells that would need more tokens than they have.
+WHOLE = 0.01
 
 
 @vectorised("tokens long, topic int")
@@ -43,7 +47,7 @@ def _measured(texts):
         found = words(t)
         if len(known) > 400_000:  # what is kept for speed stays small
             known.clear()
-        for w in set(found) - known.keys():
+        for w in set(found).difference(known):
             known[w] = int(hashlib.md5(w).hexdigest()[0], 16) % TOPICS if len(w) >= LEAST_BYTES else TOPICS
         counts = np.bincount(np.fromiter(map(known.__getitem__, found), np.int64, len(found)), minlength=TOPICS + 1)[:TOPICS]
         tokens.append(len(found))
@@ -81,6 +85,19 @@ def _values(docs: DataFrame) -> list[Column]:
     return [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")).alias(c) for c in ("source", "lang")]
 
 
+def _scale(ratios: DataFrame) -> float:
+    """The least power of 2^(1/16) with at most WHOLE of the weight in larger ratios. The powers of
+    all positive doubles are some thirty thousand: a small table whatever the number of cells."""
+    power = F.ceil(F.round(F.log2("ratio") * 16, 6))
+    by = ratios.where("ratio > 0").groupBy(power.alias("power")).agg(F.sum("weight").alias("weight")).orderBy(F.desc("power")).collect()
+    above, total, least = 0.0, sum(w for _, w in by), 0
+    for p, w in by:
+        if above > WHOLE * total:
+            break
+        least, above = p, above + w
+    return 2.0 ** (least / 16)
+
+
 def mix(docs: DataFrame, power: float = TEMPER, rounds: int = ROUNDS, seed: str = "mix") -> DataFrame:
     """``docs`` with tokens, topic, mix_probability and mix_kept."""
     docs = without(docs, "tokens", "topic", "mix_probability", "mix_kept")
@@ -88,8 +105,8 @@ def mix(docs: DataFrame, power: float = TEMPER, rounds: int = ROUNDS, seed: str
     cells = stage(measured.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix-cells")
     raked = rake(cells, {d: tempered(cells, d, power) for d in DIMENSIONS}, rounds)
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    most = raked.agg(F.max(ratio)).first()[0] or 1.0
-    chance = stage(raked.select(*[F.col(d).alias(f"_mix_{d}") for d in DIMENSIONS], (ratio / most).alias("mix_probability")), "mix-chances")
+    scale = _scale(raked.select("weight", ratio.alias("ratio")))
+    chance = stage(raked.select(*[F.col(d).alias(f"_mix_{d}") for d in DIMENSIONS], F.least(F.lit(1.0), ratio / scale).alias("mix_probability")), "mix-chances")
     keyed = docs.withColumn("_mix_measured", _measured("text")).withColumns({f"_mix_{c.lower()}": v for c, v in zip(("source", "lang"), _values(docs), strict=True)})
     keyed = keyed.withColumn("_mix_topic", F.col("_mix_measured.topic"))
     drawn = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), id_text())), 1, 13), 16, 10).cast("double") / float(16**13)
@@ -121,8 +138,11 @@ cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens
   CASE WHEN s.margin > 0 THEN s.weight * coalesce(share, 0) * s.total / s.margin ELSE 0 END AS weight
   FROM (SELECT *, sum(weight) OVER (PARTITION BY {d}) AS margin, sum(tokens) OVER () AS total FROM ({last})) s LEFT JOIN target_{d} t ON s.{d} = t.{d})""")
             last = f"SELECT * FROM r{i}_{d}"
-    steps.append(f"ratios AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS ratio FROM ({last}))")
-    steps.append("chances AS (SELECT source, lang, topic, ratio / max(ratio) OVER () AS p FROM ratios)")
+    steps.append(f"ratios AS (SELECT source, lang, topic, weight, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS ratio FROM ({last}))")
+    steps.append("powers AS (SELECT ceil(round(log2(ratio) * 16, 6)) AS power, sum(weight) AS w FROM ratios WHERE ratio > 0 GROUP BY 1)")
+    steps.append(f"""scale AS (SELECT pow(2, coalesce(min(power), 0) / 16) AS scale FROM (
+  SELECT power, sum(w) OVER (ORDER BY power DESC) - w AS above, sum(w) OVER () AS total FROM powers) WHERE above <= {WHOLE} * total)""")
+    steps.append("chances AS (SELECT source, lang, topic, least(1.0, ratio / scale) AS p FROM ratios, scale)")
     return f"""WITH {', '.join(steps)}
 SELECT doc_id, topic, tokens, round(p, 6) AS probability,
   ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::UBIGINT::DOUBLE / {float(16**13)} < p AS kept

@@ -98,7 +98,7 @@ class Model:
             docs = [words(t) for t in texts[a:b]]
             if len(self.known) > 400_000:  # what is kept for speed stays small
                 self.known = {}
-            new = sorted(set().union(*docs) - self.known.keys())
+            new = sorted(set().union(*docs).difference(self.known))
             for i, j in runs((len(w) for w in new), 500_000) if new else ():
                 self.known.update(zip(new[i:j], self.spell(new[i:j]).tolist(), strict=True))
             known = self.known
