@@ -58,8 +58,8 @@ def _measured(texts):
 def tempered(cells: DataFrame, dimension: str, power: float = TEMPER) -> DataFrame:
     """Target shares of a dimension's values: their present shares tempered."""
     present = cells.groupBy(dimension).agg(F.sum("tokens").alias("present")).where("present > 0")
-    total = present.agg(F.sum(F.pow("present", F.lit(power))).alias("all"))
-    return present.crossJoin(F.broadcast(total)).select(dimension, (F.pow("present", F.lit(power)) / F.col("all")).alias("share"))  # one row
+    total = present.agg(F.sum(F.pow("present", F.lit(power)))).first()[0] or 1.0
+    return present.select(dimension, (F.pow("present", F.lit(power)) / total).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:

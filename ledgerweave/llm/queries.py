@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import bpe, hyperminhash, mixing, pii, toxicity
+from ledgerweave.llm import bpe, hyperminhash, mixing, multi_index, pii, rp_forest, sharding, toxicity
 from ledgerweave.llm.common import id_fold, table
 
 
@@ -25,6 +25,19 @@ def op1_bootstrapped_contexts(spark, sf_dir):
     return found.select("doc_id", *counts, F.sha2(pii.digest("pii_base"), 256).alias("base_sha256"), pii.digest("pii").alias("spans"))
 
 
+def op2_kd_tree(spark, sf_dir):
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"))
+    placed = sharding.shard(docs, ["source", "lang", "size"], shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_multi_index(spark, sf_dir):
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))\
+        .select("vec_id", "n_links", "component_id", "kept")
+
+
 def toxicity_model(spark, sf_dir, docs):
     """Learnt from the labelled documents whose fold of three is not 1."""
     return toxicity.fit(docs, table(spark, sf_dir, "labels").where(id_fold(3) != 1))
@@ -46,6 +59,10 @@ def op7_chunk_reuse(spark, sf_dir):
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_projection_forest(spark, sf_dir):
+    return rp_forest.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_hyperminhash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return hyperminhash.cluster(docs).select("doc_id", "n_shingles", "component_id", "kept")
@@ -58,8 +75,11 @@ def op10_raking(spark, sf_dir):
 
 QUERIES = {
     "op1_bootstrapped_contexts": op1_bootstrapped_contexts,
+    "op2_kd_tree": op2_kd_tree,
+    "op3_multi_index": op3_multi_index,
     "op5_class_kneser_ney": op5_class_kneser_ney,
     "op7_chunk_reuse": op7_chunk_reuse,
+    "op8_projection_forest": op8_projection_forest,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_raking": op10_raking,
 }
