@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import bpe, hyperminhash, mixing, multi_index, pii, rp_forest, sharding, toxicity
+from ledgerweave.llm import bpe, hmm, hyperminhash, mixing, multi_index, pii, rp_forest, sharding, toxicity, wrapper
 from ledgerweave.llm.common import id_fold, table
 
 
@@ -38,6 +38,12 @@ def op3_multi_index(spark, sf_dir):
         .select("vec_id", "n_links", "component_id", "kept")
 
 
+def op4_baum_welch(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = hmm.score(docs, id_fold(10) != 0)
+    return scored.select("doc_id", (id_fold(10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def toxicity_model(spark, sf_dir, docs):
     """Learnt from the labelled documents whose fold of three is not 1."""
     return toxicity.fit(docs, table(spark, sf_dir, "labels").where(id_fold(3) != 1))
@@ -51,6 +57,11 @@ def op5_class_kneser_ney(spark, sf_dir):
         (F.col("toxic_score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op6_wrapper_induction(spark, sf_dir):
+    found = wrapper.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
 def op7_chunk_reuse(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.decode(bpe.encode(docs, tokenizer_path()), tokenizer_path())
@@ -77,7 +88,9 @@ QUERIES = {
     "op1_bootstrapped_contexts": op1_bootstrapped_contexts,
     "op2_kd_tree": op2_kd_tree,
     "op3_multi_index": op3_multi_index,
+    "op4_baum_welch": op4_baum_welch,
     "op5_class_kneser_ney": op5_class_kneser_ney,
+    "op6_wrapper_induction": op6_wrapper_induction,
     "op7_chunk_reuse": op7_chunk_reuse,
     "op8_projection_forest": op8_projection_forest,
     "op9_hyperminhash": op9_hyperminhash,
