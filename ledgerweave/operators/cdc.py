@@ -149,11 +149,13 @@ def registry_gaps(events: DataFrame, ledgers: DataFrame, codes: DataFrame) -> Da
 
 
 def tails(records_df: DataFrame) -> DataFrame:
-    """The last record of every partition that has one."""
-    rest = [c for c in records_df.columns if c not in ("topic", "partition")]
-    return records_df.groupBy("topic", "partition").agg(
-        F.max_by(F.struct(*rest), "offset").alias("r")
-    ).select("topic", "partition", "r.*")
+    """The last record of every partition that has one.
+
+    The last offsets come from the offset columns alone; the records are then
+    picked by equality, so their values are read for one record a partition.
+    """
+    last = records_df.groupBy("topic", "partition").agg(F.max("offset").alias("offset"))
+    return records_df.join(F.broadcast(last), ["topic", "partition", "offset"]).select(*records_df.columns)
 
 
 def resume_cursor(records_df: DataFrame) -> DataFrame:

@@ -64,41 +64,58 @@ def chain_errors(events: DataFrame) -> DataFrame:
     )
 
 
-def two_phase(events: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+def two_phase(events: DataFrame, earlier: DataFrame | None = None, fallen: DataFrame | None = None) -> DataFrame:
     """Match posts and voids with their pending transfer; the first good one wins.
 
     Adds ``p_amount, p_debit, p_credit``: what the resolved transfer reserved, and where.
     ``earlier`` holds rows a previous call returned, for a stream posted in batches.
+    ``fallen`` (chain_id) are chains that fail: what they would do counts only for
+    their own legs, which are judged as if the chain stood until its first failure.
     """
-    plain = events.filter(f"not ({RESOLVES})")
-    needed = ["id", "seq", "flags", "amount", "debit_account_id", "credit_account_id", "error"]
+    needed = ["id", "seq", "flags", "amount", "debit_account_id", "credit_account_id", "error", "chain_id", "_fallen"]
+    if fallen is None:
+        marked = events.withColumn("_fallen", F.lit(False))
+    else:
+        chains = fallen.select(F.col("chain_id").alias("_chain"), F.lit(True).alias("_down"))
+        marked = events.join(chains, F.expr("coalesce(chain_id, -seq) = _chain"), "left").selectExpr(
+            *events.columns, "_down is not null as _fallen")
+    plain = marked.filter(f"not ({RESOLVES})")
     known = plain.select(*needed)
     if earlier is not None:
-        known = known.unionByName(earlier.filter(f"not ({RESOLVES})").select(*needed))
+        # other calls' chains are done with; their numbers may come again
+        before = earlier.selectExpr(*[c for c in earlier.columns if c != "chain_id"], "cast(null as bigint) as chain_id", "false as _fallen")
+        known = known.unionByName(before.filter(f"not ({RESOLVES})").select(*needed))
     targets = known.filter("error is null").selectExpr(
         "id as _p", "seq as _p_seq", "flags as _p_flags", "amount as p_amount",
-        "debit_account_id as p_debit", "credit_account_id as p_credit",
+        "debit_account_id as p_debit", "credit_account_id as p_credit", "if(_fallen, chain_id, null) as _p_only",
     )
     matched = (
-        events.filter(RESOLVES)
-        .join(targets, F.expr("pending_id = _p and _p_seq < seq"), "left")
+        marked.filter(RESOLVES)
+        .join(targets, F.expr("pending_id = _p and _p_seq < seq and (_p_only is null or _p_only = chain_id)"), "left")
         .selectExpr(
-            *[c for c in events.columns if c != "error"], "p_amount", "p_debit", "p_credit",
+            *[c for c in marked.columns if c != "error"], "p_amount", "p_debit", "p_credit",
             "coalesce(error, case when _p is null then 'pending_transfer_not_found'"
             f" when (_p_flags & {v.PENDING}) = 0 then 'pending_transfer_not_pending'"
             f" when (flags & {v.POST}) <> 0 and amount > p_amount then 'exceeds_pending_transfer_amount' end)"
             " as error",
         )
     )
-    claims = matched.filter("error is null").select("pending_id", "seq")
+    claims = matched.filter("error is null").select("pending_id", "seq", "chain_id", "_fallen")
+    standing = claims.filter("not _fallen").select("pending_id", "seq")
     if earlier is not None:
-        claims = claims.unionByName(earlier.filter(f"error is null and {RESOLVES}").select("pending_id", "seq"))
-    winners = claims.groupBy("pending_id").agg(F.min("seq").alias("_won")).withColumnRenamed("pending_id", "_resolved")
-    resolved = matched.join(winners, F.expr("pending_id = _resolved"), "left").selectExpr(
-        *[c for c in matched.columns if c != "error"],
-        "coalesce(error, case when seq <> _won then 'pending_transfer_already_resolved' end) as error",
+        standing = standing.unionByName(earlier.filter(f"error is null and {RESOLVES}").select("pending_id", "seq"))
+    winners = standing.groupBy("pending_id").agg(F.min("seq").alias("_won")).withColumnRenamed("pending_id", "_resolved")
+    resolved = matched.join(winners, F.expr("pending_id = _resolved"), "left")
+    lost = "_won < seq"
+    if fallen is not None:
+        own = claims.filter("_fallen").groupBy("pending_id", "chain_id").agg(F.min("seq").alias("_own")).toDF("_own_p", "_own_chain", "_own")
+        resolved = resolved.join(own, F.expr("_fallen and pending_id = _own_p and chain_id = _own_chain"), "left")
+        lost = "_won < seq or _own < seq"
+    resolved = resolved.selectExpr(
+        *[c for c in matched.columns if c not in ("error", "_fallen")],
+        f"coalesce(error, case when {lost} then 'pending_transfer_already_resolved' end) as error",
     )
-    return resolved.unionByName(plain, allowMissingColumns=True)
+    return resolved.unionByName(plain.drop("_fallen"), allowMissingColumns=True)
 
 
 def post(events: DataFrame, accounts: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
@@ -106,15 +123,27 @@ def post(events: DataFrame, accounts: DataFrame, earlier: DataFrame | None = Non
 
     With ``earlier`` posted rows, ids that are already decided are left out.
 
-    Chains are judged before posts and voids, so a post or void inside a chain
-    belongs to ``limits.settle``.
+    A chain falls with any of its legs, a post or void too. Whether such a leg
+    fails may depend on whether an earlier chain fell, so chains with posts or
+    voids are judged in rounds, until no verdict changes; the n-th round is right
+    for every chain with fewer than n such chains before it that it depends on.
     """
     firsts = first_copies(events)
     if earlier is not None:
         firsts = firsts.join(earlier.select(F.col("id").alias("_e")), F.expr("id = _e"), "left_anti")
     # written once: the rules below look at these rows from several sides
     checked = stage(account_errors(firsts, accounts), "checked")
-    return two_phase(chain_errors(checked), earlier)
+    fallen = checked.filter("error is not null and chain_id is not null").select("chain_id").distinct()
+    if checked.filter(f"chain_id is not null and {RESOLVES}").isEmpty():
+        return two_phase(chain_errors(checked), earlier)
+    fallen = stage(fallen, "fallen")
+    while True:
+        judged = two_phase(checked, earlier, fallen)
+        now = stage(judged.filter("error is not null and chain_id is not null").select("chain_id").distinct(), "fallen")
+        settled = now.join(fallen, "chain_id", "left_anti").isEmpty() and fallen.join(now, "chain_id", "left_anti").isEmpty()
+        if settled:
+            return chain_errors(judged)
+        fallen = now
 
 
 def outcomes(events: DataFrame, posted: DataFrame) -> DataFrame:

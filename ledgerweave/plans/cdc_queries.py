@@ -140,12 +140,12 @@ def cdc_body(spark, sf):
     return cdc.with_digits(_shown(spark, sf)).selectExpr("timestamp", f"{cdc.body()} as body")
 
 
-@query("cdc_records", f"""WITH {_SHOWN} SELECT debit AS key, length({_BODY}) AS n_bytes, {_TYPES} AS event_type, ledger_name AS ledger, t_code AS transfer_code,
+@query("cdc_records", f"""WITH {_SHOWN} SELECT debit AS key, octet_length(encode({_BODY})) AS n_bytes, sha256({_BODY}) AS body_sha256, {_TYPES} AS event_type, ledger_name AS ledger, t_code AS transfer_code,
  dc_name AS debit_account_code, cc_name AS credit_account_code, seq::VARCHAR AS timestamp, 6 AS n_headers FROM shown""")
 def cdc_records(spark, sf):
     names = ("event_type", "ledger", "transfer_code", "debit_account_code", "credit_account_code", "timestamp")
     return cdc.records(_shown(spark, sf), "ledger.changes").selectExpr(
-        "cast(key as string) as key", "octet_length(value) as n_bytes", "size(headers) as n_headers",
+        "cast(key as string) as key", "octet_length(value) as n_bytes", "sha2(value, 256) as body_sha256", "size(headers) as n_headers",
         *[f"{header('headers', n)} as {n}" for n in names])
 
 

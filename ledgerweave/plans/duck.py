@@ -151,16 +151,16 @@ cmd AS (SELECT *, CASE WHEN topic = 'ledger.unrouted' THEN 'unknown_topic' WHEN
  FROM (SELECT *, CASE et WHEN 'signup' THEN NULL WHEN 'purchase' THEN dec0 WHEN 'view' THEN dec0 WHEN 'click' THEN dec0
   ELSE CASE form WHEN 0 THEN 'json: parse error' WHEN 1 THEN 'json: unknown field "amont"'
    WHEN 2 THEN 'transfers[0]: amount "12.3456": has 4 decimals, scale is ' || scale
-   WHEN 3 THEN 'transfers[0]: parse id "not-a-uuid": invalid UUID' WHEN 4 THEN 'transfers[0]: unknown ledger "ATLANTIS"'
+   WHEN 3 THEN 'transfers[0]: parse id "no-identity": invalid UUID' WHEN 4 THEN 'transfers[0]: unknown ledger "ATLANTIS"'
    WHEN 5 THEN 'transfers[0]: unknown code "unlisted"' WHEN 6 THEN 'transfers[0]: unknown transfer flag "balancing_debt"'
-   WHEN 7 THEN 'transfers: empty' WHEN 8 THEN 'unknown operation "bogus_operation"'
+   WHEN 7 THEN 'transfers: empty' WHEN 8 THEN 'unknown operation "rename_ledger"'
    WHEN 9 THEN 'operation create_transfers must not carry accounts' WHEN 10 THEN 'transfers[0]: id must not be zero'
    WHEN 11 THEN 'json: parse error' WHEN 12 THEN 'transfers[0]: pending_id only valid with post/void flags'
    WHEN 13 THEN 'transfers[0]: pending_id required for post/void'
    WHEN 14 THEN 'message too large: ' || (el_len + 47 + 5000) || ' bytes, limit 4096'
    WHEN 15 THEN 'json nesting too deep: limit 32' WHEN 16 THEN 'too many events: 4, limit 3'
    WHEN 17 THEN 'transfers[0]: timeout "soon": time: invalid duration "soon"'
-   WHEN 18 THEN 'transfers[0]: transfer flag "imported" is read-only in this connector: importing requires caller-supplied event timestamps, which this connector does not support'
+   WHEN 18 THEN 'transfers[0]: transfer flag "imported" is read-only in this connector: imported objects bring times of their own, and a command has no field for them'
    ELSE 'json: value of the wrong type' END END AS detail0 FROM c2))"""
 
 # expected events of usable commands: idx, id, flags, ...

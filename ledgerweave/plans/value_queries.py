@@ -119,11 +119,13 @@ def format_amount(spark, sf):
     )
 
 
-@query("parse_timeout", """WITH x AS (SELECT event_id AS k, event_id % 9 AS form, event_id AS n, user_id AS u FROM events),
+@query("parse_timeout", """WITH x AS (SELECT event_id AS k, event_id % 11 AS form, event_id AS n, user_id AS u FROM events),
 y AS (SELECT *, CASE form WHEN 0 THEN n || 's' WHEN 1 THEN n || 'm' || u || 's' WHEN 2 THEN n || 'h' WHEN 3 THEN n || 'ms' WHEN 4 THEN '-' || n || 's'
- WHEN 5 THEN n::VARCHAR WHEN 6 THEN n || '.5m' WHEN 7 THEN n || 'h' || u || 'm0.25s' ELSE n || ' s' END AS s,
+ WHEN 5 THEN n::VARCHAR WHEN 6 THEN n || '.5m' WHEN 7 THEN n || 'h' || u || 'm0.25s'
+ WHEN 9 THEN '0.000277777777777' || repeat('7', (n % 40)::INT) || CASE WHEN n % 2 = 0 THEN '8h' ELSE '7h' END WHEN 10 THEN '1.' || repeat('0', (n % 30)::INT) || '5s' ELSE n || ' s' END AS s,
  CASE form WHEN 0 THEN n * 1000 WHEN 1 THEN n * 60000 + u * 1000 WHEN 2 THEN n * 3600000 WHEN 3 THEN n WHEN 4 THEN -n * 1000
-  WHEN 5 THEN CASE WHEN n = 0 THEN 0 END WHEN 6 THEN n * 60000 + 30000 WHEN 7 THEN n * 3600000 + u * 60000 + 250 END AS ms FROM x),
+  WHEN 5 THEN CASE WHEN n = 0 THEN 0 END WHEN 6 THEN n * 60000 + 30000 WHEN 7 THEN n * 3600000 + u * 60000 + 250
+  WHEN 9 THEN CASE WHEN n % 2 = 0 THEN 1000 ELSE 999 END WHEN 10 THEN 1000 + CASE WHEN n % 30 = 0 THEN 500 ELSE 0 END END AS ms FROM x),
 z AS (SELECT *, CASE WHEN ms IS NULL OR ms > 9223372036854 THEN 'time: invalid duration "' || s || '"' WHEN ms <= 0 THEN 'must be positive'
  WHEN ms < 1000 OR ms > 4294967295999 THEN 'out of range for uint32 seconds' END AS e FROM y)
 SELECT k, CASE WHEN e IS NULL THEN ms // 1000 END AS seconds, CASE WHEN e IS NOT NULL THEN 'timeout "' || s || '": ' || e END AS error FROM z""")
@@ -131,10 +133,12 @@ def parse_timeout(spark, sf):
     return (
         t.load(spark, sf, "events").selectExpr(
             "event_id as k",
-            "case event_id % 9 when 0 then concat(event_id, 's') when 1 then concat(event_id, 'm', user_id, 's')"
+            "case event_id % 11 when 0 then concat(event_id, 's') when 1 then concat(event_id, 'm', user_id, 's')"
             " when 2 then concat(event_id, 'h') when 3 then concat(event_id, 'ms') when 4 then concat('-', event_id, 's')"
             " when 5 then cast(event_id as string) when 6 then concat(event_id, '.5m')"
-            " when 7 then concat(event_id, 'h', user_id, 'm0.25s') else concat(event_id, ' s') end as s")
+            " when 7 then concat(event_id, 'h', user_id, 'm0.25s')"
+            " when 9 then concat('0.000277777777777', repeat('7', cast(event_id % 40 as int)), if(event_id % 2 = 0, '8h', '7h'))"
+            " when 10 then concat('1.', repeat('0', cast(event_id % 30 as int)), '5s') else concat(event_id, ' s') end as s")
         .selectExpr("k", "s", f"{v.timeout_nanos('s')} as nanos")
         .selectExpr("k", "nanos", f"{v.timeout_error('s', 'nanos')} as error")
         .selectExpr("k", f"case when error is null then {v.timeout_seconds('nanos')} end as seconds", "error")
@@ -159,15 +163,15 @@ def _flag_query(table: list[str], kind: str):
             .selectExpr("event_id as k", f"cast(if(event_id % 3 = 0, event_id, event_id & {_writable(table)}) % {1 << len(pool)} as int) as bits")
             .selectExpr("k", f"array_compact(array({picks})) as names")
             .selectExpr("k", f"{v.flag_error('names', table, kind)} as problem", f"{v.flag_mask('names', table)} as m")
-            .selectExpr("k", "if(problem is null, m, null) as mask", "substr(problem, 1, 40) as problem")
+            .selectExpr("k", "if(problem is null, m, null) as mask", "problem")
         )
 
     read_only = 1 << table.index("imported")
     unknown = 1 << len(table)
     oracle = f"""WITH x AS (SELECT event_id AS k, ((CASE WHEN event_id % 3 = 0 THEN event_id ELSE event_id & {_writable(table)} END) % {1 << len(pool)})::INT AS bits FROM events)
 SELECT k, CASE WHEN bits & {read_only | unknown} = 0 THEN bits END AS mask,
- CASE WHEN bits & {read_only} <> 0 THEN '{(kind + ' flag "imported" is read-only in this connector')[:40]}'
-  WHEN bits & {unknown} <> 0 THEN '{('unknown ' + kind + ' flag "balancing_debt"')[:40]}' END AS problem FROM x"""
+ CASE WHEN bits & {read_only} <> 0 THEN '{kind} flag "imported" is read-only in this connector: {v.READ_ONLY_REASON}'
+  WHEN bits & {unknown} <> 0 THEN 'unknown {kind} flag "balancing_debt"' END AS problem FROM x"""
     return run, oracle
 
 

@@ -238,16 +238,16 @@ def _message() -> str:
         "'not json at all'",
         _transfers_json(_transfer_json(one, amont="amount")),
         _transfers_json(_transfer_json(one, amount="'12.3456'")),
-        _transfers_json(_transfer_json("'not-a-uuid'")),
+        _transfers_json(_transfer_json("'no-identity'")),
         _transfers_json(_transfer_json(one, ledger="'ATLANTIS'")),
         _transfers_json(_transfer_json(one, code="'unlisted'")),
         _transfers_json(_transfer_json(one, flags="'[\"balancing_debt\"]'")),
         "'{\"operation\":\"create_transfers\",\"transfers\":[]}'",
-        "'{\"operation\":\"bogus_operation\",\"transfers\":[]}'",
+        "'{\"operation\":\"rename_ledger\",\"transfers\":[]}'",
         f"concat('{{\"operation\":\"create_transfers\",\"transfers\":[', {plain},"
         " '],\"accounts\":[{\"id\":\"', debit, '\",\"ledger\":\"', r_name, '\",\"code\":\"new\"}]}')",
         _transfers_json(_transfer_json("'00000000-0000-0000-0000-000000000000'")),
-        "concat('{\"operation\":\"create_transfers\",\"transfers\":[{\"id\":\"', ident, '\"')",
+        "concat('{\"operation\":\"create_transfers\",\"transfers\":[{\"code\":\"new\",\"id\":\"', ident)",
         _transfers_json(_transfer_json(one, pending_id=two)),
         _transfers_json(_transfer_json(one, flags="'[\"post_pending_transfer\"]'")),
         f"concat({_transfers_json(plain)}, repeat(' ', 5000))",
