@@ -7,16 +7,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerweave.operators.scan import previous, running_sums
+from ledgerweave.operators.scan import dense, previous, running_sums
 
 RECORD = ["topic", "partition", "offset"]
 
 
 def op_runs(commands: DataFrame) -> DataFrame:
     """Number the runs of consecutive commands of one kind per topic partition."""
-    marked = previous(commands, ["topic", "partition"], "offset", "op", "_before")
+    marked = previous(commands, ["topic", "partition"], "offset", "op", "_before", dense("offset"))
     return running_sums(
-        marked, ["topic", "partition"], "offset", {"run": "if(_before is null or _before <> op, 1, 0)"}
+        marked, ["topic", "partition"], "offset", {"run": "if(_before is null or _before <> op, 1, 0)"}, dense("offset")
     ).drop("_before")
 
 

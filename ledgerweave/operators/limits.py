@@ -35,9 +35,10 @@ def settle(
     """One row per transfer id with its ``error``, limits included.
 
     ``opening`` holds earlier balances (``account_id`` and the four limb
-    columns) of accounts that already moved. An account carries at most one of
-    the two limit flags.
+    columns) of accounts that already moved. An account with both limit flags does
+    not exist: no ledger creates it.
     """
+    accounts = accounts.filter(f"not ({posting.BOTH_CAPS})")
     firsts = stage(_prepared(events, accounts), "limits-firsts")
     state = firsts.withColumn("status", F.expr(
         f"if(max(if(e1 is not null, 1, 0)) over (partition by chain_key) = 1, {REJECTED}, {UNDECIDED})"))

@@ -15,6 +15,8 @@ from ledgerweave.functions import uint128 as u128
 from ledgerweave.functions import values as v
 from ledgerweave.session import stage
 
+#: An account cannot carry both limits: such accounts are never created.
+BOTH_CAPS = f"(flags & {v.DEBITS_CAPPED | v.CREDITS_CAPPED}) = {v.DEBITS_CAPPED | v.CREDITS_CAPPED}"
 RESOLVES = f"(flags & {v.POST | v.VOID}) <> 0"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.operators.scan import running_sums
+from ledgerweave.operators.scan import dense, running_sums
 
 PART = ["topic", "partition"]
 
@@ -94,7 +94,7 @@ def pass_cap(records: DataFrame, limit: int) -> DataFrame:
     The rank comes from a two-level running count, so one busy partition is
     still counted by many tasks.
     """
-    ranked = running_sums(records, PART, "offset", {"_rank": "1"})
+    ranked = running_sums(records, PART, "offset", {"_rank": "1"}, dense("offset"))
     return ranked.filter(f"_rank <= {limit}").drop("_rank")
 
 

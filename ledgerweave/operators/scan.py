@@ -18,6 +18,18 @@ from ledgerweave.session import stage
 BUCKET = 1 << 16
 
 
+def dense(order: str) -> str:
+    """Buckets by value, for an order that has few gaps, such as the offsets of a topic partition."""
+    return f"{order} div {BUCKET}"
+
+
+def _bucketed(df: DataFrame, keys: list[str], order: str, bucket: str | None) -> DataFrame:
+    """Add ``_b``: without a bucket of the caller's, by rank, so that gaps in the order do not matter."""
+    if bucket:
+        return df.withColumn("_b", F.expr(bucket))
+    return number_rows(df, [*keys, order], "_rank").withColumn("_b", F.expr(dense("_rank"))).drop("_rank")
+
+
 def number_rows(df: DataFrame, order: list[str], out: str = "rn") -> DataFrame:
     """Dense 1-based numbering of the whole table along a total order.
 
@@ -49,9 +61,8 @@ def number_rows(df: DataFrame, order: list[str], out: str = "rn") -> DataFrame:
 def running_sums(
     df: DataFrame, keys: list[str], order: str, sums: dict[str, str], bucket: str | None = None
 ) -> DataFrame:
-    """Add inclusive running sums per key along a unique integer ``order``."""
-    bucket = bucket or f"{order} div {BUCKET}"
-    df = df.withColumn("_b", F.expr(bucket))
+    """Add inclusive running sums per key along an ``order`` that is unique within the key."""
+    df = _bucketed(df, keys, order, bucket)
     totals = df.groupBy(*keys, "_b").agg(*[F.expr(f"sum({e})").alias(n) for n, e in sums.items()])
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     opening = totals.select(
@@ -78,8 +89,7 @@ def previous(
     df: DataFrame, keys: list[str], order: str, value: str, out: str, bucket: str | None = None
 ) -> DataFrame:
     """Add the value of the row before, per key, across bucket borders too."""
-    bucket = bucket or f"{order} div {BUCKET}"
-    df = df.withColumn("_b", F.expr(bucket))
+    df = _bucketed(df, keys, order, bucket)
     by_bucket = Window.partitionBy(*keys).orderBy("_b")
     tails = (
         df.groupBy(*keys, "_b").agg(F.max_by(F.col(value), F.col(order)).alias("_last"))

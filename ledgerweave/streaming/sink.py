@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerweave.functions import uint128 as u128
+from ledgerweave.functions import values as v
 from ledgerweave.operators import batches, emit, metrics, posting
 from ledgerweave.operators.decode import CREATE_ACCOUNTS, CREATE_TRANSFERS, DecodeOptions, decode, explode_events
 from ledgerweave.operators.scan import number_rows
@@ -62,6 +63,10 @@ class SinkTables:
         return self.read(spark, "posted", POSTED_SCHEMA)
 
 
+class LimitsNotEnforced(RuntimeError):
+    """Going on would accept debits beyond an account's limit."""
+
+
 Poster = Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
 
 
@@ -82,9 +87,13 @@ def process_batch(
 
     before = F.col("batch") < batch_id
     old_accounts = tables.accounts(spark).filter(before).drop("batch")
-    created = events.filter(f"op = '{CREATE_ACCOUNTS}'").groupBy("id").agg(
+    creating = events.filter(f"op = '{CREATE_ACCOUNTS}'")
+    created = creating.filter(f"not ({posting.BOTH_CAPS})").groupBy("id").agg(
         F.min_by(F.struct("ledger_id", "code", "flags", F.col("seq").alias("created")), "seq").alias("a")
     ).select("id", "a.*").join(old_accounts.select("id"), "id", "left_anti")
+    if poster is posting.post and not creating.filter(
+            f"not ({posting.BOTH_CAPS}) and (flags & {v.DEBITS_CAPPED | v.CREDITS_CAPPED}) <> 0").isEmpty():
+        raise LimitsNotEnforced("an account asks for a spending limit, which this poster does not enforce")
     tables.write(created, "accounts", batch_id)
     done("accounts")
     # only this batch's own directory is new: what a failed attempt left in it is overwritten
@@ -108,7 +117,8 @@ def process_batch(
 
     verdicts = fresh.select("id", "error").unionByName(earlier.select("id", "error"))
     outcomes = posting.outcomes(transfers, verdicts).unionByName(
-        events.filter(f"op = '{CREATE_ACCOUNTS}'").selectExpr("*", "'ok' as status", "cast(null as string) as error"))
+        creating.selectExpr("*", f"if({posting.BOTH_CAPS}, 'rejected', 'ok') as status",
+                            f"if({posting.BOTH_CAPS}, 'flags_are_mutually_exclusive', null) as error"))
     outcomes = stage(outcomes, f"outcomes-{batch_id}")
     tables.write(posting.balances(posting.legs(fresh)), "balances", batch_id)
     tables.write(emit.results(decoded, outcomes, results_topic), "results", batch_id)
