@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # fixed values: histogram bounds
 BATCH_BOUNDS = [1, 10, 100, 500, 1000, 2000, 4000, 8189]
@@ -44,9 +45,38 @@ def histogram(df: DataFrame, value: str, bounds: list, by: list[str] | None = No
     return counts.selectExpr(*(by or []), f"inline(array({pairs}, named_struct('le', '+Inf', 'n', _all)))")
 
 
+#: Cuts that spread the values of one key over buckets; they only balance the work, the result is exact.
+CUTS = 100
+
+
 def statistics(df: DataFrame, value: str, by: list[str]) -> DataFrame:
-    return df.groupBy(*by).agg(
-        F.count("*").alias("n"), F.expr(f"sum({value})").alias("total"),
-        *[F.expr(f"percentile({value}, {q})").alias(name)
-          for name, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))],
-    )
+    """Count, total and exact quantiles (linear between ranks) of ``value`` for each key.
+
+    Ranks are found in two levels: a partial count of every value, a prefix sum
+    over the buckets of a key, and one over the values inside each bucket. No
+    task holds all values of a key. Nulls are left out of the quantiles.
+    """
+    quantiles = (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))
+    totals = df.groupBy(*by).agg(
+        F.count("*").alias("n"), F.expr(f"sum({value})").alias("total"), F.count(F.expr(value)).alias("_n"),
+        F.expr(f"percentile_approx({value}, array({', '.join(f'{i / CUTS}D' for i in range(1, CUTS))}), 1000)").alias("_cuts"))
+    keys = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]
+    named = totals.select(*[F.col(c).alias(f"_k_{c}") for c in by], "_n", "_cuts")
+    counts = df.filter(f"{value} is not null").groupBy(*by, F.expr(value).alias("_v")).agg(F.count("*").alias("_c"))
+    counts = counts.join(named, keys).select(
+        *by, "_v", "_c", "_n", F.expr("size(filter(_cuts, c -> c < _v))").alias("_b"))
+    buckets = counts.groupBy(*by, "_b").agg(F.sum("_c").alias("_all"))
+    start = buckets.select(
+        *[F.col(c).alias(f"_k_{c}") for c in by], F.col("_b").alias("_at"),
+        (F.sum("_all").over(Window.partitionBy(*by).orderBy("_b")) - F.col("_all")).alias("_start"))
+    inside = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("_in", F.sum("_c").over(inside)).join(start, [*keys, F.col("_b") == F.col("_at")]).withColumn(
+        "_upto", F.col("_start") + F.col("_in"))
+    ends = ranked.groupBy(*by).agg(*[
+        F.expr(f"min(if(_upto > {side}({q}D * (_n - 1)), _v, null))").alias(f"_{name}_{side}")
+        for name, q in quantiles for side in ("floor", "ceil")])
+    ends = ends.select(*[F.col(c).alias(f"_k_{c}") for c in by], *[c for c in ends.columns if c not in by])
+    spot = {name: f"({q}D * (_n - 1))" for name, q in quantiles}
+    return totals.join(ends, keys, "left").selectExpr(*by, "n", "total", *[
+        f"cast(if(floor({r}) = ceil({r}), _{name}_floor, (ceil({r}) - {r}) * _{name}_floor + ({r} - floor({r})) * _{name}_ceil) as double) as {name}"
+        for name, r in spot.items()])
