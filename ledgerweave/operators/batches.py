@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerweave.operators.scan import dense, previous, running_sums
 
+# workers get these functions by value and need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 RECORD = ["topic", "partition", "offset"]
 
 
@@ -20,39 +27,103 @@ def op_runs(commands: DataFrame) -> DataFrame:
     ).drop("_before")
 
 
-def _greedy(limit: int):
-    """Fold commands in order: a change of kind or a full batch starts the next one."""
+#: Offsets of one block of a partition; the result does not depend on it.
+BLOCK = 1 << 17
+
+
+def _walk(op, n, limit: int):
+    """For each command: where the batch that starts with it ends (exclusive)."""
+    total = np.concatenate([[0], np.cumsum(n)])
+    change = np.flatnonzero(op[1:] != op[:-1]) + 1
+    runs = np.searchsorted(change, np.arange(len(op)), side="right")
+    run_end = np.concatenate([change, [len(op)]])[runs]
+    return total, run_end, np.minimum(np.searchsorted(total, total[:-1] + limit, side="right") - 1, run_end)
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("offset")
-        batch, filled, kind, out = 0, 0, None, []
-        for op, n in zip(pdf["op"], pdf["n_events"]):
-            if filled and (op != kind or filled + n > limit):
-                batch, filled = batch + 1, 0
-            out.append(batch)
-            filled, kind = filled + n, op
-            if filled >= limit:
-                batch, filled = batch + 1, 0
-        return pdf.assign(batch=out)
 
-    return pack
+def _first_end(total, run_end, limit: int, filled):
+    """Where a batch ends that enters the block with ``filled`` events of the first command's kind."""
+    return np.minimum(np.searchsorted(total, limit - filled, side="right") - 1, run_end[0])
 
 
-def command_batches(commands: DataFrame, limit: int, flush_every: int = 65536) -> DataFrame:
+def _outlook(limit: int):
+    """What a block makes of every possible entry: batches begun in it, and how full the last one is left."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("offset")
+        op, n = pdf["op"].to_numpy(), pdf["n_events"].to_numpy()
+        total, run_end, end = _walk(op, n, limit)
+        size = len(op)
+        begun, left = np.ones(size + 1, np.int64), np.zeros(size + 1, np.int64)
+        begun[size] = 0
+        for i in range(size - 1, -1, -1):
+            if end[i] < size:
+                begun[i], left[i] = 1 + begun[end[i]], left[end[i]]
+            else:
+                left[i] = (total[size] - total[i]) % limit
+        filled = np.arange(limit)
+        at = _first_end(total, run_end, limit, filled)
+        through = at == size
+        enters = np.where(through, 0, begun[at])
+        leaves = np.where(through, (filled + total[size]) % limit, left[at])
+        enters[0], leaves[0] = begun[0], left[0]
+        return pd.DataFrame({
+            "topic": pdf["topic"].iloc[:1], "partition": pdf["partition"].iloc[:1], "block": pdf["block"].iloc[:1],
+            "first": op[:1], "last": op[-1:], "begun": [enters], "left": [leaves]})
+
+    return run
+
+
+def _entries(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Follow a partition's blocks in order: how each is entered."""
+    pdf = pdf.sort_values("block")
+    filled, kind, batches, out = 0, None, 0, []
+    for first, last, begun, left in zip(pdf["first"], pdf["last"], pdf["begun"], pdf["left"], strict=True):
+        filled = filled if first == kind else 0
+        out.append((filled, batches))
+        batches, filled, kind = batches + int(begun[filled]), int(left[filled]), last
+    return pdf[["topic", "partition", "block"]].assign(filled=[f for f, _ in out], before=[b for _, b in out])
+
+
+def _placed(limit: int):
+    """Number the batches of a block whose entry is known."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("offset")
+        total, run_end, end = _walk(pdf["op"].to_numpy(), pdf["n_events"].to_numpy(), limit)
+        filled, batch, at = int(pdf["filled"].iloc[0]), int(pdf["before"].iloc[0]) - 1, 0
+        out = np.empty(len(pdf), np.int64)
+        if filled:
+            at = int(_first_end(total, run_end, limit, filled))
+            out[:at] = batch
+        while at < len(out):
+            batch += 1
+            out[at:end[at]] = batch
+            at = int(end[at])
+        return pdf[["topic", "partition", "offset", "op", "n_events"]].assign(batch=out)
+
+    return run
+
+
+def command_batches(commands: DataFrame, limit: int, block: int = BLOCK) -> DataFrame:
     """Greedy packing of whole commands, never across a run, at most ``limit`` events.
 
-    A batch is also sent every ``flush_every`` offsets, as a lingering sender
-    would; that bounds the group one task folds, however busy a partition is.
-    Commands that can never be sent keep their reason in ``error``.
+    Exact for partitions of any length: each block of offsets works out what it
+    would do for every fill level it may be entered with, one short pass over
+    the blocks of a partition picks the level that comes true, and the blocks
+    then number their batches. A block is one task's group; of a partition only
+    the outlooks (``limit`` numbers a block) come together. Commands that can
+    never be sent keep their reason in ``error``.
     """
     sized = commands.select("topic", "partition", "offset", "op", "n_events").withColumn("error", F.expr(
         f"case when n_events = 0 then 'empty_command' when n_events > {limit} then 'command_too_large' end"))
-    blocks = sized.filter("error is null").selectExpr(
-        "topic", "partition", f"offset div {flush_every} as flush", "offset", "op", "n_events", "0 as batch")
-    packed = blocks.groupBy("topic", "partition", "flush").applyInPandas(
-        _greedy(limit),
-        "topic string, partition int, flush bigint, offset bigint, op string, n_events int, batch int",
-    )
+    rows = sized.filter("error is null").withColumn("block", F.expr(f"offset div {block}")).drop("error")
+    place = ["topic", "partition", "block"]
+    known = "topic string, partition int, block bigint"
+    outlook = rows.groupBy(*place).applyInPandas(
+        _outlook(limit), f"{known}, first string, last string, begun array<bigint>, left array<bigint>")
+    entered = outlook.groupBy("topic", "partition").applyInPandas(_entries, f"{known}, filled bigint, before bigint")
+    packed = rows.join(entered, place).groupBy(*place).applyInPandas(
+        _placed(limit), "topic string, partition int, offset bigint, op string, n_events int, batch bigint")
     return packed.unionByName(sized.filter("error is not null"), allowMissingColumns=True)
 
 

@@ -222,9 +222,17 @@ def op_runs(spark, sf):
     return batches.op_runs(_commands(spark, sf)).select("topic", "partition", "offset", "op", "run")
 
 
-@query("command_batches")
+@query("command_batches", f"""WITH RECURSIVE {duck.CMD_EVENTS}, x AS (SELECT topic, partition, e, op, count(*) AS n FROM ce GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY topic, partition ORDER BY e) AS i FROM x WHERE n <= 8),
+w AS (SELECT topic, partition, i, e, op, n, n AS filled, 0::BIGINT AS batch FROM o WHERE i = 1
+ UNION ALL SELECT o.topic, o.partition, o.i, o.e, o.op, o.n,
+  CASE WHEN o.op = w.op AND w.filled + o.n <= 8 THEN w.filled + o.n ELSE o.n END,
+  CASE WHEN o.op = w.op AND w.filled + o.n <= 8 THEN w.batch ELSE w.batch + 1 END
+ FROM w JOIN o ON o.topic = w.topic AND o.partition = w.partition AND o.i = w.i + 1)
+SELECT topic, partition, e AS "offset", op, n::INT AS n_events, batch, NULL::VARCHAR AS error FROM w
+UNION ALL SELECT topic, partition, e, op, n::INT, NULL, 'command_too_large' FROM x WHERE n > 8""")
 def command_batches(spark, sf):
-    return batches.command_batches(_commands(spark, sf), 8)
+    return batches.command_batches(_commands(spark, sf), 8, block=1000)
 
 
 @query("batch_size_hist", f"""WITH {duck.LINES}, s AS (SELECT l_orderkey, count(*) AS n FROM le GROUP BY 1),
