@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 from pyspark import cloudpickle
@@ -22,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def batches_of(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows that Python workers get at once: with whole texts few, so that their memory stays small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def id_text(column: str = "doc_id") -> Column:
     """The id as text; a null id counts as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -44,6 +50,21 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def word_counts(batches):
+    """(word, n) of the column text: partial counts, handed on whenever many words have come together."""
+    import pandas as pd
+
+    counts: Counter = Counter()
+    for pdf in batches:
+        for t in pdf["text"]:
+            counts.update(words(t))
+            if len(counts) > 250_000:
+                yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+                counts.clear()
+    if counts:
+        yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+
+
 def runs(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
     """Index ranges over consecutive items whose sizes sum to ``most`` at most, or of one larger item."""
     start, total, end = 0, 0, 0

@@ -21,22 +21,21 @@ meet their counts in a join. Null texts count as empty.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.llm.common import Shared, runs, ship, words
+from ledgerweave.llm.common import Shared, batches_of, runs, ship, word_counts, words
 from ledgerweave.session import stage
 
 ship(__name__)
 
 STATES, ITERATIONS = 8, 5
 HEAD, TAILS = 1 << 15, 256
-#: Added to every count; a state's emissions lean on the corpus with the weight of so many tokens.
-ADDED, LEAN = 0.1, 20.0
+#: Added to every count.
+ADDED = 0.1
 #: Tokens worked on at once in a task.
 AT_ONCE = 250_000
 
@@ -65,26 +64,13 @@ class Model:
     emit: np.ndarray           # (classes, states)
 
 
-def _counts(batches):
-    import pandas as pd
-
-    for pdf in batches:
-        counts: Counter = Counter()
-        texts = list(pdf["text"])
-        for a, b in runs((len(t or "") for t in texts), 8_000_000):
-            for t in texts[a:b]:
-                counts.update(words(t))
-            yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
-            counts.clear()
-
-
 def _tail(word: Column) -> Column:
     return F.crc32(F.substring(word, -3, 3)) % TAILS
 
 
 def vocabulary(training: DataFrame) -> tuple[Vocabulary, DataFrame]:
     """Of the column text; and the table (word, n) of the words that are not frequent."""
-    counts = stage(training.select("text").mapInPandas(_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
+    counts = stage(training.select("text").mapInPandas(word_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     documents = training.count()
     power = F.floor(F.log2("n") * 4)
     sizes = counts.groupBy(power.alias("p")).count().orderBy(F.desc("p")).collect()  # 256 rows at most
@@ -116,7 +102,7 @@ def _coded(shared: Shared):
                 found = words(text)
                 ids = [get(w, -1) for w in found]
                 rare = [w for w, i in zip(found, ids, strict=True) if i < 0]
-                if len(cls) > 400_000:  # what is kept for speed stays small
+                if len(cls) > 200_000:  # what is kept for speed stays small
                     cls.clear()
                 for w in set(rare).difference(cls):
                     cls[w] = zlib.crc32(w[-3:]) % TAILS
@@ -225,7 +211,8 @@ def train(coded: DataFrame, vocab: Vocabulary, states: int = STATES, iterations:
         rows = np.zeros((classes + states + 1, states))
         if summed.num_rows:
             rows[summed["g"].to_numpy()] = np.stack([summed[n].to_numpy() for n in names], 1)
-        emit = rows[:classes] + LEAN * vocab.shares[:, None]
+        # a state leans on the corpus with the weight of one token for each class it emits
+        emit = rows[:classes] + (1 + np.minimum(rows[:classes], 1).sum(0)) * vocab.shares[:, None]
         move, start = rows[classes:-1] + ADDED, rows[-1] + ADDED
         model = Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
     return model
@@ -251,6 +238,7 @@ def score(docs: DataFrame, training: Column, text: str = "text") -> DataFrame:
     results = {"n_tokens", "n_known", "train_tokens", "base_score", "score", text.lower()}
     columns = [c for c in docs.columns if c.lower() not in results]
     spark = docs.sparkSession
+    batches_of(spark, 10_000)  # sequences are short numbers; the more of them, the fewer steps a batch takes
     body = F.col(f"`{text}`")
     vocab, tail = vocabulary(docs.where(training).select(body.alias("text")))
     kept = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc")

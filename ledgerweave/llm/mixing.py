@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.llm.common import id_text, ship, vectorised, without, words
+from ledgerweave.llm.common import batches_of, id_text, ship, vectorised, without, words
 from ledgerweave.session import stage
 
 ship(__name__)
@@ -45,7 +45,7 @@ def _measured(texts):
     tokens, topics = [], []
     for t in texts:
         found = words(t)
-        if len(known) > 400_000:  # what is kept for speed stays small
+        if len(known) > 200_000:  # what is kept for speed stays small
             known.clear()
         for w in set(found).difference(known):
             known[w] = int(hashlib.md5(w).hexdigest()[0], 16) % TOPICS if len(w) >= LEAST_BYTES else TOPICS
@@ -100,6 +100,7 @@ def _scale(ratios: DataFrame) -> float:
 
 def mix(docs: DataFrame, power: float = TEMPER, rounds: int = ROUNDS, seed: str = "mix") -> DataFrame:
     """``docs`` with tokens, topic, mix_probability and mix_kept."""
+    batches_of(docs.sparkSession)
     docs = without(docs, "tokens", "topic", "mix_probability", "mix_kept")
     measured = docs.select(*_values(docs), _measured("text").alias("m")).select("source", "lang", "m.topic", "m.tokens")
     cells = stage(measured.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix-cells")

@@ -16,12 +16,10 @@ the input named like a result are replaced.
 from __future__ import annotations
 
 import re
-from collections import Counter
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.llm.common import runs, ship, vectorised, without, words
+from ledgerweave.llm.common import batches_of, ship, vectorised, without, word_counts
 from ledgerweave.session import stage
 
 ship(__name__)
@@ -114,19 +112,6 @@ def _scan(texts):
     return pd.Series([_spans(t) if t else [] for t in texts])
 
 
-def _word_counts(batches):
-    import pandas as pd
-
-    for pdf in batches:
-        counts: Counter = Counter()
-        texts = list(pdf["text"])
-        for a, b in runs((len(t or "") for t in texts), 8_000_000):
-            for t in texts[a:b]:
-                counts.update(words(t))
-            yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
-            counts.clear()
-
-
 def _fits() -> Column:
     """Kinds that the form of an instance allows."""
     digits = F.length(F.regexp_replace("value", "[^0-9]", ""))
@@ -166,11 +151,12 @@ def extract(docs: DataFrame, text: str = "text", keep_text: bool = True) -> Data
     ``keep_text`` the column ``text`` is left out of the written tables and the result.
     Equal rows stay equal rows; a text without personal data has empty arrays.
     """
+    batches_of(docs.sparkSession)
     docs = without(docs, "pii", "pii_base")
     columns = [c for c in docs.columns if keep_text or c != text]
     kept = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc")
     scan = stage(docs.select(kept, _scan(F.col(f"`{text}`")).alias("found")).withColumn("row", F.monotonically_increasing_id()), "pii-scan")
-    counts = (docs.select(F.col(f"`{text}`").alias("text")).mapInPandas(_word_counts, "word binary, n long")
+    counts = (docs.select(F.col(f"`{text}`").alias("text")).mapInPandas(word_counts, "word binary, n long")
               .groupBy("word").agg(F.sum("n").alias("n")))
     unknown = scan.select("row", F.explode("found").alias("s")).where("s.kind < 0").select("row", "s.value", "s.start", "s.end")
     found = unknown.join(_discovered(scan, counts), "value")

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.llm.common import Shared, runs, ship, without, words
+from ledgerweave.llm.common import Shared, batches_of, runs, ship, without, words
 from ledgerweave.session import stage
 
 ship(__name__)
@@ -56,7 +56,7 @@ def grams(spelt: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]
     for k in range(1, ORDER + 1):
         if k > 1:
             shifted = np.zeros(len(text), np.int64)
-            shifted[k - 1:] = text[: len(text) - k + 1]
+            shifted[k - 1:] = text[: max(0, len(text) - k + 1)]
             packed = packed | (shifted << (8 * (k - 1)))
         out.append((packed | (k << 56), (inside >= k - 1) & (inside > 0), of))
     return out
@@ -96,10 +96,10 @@ class Model:
         out = np.zeros(len(texts))
         for a, b in runs((len(t or "") for t in texts), 1_000_000):
             docs = [words(t) for t in texts[a:b]]
-            if len(self.known) > 400_000:  # what is kept for speed stays small
+            if len(self.known) > 200_000:  # what is kept for speed stays small
                 self.known = {}
             new = sorted(set().union(*docs).difference(self.known))
-            for i, j in runs((len(w) for w in new), 500_000) if new else ():
+            for i, j in runs((len(w) for w in new), 100_000) if new else ():
                 self.known.update(zip(new[i:j], self.spell(new[i:j]).tolist(), strict=True))
             known = self.known
             for i, found in enumerate(docs, a):
@@ -128,7 +128,7 @@ def _counted(batches):
         for text, toxic in zip(pdf["text"], pdf["toxic"], strict=True):
             counts[int(toxic)].update(set(words(text)))
         spelt = sorted(counts[0].keys() | counts[1].keys())
-        for a, b in runs((len(w) for w in spelt), 500_000) if spelt else ():
+        for a, b in runs((len(w) for w in spelt), 150_000) if spelt else ():
             n = np.array([[c[w] for w in spelt[a:b]] for c in counts])
             found = [(packed[ok], of[ok]) for packed, ok, of in grams(spelt[a:b])]
             gram, back = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
@@ -144,6 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     of both classes every document gets the same score.
     """
     spark = docs.sparkSession
+    batches_of(spark)
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64(F.col("doc_id"), F.lit(11))
     chosen = [known.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(per_class) for c in (0, 1)]
@@ -233,6 +234,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     A column of that name is replaced. One narrow pass, nothing is shuffled.
     """
+    batches_of(docs.sparkSession)
     shared = Shared(docs.sparkSession, model)
     docs = without(docs, "toxic_score")
 
