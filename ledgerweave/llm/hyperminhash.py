@@ -11,11 +11,14 @@ nothing. Two documents are linked if 100 * intersection >= 75 * union.
    probability 5e-6. Nodes with an equal band form a bucket.
 3. Every node of a bucket meets the bucket's first node. What passes the
    collision-corrected estimate is verified on the full sets.
-4. Buckets whose nodes now are of one component are done. In the others, blocks
-   of nodes meet blocks, registers are compared within the block pair, and only
-   pairs of different components that pass the estimate are verified. So a large
-   group of near copies costs a verification each, not one for each pair, and no
-   link between different components is lost.
+4. Nodes that buckets connect form a neighbourhood. Where all of it now is one
+   component, it is done. Otherwise blocks of its nodes meet blocks: inside such a
+   unit, pairs of different components that pass the estimate are verified on the
+   full sets, and the unit returns at most one link for each two components it
+   joins. Blocks hold a bounded number of nodes and shingles; two blocks of one
+   component never meet. So a large group of near copies costs a verification
+   each, not one for each pair, no pair leaves a unit, and no link between
+   different components is lost.
 
 Shingles are compared as 64-bit hashes. Null texts count as empty. Equal rows
 are separate rows of one component. The smallest id stands for a component;
@@ -29,7 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.llm.common import ship, vectorised, without, words
+from ledgerweave.llm.common import batches_of, ship, vectorised, without, words
 from ledgerweave.llm.components import components
 from ledgerweave.session import stage
 
@@ -40,15 +43,15 @@ BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 #: The estimate's standard error at the threshold is 0.038; five of them below it nothing is verified.
 MARGIN = 5 * 0.0383
-#: Nodes of a block when buckets of several components are compared register by register.
-BLOCK = 512
+#: Nodes and shingles of a block when neighbourhoods of several components are compared, on average.
+BLOCK_NODES, BLOCK_SHINGLES = 1024, 1_000_000
 
 
 def _factors() -> tuple[np.ndarray, np.ndarray]:
     """Odd factors and offsets of the hash functions, from one fixed generator."""
     draw = np.random.Generator(np.random.PCG64(20240229))
-    return (draw.integers(0, 2**63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1),
-            draw.integers(0, 2**63, REGISTERS, np.uint64))
+    return (draw.integers(0, 2**31, REGISTERS, np.uint32) * np.uint32(2) + np.uint32(1),
+            draw.integers(0, 2**32, REGISTERS, np.uint32))
 
 
 def shingles(found: list[bytes], known: dict[bytes, int]) -> np.ndarray:
@@ -57,9 +60,9 @@ def shingles(found: list[bytes], known: dict[bytes, int]) -> np.ndarray:
 
     if not found:
         return np.empty(0, np.uint64)
-    if len(known) > 400_000:  # what is kept for speed stays small
+    if len(known) > 200_000:  # what is kept for speed stays small
         known.clear()
-    for w in set(found) - known.keys():
+    for w in set(found).difference(known):
         known[w] = xxhash.xxh3_64_intdigest(w)
     h = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
     size = min(SHINGLE, len(h))
@@ -73,14 +76,18 @@ def shingles(found: list[bytes], known: dict[bytes, int]) -> np.ndarray:
 
 
 def registers(shingled: np.ndarray, factors) -> np.ndarray:
-    """Leading zeros (6 bits) and mantissa (10 bits) of the least value under each hash function."""
+    """Leading zeros (6 bits) and mantissa (10 bits) of the least value under each hash function,
+    which multiplies the upper half of the shingle's hash: 32 bits."""
     a, b = factors
-    least = np.full(REGISTERS, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(shingled), 4096):
-        np.minimum(least, (shingled[i:i + 4096] * a[:, None] + b[:, None]).min(1), out=least)
-    fraction, bits = np.frexp((least >> np.uint64(11)).astype(np.float64))  # 53 bits: exact
+    least = np.full(REGISTERS, 0xFFFFFFFF, np.uint32)
+    half = (shingled >> np.uint64(32)).astype(np.uint32)
+    for i in range(0, len(half), 2048):
+        values = half[i:i + 2048] * a[:, None]
+        values += b[:, None]
+        np.minimum(least, values.min(1), out=least)
+    fraction, bits = np.frexp(least.astype(np.float64))
     mantissa = np.where(fraction > 0, (fraction - 0.5) * 2048, 0)
-    return ((53 - bits).astype(np.uint16) << np.uint16(10)) | mantissa.astype(np.uint16)
+    return ((32 - bits).astype(np.uint16) << np.uint16(10)) | mantissa.astype(np.uint16)
 
 
 #: What _chance gave before; sizes are rounded, so these are few.
@@ -89,20 +96,32 @@ _CHANCES: dict[tuple[int, int], float] = {}
 
 def _chance(n: int, m: int) -> float:
     """Probability that a register of two disjoint sets of 2^(n/4) and 2^(m/4) members is equal."""
-    zeros = np.arange(54)[:, None]
+    zeros = np.arange(33)[:, None]
     low = (1 + np.arange(1024)[None, :] / 1024) * 0.5 ** (zeros + 1)
     high = low + 0.5 ** (zeros + 11)
     p = [np.exp(size * np.log1p(-low)) - np.exp(size * np.log1p(-np.minimum(high, 1 - 1e-16))) for size in (2 ** (n / 4), 2 ** (m / 4))]
     return float((p[0] * p[1]).sum())
 
 
-def estimate(equal: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+def _size_class(n: np.ndarray) -> np.ndarray:
+    return np.rint(4 * np.log2(np.maximum(n, 1))).astype(int)
+
+
+def _chances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """_chance of each two size classes, as a table over them."""
+    for x in set(a.tolist()):
+        for y in set(b.tolist()):
+            if (x, y) not in _CHANCES:
+                _CHANCES[x, y] = _CHANCES[y, x] = _chance(x, y)
+    table = np.zeros((a.max(initial=0) + 1, b.max(initial=0) + 1))
+    for x in set(a.tolist()):
+        for y in set(b.tolist()):
+            table[x, y] = _CHANCES[x, y]
+    return table
+
+
+def estimate(equal: np.ndarray, chance: np.ndarray) -> np.ndarray:
     """Jaccard similarity from the number of equal registers, without the chance collisions."""
-    sizes = [np.rint(4 * np.log2(np.maximum(x, 1))).astype(int) for x in (n, m)]
-    pairs, back = np.unique(np.stack(sizes, 1), axis=0, return_inverse=True)
-    for key in set(map(tuple, pairs.tolist())) - _CHANCES.keys():
-        _CHANCES[key] = _chance(*key)
-    chance = np.array([_CHANCES[x, y] for x, y in pairs.tolist()])[back.reshape(-1)] if len(pairs) else np.empty(0)
     return (equal / REGISTERS - chance) / (1 - chance)
 
 
@@ -129,7 +148,9 @@ def _likely(a, b, n, m):
         return pd.Series([], dtype=bool)
     x, y = (np.stack([np.asarray(v, np.int64) for v in s]).view(np.uint16) for s in (a, b))
     n, m = n.to_numpy(), m.to_numpy()
-    return pd.Series((estimate((x == y).sum(1), n, m) >= PERCENT / 100 - MARGIN) & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)))
+    i, j = _size_class(n), _size_class(m)
+    likely = estimate((x == y).sum(1), _chances(i, j)[i, j]) >= PERCENT / 100 - MARGIN
+    return pd.Series(likely & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)))
 
 
 @vectorised("boolean")
@@ -146,55 +167,84 @@ def _linked(left, right):
     return pd.Series(out, dtype=bool)
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, sketch: DataFrame, estimated: bool) -> DataFrame:
+# Tables that grow with the corpus are joined by merging: whether one is small enough for a broadcast
+# would depend on the size of the corpus.
+
+def _texts(sketch: DataFrame, wanted: DataFrame) -> DataFrame:
+    return stage(sketch.select(F.col("row").alias("node"), F.col("doc.text").alias("text")).join(wanted.hint("merge"), "node", "left_semi"), "minhash-texts")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, sketch: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) that are linked: the estimate first, then the full sets."""
-    if not estimated:
-        side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bands").alias(f"s{x}"))
-        pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(_likely("sa", "sb", "na", "nb"))
-        pairs = stage(pairs.select("a", "b"), "minhash-pairs")
-    wanted = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-    texts = stage(sketch.select("row", F.col("doc.text").alias("text")).join(wanted, "row", "left_semi"), "minhash-texts")
-    side = lambda x: texts.select(F.col("row").alias(x), F.col("text").alias(f"t{x}"))
-    return stage(pairs.join(side("b"), "b").join(side("a"), "a").where(_linked("ta", "tb")).select("a", "b"), "minhash-links")
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bands").alias(f"s{x}"))
+    pairs = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").where(_likely("sa", "sb", "na", "nb"))
+    pairs = stage(pairs.select("a", "b"), "minhash-pairs")
+    texts = _texts(sketch, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"t{x}"))
+    return stage(pairs.join(side("b").hint("merge"), "b").join(side("a").hint("merge"), "a").where(_linked("ta", "tb")).select("a", "b"), "minhash-links")
 
 
 def _between(unit):
-    """Pairs of a block pair that are of different components, likely, and meet in this band first."""
+    """Links that join components across the unit's two blocks, as (a, b); with one block, inside it."""
     import pandas as pd
 
-    band = int(unit["band"].iloc[0])
-    bands = np.stack([np.asarray(v, np.int64) for v in unit["bands"]])
-    regs, n, comp, node = bands.view(np.uint16), unit["n"].to_numpy(), unit["component"].to_numpy(), unit["node"].to_numpy()
+    unit = unit.sort_values("node", kind="stable", ignore_index=True)
+    regs = np.stack([np.asarray(v, np.int64) for v in unit["bands"]]).view(np.uint16)
+    n, node, text = unit["n"].to_numpy(), unit["node"].to_numpy(), unit["text"].to_numpy()
     left, right = unit["left"].to_numpy(), unit["right"].to_numpy()
+    size = _size_class(n)
+    chance = _chances(size, size)
+    _, comp = np.unique(unit["component"].to_numpy(), return_inverse=True)
+    known: dict[bytes, int] = {}
+    sets: dict[int, np.ndarray] = {}
     found = []
     for i in np.flatnonzero(left):
-        j = np.flatnonzero(right & (comp != comp[i]) & (node != node[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i])))
-        j = j[(bands[j] == bands[i]).argmax(1) == band]
-        # within one block each pair is met from both sides; the smaller node takes it
-        j = j[~left[j] | (node[i] < node[j])]
-        near = estimate((regs[j] == regs[i]).sum(1), n[j], np.full(len(j), n[i])) >= PERCENT / 100 - MARGIN
-        found += [(min(node[i], x), max(node[i], x)) for x in node[j[near]]]
+        j = np.flatnonzero(right & (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i])))
+        if not len(j):
+            continue
+        near = j[estimate((regs[j] == regs[i]).sum(1), chance[size[i], size[j]]) >= PERCENT / 100 - MARGIN]
+        for k in near.tolist():
+            if comp[k] == comp[i]:
+                continue
+            for x in (i, k):
+                if x not in sets:
+                    sets[x] = shingles(words(text[x]), known)
+            both = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
+            if 100 * both >= PERCENT * (n[i] + n[k] - both):
+                found.append((node[i], node[k]))
+                comp[comp == comp[k]] = comp[i]
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _across(inside: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Likely pairs of different components in ``inside`` (band, value, node, component)."""
-    size = inside.groupBy("band", "value").agg(F.count("*").alias("size"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    placed = (inside.join(size, ["band", "value"]).join(nodes.select("node", "n", "bands"), "node")
-              .withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
-    # block i is the left side of the units (i, j >= i), the right side of (h <= i, i)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    units = placed.withColumn("other", other).select(
-        "band", "value", "node", "component", "n", "bands",
-        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        (F.col("block") <= F.col("other")).alias("left"), (F.col("block") >= F.col("other")).alias("right"))
-    return units.groupBy("band", "value", "i", "j").applyInPandas(_between, "a long, b long")
+def _across(open_: DataFrame, nodes: DataFrame, sketch: DataFrame) -> DataFrame:
+    """Links between different components of ``open_`` (node, area, component)."""
+    members = open_.join(nodes.select("node", "n", "bands").hint("merge"), "node")
+    parts = F.greatest(F.ceil(F.col("count") / BLOCK_NODES), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    sized = members.groupBy("area", "component").agg(F.count("*").alias("count"), F.sum("n").alias("shingles"))
+    sized = sized.withColumn("parts", parts)
+    # components of more than a block have blocks of their own, smaller ones share blocks
+    small = sized.where("parts = 1").groupBy("area").agg(F.sum("count").alias("count"), F.sum("shingles").alias("shingles")).select("area", parts.alias("shared"))
+    sized = sized.join(small, "area", "left").select("area", "component", "parts", "shared")
+    own = F.col("parts") > 1
+    placed = (members.join(sized, ["area", "component"]).withColumn("alone", own)
+              .withColumn("block", F.when(own, F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("parts"))))
+                          .otherwise(F.pmod(F.xxhash64("component"), F.col("shared")).cast("long"))))
+    placed = stage(placed.select("area", "node", "component", "n", "bands", "alone", "block"), "minhash-blocks")
+    blocks = placed.groupBy("area", "block").agg(F.first("alone").alias("alone"), F.first("component").alias("component"))
+    one, two = (blocks.select("area", F.col("block").alias(f"b{k}"), F.col("alone").alias(f"a{k}"), F.col("component").alias(f"c{k}")) for k in (1, 2))
+    meets = one.join(two, "area").where("b1 <= b2 and not (a1 and a2 and c1 = c2)").select("area", "b1", "b2")
+    texts = _texts(sketch, open_.select("node"))
+    whole = placed.join(texts.hint("merge"), "node")
+    columns = ["area", "node", "component", "n", "bands", "text", "b1", "b2"]
+    first = whole.withColumnRenamed("block", "b1").join(meets, ["area", "b1"]).select(*columns, F.lit(True).alias("left"), (F.col("b1") == F.col("b2")).alias("right"))
+    second = whole.withColumnRenamed("block", "b2").join(meets.where("b1 < b2"), ["area", "b2"]).select(*columns, F.lit(False).alias("left"), F.lit(True).alias("right"))
+    return stage(first.union(second).groupBy("area", "b1", "b2").applyInPandas(_between, "a long, b long"), "minhash-links")
 
 
 def cluster(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with n_shingles, component_id (the least id reachable), kept (id = component_id)
     and first_of_component, true for exactly one row of each component."""
+    batches_of(docs.sparkSession)
     results = ("n_shingles", "component_id", "kept", "first_of_component")
     columns = without(docs, *results).columns
     plain = F.struct(*[F.col(f"`{c}`") for c in columns], *([F.col(f"`{text}`").alias("text")] if text != "text" else []))
@@ -204,19 +254,18 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
     nodes = stage(worded.groupBy("key").agg(F.min("row").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands")), "minhash-nodes")
     banded = nodes.select("node", F.posexplode("bands").alias("band", "value"))
     shared = banded.groupBy("band", "value").agg(F.min("node").alias("first"), F.count("*").alias("size")).where("size > 1").drop("size")
-    inside = stage(banded.join(shared, ["band", "value"]), "minhash-buckets")
-    pairs = inside.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = _verified(pairs, nodes, sketch, estimated=False)
+    pairs = banded.join(shared, ["band", "value"]).where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = stage(pairs, "minhash-stars")
+    links = _verified(pairs, nodes, sketch)
     of = stage(components(links), "minhash-components")
 
     now: Column = F.coalesce("component", "node")
-    inside = inside.join(of, "node", "left").select("band", "value", "node", now.alias("component"))
-    open_ = inside.groupBy("band", "value").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
-    inside = stage(inside.join(open_.select("band", "value"), ["band", "value"], "left_semi"), "minhash-open")
-    if not inside.isEmpty():
-        across = stage(_across(inside, nodes).join(pairs, ["a", "b"], "left_anti"), "minhash-pairs")
-        more = _verified(across, nodes, sketch, estimated=True)
-        of = stage(components(links.union(more)), "minhash-components")
+    area = components(pairs).withColumnRenamed("component", "area")
+    area = stage(area.join(of, "node", "left").select("node", "area", now.alias("component")), "minhash-areas")
+    several = area.groupBy("area").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
+    open_ = stage(area.join(several.select("area"), "area", "left_semi"), "minhash-open")
+    if not open_.isEmpty():
+        of = stage(components(links.union(_across(open_, nodes, sketch))), "minhash-components")
 
     member = (sketch.select("row", "id", "key", "n").join(nodes.select("key", "node"), "key", "left")
               .join(of, "node", "left").select("row", "id", F.when(F.col("n") > 0, now).otherwise(F.col("row")).alias("component")))
