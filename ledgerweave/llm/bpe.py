@@ -1,13 +1,13 @@
 """BPE encoding with content-defined chunks that documents share, and decoding.
 
 A rolling hash over the last four bytes decides after which white space a text
-is cut, so equal passages are cut alike wherever they stand. Chunks are counted
-over all documents; the most frequent ones are encoded once and sent to every
-task, the others once in each task that meets them, into a store of bounded
-size. A document's ids are its chunks' ids one after another. Every kind of
-join (the two characters that meet) is tried when it first occurs, by encoding
-the two chunks as one text; where that disagrees, chunks are merged with their
-neighbours and encoded again until the ids on both sides agree.
+is cut, so equal passages are cut alike wherever they stand. Each task encodes a
+chunk once, whatever the number of its documents that share it, into a store of
+bounded size; nothing is shuffled. A document's ids are its chunks' ids one
+after another. Every kind of join (the two characters that meet) is tried when
+it first occurs, by encoding the two chunks as one text; where that disagrees,
+chunks are merged with their neighbours and encoded again until the ids on both
+sides agree.
 
 Results equal those of the tokenizers library on the whole text, with
 add_special_tokens=False and without truncation or padding. Null texts count as
@@ -16,25 +16,23 @@ empty and have no ids. Columns of the input named like a result are replaced.
 
 from __future__ import annotations
 
-from collections import Counter
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.llm.common import Shared, ship, vectorised, without
-from ledgerweave.session import stage
+from ledgerweave.llm.common import Shared, batches_of, ship, vectorised, without
 
 ship(__name__)
 
-#: Chunks sent to every task, at most. The bound of that broadcast.
-FREQUENT = 1 << 17
-#: Chunks a task keeps besides, at most; beyond it the store is emptied.
-KEPT = 300_000
+#: Chunks a task keeps, about; beyond it the store is emptied.
+KEPT = 400_000
 
 
-def chunks(text: str) -> list[bytes]:
-    """The text's chunks as UTF-8; joined they are the text. Linear in the text."""
+def cut(text: str) -> tuple[bytes, list[int], np.ndarray]:
+    """The text as UTF-8, where its chunks end, and the kind of each join: the last byte before it and
+    the first character after it, packed. Linear in the text."""
     raw = text.encode("utf-8", "surrogatepass")
     x = np.frombuffer(raw, np.uint8)
     ends = np.flatnonzero((x == 32) | ((x >= 9) & (x <= 13))) + 1
@@ -42,17 +40,28 @@ def chunks(text: str) -> list[bytes]:
     for back in (4, 3, 2, 1):
         at = ends - back
         rolled = rolled * np.uint32(0x01000193) + np.where(at >= 0, x[np.maximum(at, 0)], 0).astype(np.uint32)
-    ends = ends[(rolled >> np.uint32(7)) % 4 != 0].tolist()
-    if not ends or ends[-1] != len(raw):
-        ends.append(len(raw))
+    ends = ends[(rolled >> np.uint32(7)) % 16 != 0]
+    joins = ends[ends < len(raw)]
+    first = x[joins].astype(np.int64)
+    kinds = (x[joins - 1].astype(np.int64) << 32) | first
+    wide = np.flatnonzero(first >= 0xC0)  # two to four bytes
+    for back in (1, 2, 3):
+        more = wide[first[wide] >= (0xC0, 0xE0, 0xF0)[back - 1]]
+        kinds[more] |= x[joins[more] + back].astype(np.int64) << (8 * back)
+    return raw, [*joins.tolist(), len(raw)], kinds
+
+
+def chunks(text: str) -> list[bytes]:
+    """The text's chunks as UTF-8; joined they are the text."""
+    raw, ends, _ = cut(text)
     return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 class Encoder:
-    """Encodes whole texts with a store of chunks and of tried joins."""
+    """Encodes whole texts with a store of chunks and of tried joins. Ids are kept as 32-bit numbers in bytes."""
 
-    def __init__(self, definition: str, frequent: dict[bytes, tuple[int, ...]]) -> None:
-        self.definition, self.frequent = definition, frequent
+    def __init__(self, definition: str) -> None:
+        self.definition = definition
 
     def open(self) -> Encoder:
         import os
@@ -63,49 +72,47 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(self.definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.store: dict[bytes, tuple[int, ...]] = {}
-        self.joins: dict[tuple[str, str], bool] = {}
+        self.store: dict[bytes, bytes] = {}
+        self.joins: dict[int, bool] = {}
         return self
 
-    def whole(self, raw: list[bytes]) -> list[tuple[int, ...]]:
+    def whole(self, raw: list[bytes]) -> list[bytes]:
         texts = [r.decode("utf-8", "surrogatepass") for r in raw]
-        return [tuple(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)  # without offsets where it can
+        return [array("i", e.ids).tobytes() for i in range(0, len(texts), 2000)
+                for e in batch(texts[i:i + 2000], add_special_tokens=False)]
 
     def _agrees(self, left: bytes, right: bytes) -> bool:
-        """Whether this kind of join leaves the ids of both sides as they are."""
-        kind = (left[-4:].decode("utf-8", "ignore")[-1:], right[:4].decode("utf-8", "ignore")[:1])
-        known = self.joins.get(kind)
-        if known is None:
-            a, b, both = self.whole([left, right, left + right])
-            known = self.joins[kind] = a + b == both
-        return known
+        """Whether the join leaves the ids of both sides as they are."""
+        a, b, both = self.whole([left, right, left + right])
+        return a + b == both
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [chunks(t) if t else [] for t in texts]
+        kinds, pieces = [], []
+        for t in texts:
+            raw, ends, kind = cut(t) if t else (b"", [], np.empty(0, np.int64))
+            pieces.append([raw[a:b] for a, b in zip([0, *ends], ends, strict=False)])
+            kinds.append(kind)
         if len(self.store) > KEPT:
             self.store.clear()
-        store, frequent = self.store, self.frequent
-        new = list({c for found in cut for c in found if c not in frequent and c not in store})
-        for i in range(0, len(new), 20_000):
-            store.update(zip(new[i:i + 20_000], self.whole(new[i:i + 20_000]), strict=True))
+        store = self.store
+        new = list(set().union(*pieces).difference(store))
+        store.update(zip(new, self.whole(new), strict=True))
         out = []
-        for found in cut:
-            # joins after an ASCII blank and before an ASCII letter or digit are tried as one kind
-            broken = [i for i in range(1, len(found)) if not self._usual(found[i]) and not self._agrees(found[i - 1], found[i])]
-            ids: list[int] = []
-            if broken:
-                ids.extend(self._repaired(found, set(broken)))
+        for found, kind in zip(pieces, kinds, strict=True):
+            some, where = np.unique(kind, return_index=True)
+            for k, i in zip(some.tolist(), where.tolist(), strict=True):
+                if k not in self.joins:
+                    self.joins[k] = self._agrees(found[i], found[i + 1])
+            bad = [k for k in some.tolist() if not self.joins[k]]
+            if bad:
+                ids = self._repaired(found, set((np.flatnonzero(np.isin(kind, bad)) + 1).tolist()))
             else:
-                for c in found:
-                    ids.extend(frequent.get(c) or store.get(c) or ())
-            out.append(np.array(ids, np.int32))
+                ids = b"".join(map(store.__getitem__, found))
+            out.append(np.frombuffer(ids, np.int32))
         return out
 
-    @staticmethod
-    def _usual(right: bytes) -> bool:
-        return 0 <= right[0] - 97 < 26 or 0 <= right[0] - 65 < 26
-
-    def _repaired(self, found: list[bytes], broken: set[int]) -> list[int]:
+    def _repaired(self, found: list[bytes], broken: set[int]) -> bytes:
         """Merge across the joins that disagree; try the joins of what came out until all agree."""
         while broken:
             merged: list[bytes] = []
@@ -118,64 +125,33 @@ class Encoder:
             parts = self.whole(found)
             pairs = self.whole([a + b for a, b in zip(found, found[1:], strict=False)])
             broken = {i + 1 for i, both in enumerate(pairs) if parts[i] + parts[i + 1] != both}
-        return [i for p in self.whole(found) for i in p]
-
-
-def _count(batches):
-    import pandas as pd
-
-    for pdf in batches:
-        counts: Counter = Counter()
-        for t in pdf["text"]:
-            if t:
-                counts.update(chunks(t))
-            if len(counts) > 500_000:
-                yield pd.DataFrame({"chunk": list(counts), "n": list(counts.values())})
-                counts.clear()
-        yield pd.DataFrame({"chunk": list(counts), "n": list(counts.values())})
-
-
-def _frequent(docs: DataFrame, text: str, definition: str) -> dict[bytes, tuple[int, ...]]:
-    """The chunks seen most often, each encoded once: all with a count of at least the smallest
-    power of two that leaves no more than FREQUENT."""
-    spark = docs.sparkSession
-    counts = stage(docs.select(F.col(f"`{text}`").alias("text")).mapInPandas(_count, "chunk binary, n long")
-                   .groupBy("chunk").agg(F.sum("n").alias("n")).where("n > 1"), "bpe-chunks")
-    sizes = counts.groupBy(F.floor(F.log2("n")).alias("power")).count().orderBy(F.desc("power")).collect()  # 64 rows at most
-    least, total = 64, 0
-    for power, count in sizes:
-        if total + count > FREQUENT:
-            break
-        least, total = power, total + count
-    shared = Shared(spark, definition)
-
-    def encoded(batches):
-        encoder = Encoder(shared.value, {}).open()
-        for pdf in batches:
-            yield pdf.assign(ids=encoder.whole(list(pdf["chunk"])))
-
-    chosen = counts.where(F.floor(F.log2("n")) >= least).select("chunk").mapInPandas(encoded, "chunk binary, ids array<int>").toArrow()
-    return dict(zip(chosen["chunk"].to_pylist(), map(tuple, chosen["ids"].to_pylist()), strict=True))
-
-
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with token_ids, the ids of the tokenizer file at ``path`` for each whole text."""
+        return b"".join(self.whole(found))
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", and_decode: bool = False) -> DataFrame:
+    """``docs`` with token_ids, the ids of the tokenizer file at ``path`` for each whole text; with
+    ``and_decode`` also with decoded, as ``decode`` would add it, in the same pass."""
+    batches_of(docs.sparkSession)
     with open(path, encoding="utf-8") as f:
         definition = f.read()
-    shared = Shared(docs.sparkSession, Encoder(definition, _frequent(docs, text, definition)))
+    shared = Shared(docs.sparkSession, Encoder(definition))
 
     def run(batches):
         import pandas as pd
 
         encoder = shared.value.open()
         for texts in batches:
-            whole, out = list(texts), []
-            for i in range(0, len(whole), 500):
-                out += encoder.encode(whole[i:i + 500])
-            yield pd.Series(out)
-
-    udf = F.pandas_udf(run, "array<int>", F.PandasUDFType.SCALAR_ITER)
-    return without(docs, "token_ids").withColumn("token_ids", udf(F.col(f"`{text}`")))
+            whole, out, back = list(texts), [], []
+            for i in range(0, len(whole), 250):
+                ids = encoder.encode(whole[i:i + 250])
+                out += ids
+                back += [encoder.tokenizer.decode(x.tolist(), skip_special_tokens=False) if and_decode else None for x in ids]
+            yield pd.DataFrame({"token_ids": out, "decoded": pd.Series(back, dtype=object)})
+
+    udf = F.pandas_udf(run, "token_ids array<int>, decoded string", F.PandasUDFType.SCALAR_ITER)
+    coded = without(docs, "token_ids", *(["decoded"] if and_decode else [])).withColumn("_coded", udf(F.col(f"`{text}`")))
+    more = [F.col("_coded.token_ids").alias("token_ids")] + [F.col("_coded.decoded").alias("decoded")] * and_decode
+    return coded.select(*[F.col(f"`{c}`") for c in coded.columns if c != "_coded"], *more)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -64,7 +64,7 @@ def op6_wrapper_induction(spark, sf_dir):
 
 def op7_chunk_reuse(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, tokenizer_path()), tokenizer_path())
+    coded = bpe.encode(docs, tokenizer_path(), and_decode=True)
     digits = F.array_join(F.col("token_ids").cast("array<string>"), " ")
     return coded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(digits, 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
