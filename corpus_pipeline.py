@@ -51,8 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with token_ids, n_tokens and decoded."""
-    path = queries.tokenizer_path()
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.encode(docs, queries.tokenizer_path(), and_decode=True)
     return coded.withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
