@@ -138,7 +138,7 @@ class Lattice:
         self.place = self.first[step] + self.of
         self.classes = np.empty(len(step), np.int64)
         self.classes[self.place] = np.frombuffer(b"".join(seqs), np.uint16)
-        self.emitted = model.emit[self.classes]
+        self.emitted = np.take(model.emit, self.classes, axis=0)
 
     def forward(self) -> np.ndarray:
         """Natural log likelihood of each sequence."""
@@ -146,13 +146,14 @@ class Lattice:
         self.alpha, self.scale = self.emitted.copy(), np.empty(len(self.classes))
         now = self.alpha[: first[1]]
         now *= self.model.start
+        ones = np.ones(move.shape[0])
         for t in range(len(first) - 1):
             a, b = first[t], first[t + 1]
             if t:
                 before, now = now, self.alpha[a:b]
                 now *= before[: b - a] @ move
             s = self.scale[a:b]
-            np.sum(now, axis=1, out=s)
+            np.dot(now, ones, out=s)
             now /= s[:, None]
         return np.bincount(self.of, np.log(self.scale)[self.place], len(self.sizes))
 
@@ -173,8 +174,8 @@ class Lattice:
             self.alpha[a:b] *= beta[: b - a]
         moves += moved * move
         start += self.alpha[: first[1]].sum(0)
-        for s in range(move.shape[0]):
-            emission[:, s] += np.bincount(self.classes, self.alpha[:, s], len(emission))
+        for s, share in enumerate(np.ascontiguousarray(self.alpha.T)):
+            emission[:, s] += np.bincount(self.classes, share, len(emission))
 
 
 def _expected(shared: Shared):
