@@ -107,6 +107,17 @@ def test_semantic_elements_and_blocks():
     assert [t for _, t in wrapper.parse(PAGE)[1]] == ["Title & more", "First bold line x y", "Second <p>", "one", "two"]
 
 
+@pytest.mark.parametrize(("page", "kept"), [
+    ("<article>Intro text<video><p>Fallback</p></video> and more</article>", ["Intro text", "and more"]),
+    ("<article><p>Text <span class=share>Share</p><p>next</article>", ["Text", "next"]),
+    ("<article><p>Text <label>dropped<br></label>goes on</article>", ["Text goes on"]),
+    ("<article><div>a <ins class=ad>buy<div>now</div></ins> b</div></article>", ["a", "b"]),
+    ("<article><button>go<p>x</p></button><p>only</article>", ["only"]),
+])
+def test_text_beside_dropped_elements_is_kept(page, kept):
+    assert [t for _, t in wrapper.parse(page)[1]] == kept
+
+
 def test_tree_matching_finds_the_largest_ordered_alignment():
     a = "0:html 1:body 2:nav 2:div 2:p"
     assert wrapper.align(a, "0:html 1:body 2:div 2:p 2:footer") == [0, 1, 2, -1, 3, 4]
