@@ -118,6 +118,24 @@ def test_text_beside_dropped_elements_is_kept(page, kept):
     assert [t for _, t in wrapper.parse(page)[1]] == kept
 
 
+def test_all_roots_are_kept_and_a_card_bounds_nothing():
+    parts = "<body><p>chrome</p><article><p>Part one</p></article><div><p>x</p></div><article><p>Part two is longer</p></article></body>"
+    assert [t for _, t in wrapper.parse(parts)[1]] == ["Part one", "Part two is longer"]
+    card = "<body><div><p>The whole story stands in a plain div</p><p>and goes on</p></div><article><a href=/x>Card</a></article></body>"
+    assert [t for _, t in wrapper.parse(card)[1]] == ["The whole story stands in a plain div", "and goes on", "Card"]
+
+
+def test_a_host_supports_its_article_on_pages_where_it_is_short(spark):
+    html = "<body><div class=m><p>sidelong words of page {}</p></div><article><p>{}</p></article></body>"
+    rows = [(i, f"http://s.example/{i}", html.format(i, f"article {i} " * (1 if i == 3 else 20))) for i in range(12)]
+    # cards at one place on every page of a host are no support
+    rows += [(100 + i, f"http://c.example/{i}", f"<body><div><p>{f'story {i} ' * 9}</p></div><article>card {i}</article></body>") for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["main_text"] for r in wrapper.main_text(pages).collect()}
+    assert got[3] == "article 3" and all(got[i] == ("article %d " % i * 20).strip() for i in range(12) if i != 3)
+    assert all(got[100 + i] == ("story %d " % i * 9).strip() + f"\n\ncard {i}" for i in range(12))
+
+
 def test_tree_matching_finds_the_largest_ordered_alignment():
     a = "0:html 1:body 2:nav 2:div 2:p"
     assert wrapper.align(a, "0:html 1:body 2:div 2:p 2:footer") == [0, 1, 2, -1, 3, 4]
