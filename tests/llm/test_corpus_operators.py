@@ -136,6 +136,25 @@ def test_a_host_supports_its_article_on_pages_where_it_is_short(spark):
     assert all(got[100 + i] == ("story %d " % i * 9).strip() + f"\n\ncard {i}" for i in range(12))
 
 
+@pytest.mark.parametrize("part", [
+    '<section id="discussion"><p>kept</p></section>', '<h2 id="related-work">kept</h2>', '<h2 class="notice">kept</h2>',
+    '<div class="section" id="search"><p>kept</p></div>', '<div class="social-history"><p>kept</p></div>',
+    '<p id="reply-to-critics">kept</p>', '<section class="discussion"><p>kept</p></section>',
+])
+def test_names_of_the_articles_subject_drop_nothing(part):
+    texts = [t for _, t in wrapper.parse(f"<article><p>first</p>{part}<p>last</p></article>")[1]]
+    assert texts == ["first", "kept", "last"]
+
+
+@pytest.mark.parametrize("part", ["<div class='comments'>x</div>", "<ul class='related-posts'><li>x</ul>", "<div class='box shareButtons'>x</div>", "<nav>x</nav>"])
+def test_whole_class_names_of_boxes_still_drop(part):
+    assert [t for _, t in wrapper.parse(f"<article><p>first</p>{part}</article>")[1]] == ["first"]
+
+
+def test_sections_of_pages_without_an_article_keep_their_text():
+    assert [t for _, t in wrapper.parse('<body><h2 id="discussion">Head</h2><section class="level2" id="search"><p>text</p></section><div id="search">x</div>')[1]] == ["Head", "text"]
+
+
 def test_tree_matching_finds_the_largest_ordered_alignment():
     a = "0:html 1:body 2:nav 2:div 2:p"
     assert wrapper.align(a, "0:html 1:body 2:div 2:p 2:footer") == [0, 1, 2, -1, 3, 4]
