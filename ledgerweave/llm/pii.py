@@ -2,9 +2,11 @@
 
 Entities that a strict form proves (e-mail, IPv4 address, card number, phone
 number) are seeds. The word before and the word after each seed are lexical
-patterns. Patterns and instances (identifier-like strings) form a graph that
-Spark scores in rounds: a pattern's confidence in a kind is the weight of that
-kind's instances it surrounds over all occurrences of its word in the corpus;
+patterns; where a seed is glued to a word (tel:020..., or a number and its comma),
+the part of the word beside it is one, as the beginning or the end of a word.
+Patterns and instances (identifier-like strings) form a graph that Spark scores
+in rounds: a pattern's confidence in a kind is the weight of that kind's instances
+it surrounds over all occurrences of its word, beginning or end in the corpus;
 an instance that is no seed gets, for each kind its form allows, the
 probability that at least one of its trusted patterns is right. After the last
 round the instances above the threshold are personal data wherever they occur.
@@ -16,6 +18,8 @@ the input named like a result are replaced.
 from __future__ import annotations
 
 import re
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +38,7 @@ ACCEPT = 0.5
 #: Added to a pattern's occurrences: a few are not yet proof.
 SMOOTHING = 2.0
 
-SPAN = "struct<kind:int,start:int,end:int,value:string,before:binary,after:binary>"
+SPAN = "struct<kind:int,start:int,end:int,value:string,before:binary,after:binary,glued:tinyint>"
 _AFTER_AT = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -43,6 +47,11 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 #: What may be an identifier of some kind: something around an @, or a run of at least six digits.
 _LIKE = re.compile(r"(?<![^\s<(\[\"',;:])[^\s<>()\[\]\"',;:@]{1,64}@[^\s<>()\[\]\"',;:@]{2,255}|(?<![\w@.+-])[(+]?[0-9](?:[ ().-]{0,2}[0-9]){5,}(?![\w@])")
 _NEAR = re.compile(r"[^ \t-\r]+")
+#: Sides of a pattern: before and after, as a word of its own or glued to the instance.
+BEFORE, AFTER, GLUED = 0, 1, 2
+_SPACE = " \t\n\x0b\x0c\r"
+#: What may stand directly before and directly after an identifier-like string.
+_OPENS, _CLOSES = re.compile(r"[^\w@.+-]"), re.compile(r"\W")
 
 
 def _luhn(digits: str) -> bool:
@@ -83,11 +92,13 @@ def proven(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _beside(text: str, start: int, end: int) -> tuple[bytes, bytes]:
-    """The nearest words before and after, at most 64 characters away; empty where there is none."""
+def _beside(text: str, start: int, end: int) -> tuple[bytes, bytes, int]:
+    """The nearest words before and after, at most 64 characters away; empty where there is none. Last, which of them are
+    parts of words that are glued to text[start:end]: bit 0 before, bit 1 after."""
     left = _NEAR.findall(text, max(0, start - 64), start)
     right = _NEAR.search(text, end, end + 64)
-    return (left[-1].encode("utf-8", "replace").lower() if left else b"", right.group().encode("utf-8", "replace").lower() if right else b"")
+    return (left[-1].encode("utf-8", "replace").lower() if left else b"", right.group().encode("utf-8", "replace").lower() if right else b"",
+            (start > 0 and text[start - 1] not in _SPACE) + 2 * (end < len(text) and text[end] not in _SPACE))
 
 
 def _spans(text: str) -> list[tuple]:
@@ -112,6 +123,24 @@ def _scan(texts):
     return pd.Series([_spans(t) if t else [] for t in texts])
 
 
+def _occurrences(batches):
+    """(side, word, n): words as BEFORE, their beginnings and ends that may be glued to an instance as GLUED + BEFORE and AFTER."""
+    import pandas as pd
+
+    for pdf in word_counts(batches):
+        parts: Counter = Counter()
+        for word, n in zip(pdf["word"], pdf["n"], strict=True):
+            if word.isalnum():
+                continue
+            w = word.decode("utf-8", "replace")
+            for m in _OPENS.finditer(w, 0, min(64, len(w) - 1)):
+                parts[GLUED + BEFORE, w[:m.end()]] += n
+            for m in _CLOSES.finditer(w, max(1, len(w) - 64)):
+                parts[GLUED + AFTER, w[m.start():]] += n
+        yield pd.concat([pdf.assign(side=BEFORE), pd.DataFrame(
+            {"word": [w.encode() for _, w in parts], "n": list(parts.values()), "side": [s for s, _ in parts]})])[["side", "word", "n"]]
+
+
 def _fits() -> Column:
     """Kinds that the form of an instance allows."""
     digits = F.length(F.regexp_replace("value", "[^0-9]", ""))
@@ -122,13 +151,17 @@ def _fits() -> Column:
 
 def _discovered(scan: DataFrame, counts: DataFrame) -> DataFrame:
     """(value, kind) of instances that are no seeds and whose patterns speak for a kind."""
-    seen = scan.select(F.explode("found").alias("s")).select("s.kind", "s.value", "s.before", "s.after")
-    sides = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("before").alias("word")), F.struct(F.lit(1).alias("side"), F.col("after").alias("word"))))
+    seen = scan.select(F.explode("found").alias("s")).select("s.kind", "s.value", "s.before", "s.after", F.col("s.glued").cast("int").alias("glued"))
+    side = lambda of, bit: (of + GLUED * F.col("glued").bitwiseAND(bit) / bit).cast("int").alias("side")
+    sides = F.explode(F.array(F.struct(side(BEFORE, 1), F.col("before").alias("word")), F.struct(side(AFTER, 2), F.col("after").alias("word"))))
     edges = seen.select("kind", "value", sides.alias("p")).select("kind", "value", "p.*").where("length(word) > 0")
     edges = stage(edges.groupBy("kind", "value", "side", "word").agg(F.count("*").alias("n")), "pii-edges")
     seeds = edges.where("kind >= 0")
     trusted = seeds.groupBy("side", "word", "kind").agg(F.countDistinct("value").alias("seeds"), F.sum("n").alias("weight")).where(F.col("seeds") >= LEAST_SEEDS)
-    trusted = stage(trusted.join(counts, "word").select("side", "word", "kind", "weight", F.col("n").alias("total")), "pii-patterns")
+    # a word of its own is counted once for both sides
+    trusted = trusted.withColumn("counted", F.when(F.col("side") < GLUED, BEFORE).otherwise(F.col("side")))
+    total = F.greatest("weight", F.coalesce("n", F.lit(0))).alias("total")
+    trusted = stage(trusted.join(counts.withColumnRenamed("side", "counted"), ["counted", "word"], "left").select("side", "word", "kind", "weight", total), "pii-patterns")
     fits = edges.where("kind < 0").withColumn("kind", F.explode(_fits()))
     open_ = stage(fits.join(trusted.select("side", "word", "kind"), ["side", "word", "kind"], "left_semi"), "pii-open")
     scores = None
@@ -156,8 +189,8 @@ def extract(docs: DataFrame, text: str = "text", keep_text: bool = True) -> Data
     columns = [c for c in docs.columns if keep_text or c != text]
     kept = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc")
     scan = stage(docs.select(kept, _scan(F.col(f"`{text}`")).alias("found")).withColumn("row", F.monotonically_increasing_id()), "pii-scan")
-    counts = (docs.select(F.col(f"`{text}`").alias("text")).mapInPandas(word_counts, "word binary, n long")
-              .groupBy("word").agg(F.sum("n").alias("n")))
+    counts = (docs.select(F.col(f"`{text}`").alias("text")).mapInPandas(_occurrences, "side int, word binary, n long")
+              .groupBy("side", "word").agg(F.sum("n").alias("n")))
     unknown = scan.select("row", F.explode("found").alias("s")).where("s.kind < 0").select("row", "s.value", "s.start", "s.end")
     found = unknown.join(_discovered(scan, counts), "value")
     found = stage(found.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more")), "pii-found")

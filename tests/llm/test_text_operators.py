@@ -62,6 +62,22 @@ def test_contexts_of_seeds_discover_unseen_identifiers(spark):
     assert masked[10] == "please call [phone] now, the year 12345678 was fine" and masked[11] is None and masked[12] == ""
 
 
+def test_glued_contexts_are_counted_as_they_are_cut(spark):
+    """Beginnings such as tel: prove a number; a full stop proves none, however rarely it stands alone."""
+    rows = [f"Ring tel:+44 20 7946 {1000 + i} now" for i in range(20)] + ["Ring tel:020 7946 0958 now", "Ring fax:020 7946 0123 yet"]
+    rows += [f"Reach us on +44 20 7946 {2000 + i}. Then" for i in range(20)] + [f"The end of sentence {i} here. Yes" for i in range(400)]
+    rows += ["Lot 12 345 678. Then", "A stop . alone", "Another . alone"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r[0]: r[1] for r in pii.extract(docs).select("doc_id", pii.digest("pii")).collect()}
+    assert found[20] == "phone:9:22" and found[21] == ""
+    assert found[442] == "" and all(found[i] for i in range(20))
+    odd = ["", "a", ":", "::", "a:", ":a", "a:b", "é：b", "(" * 5000]
+    import pandas as pd
+    got = pd.concat(pii._occurrences([pd.DataFrame({"text": odd})]))
+    glued = {(s, w.decode()): n for s, w, n in got.itertuples(index=False) if s >= pii.GLUED and len(w) < 4}
+    assert glued[2, ":"] == 2 and glued[3, ":"] == 2 and glued[2, "a:"] == 1 and glued[3, ":b"] == 1
+
+
 def test_base_spans_of_whole_texts(spark, sample):
     rows = pii.extract(sample).select("text", "pii_base", "pii").collect()
     assert len(rows) == sample.count()
