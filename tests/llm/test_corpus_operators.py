@@ -175,6 +175,20 @@ def test_constant_slots_are_template_and_copies_are_not(spark):
     assert wrapper.main_text(pages.where("1 = 0")).count() == 0
 
 
+def test_each_layout_and_small_host_has_its_template(spark):
+    one = "<body><div class=a><p>Menu of one layout</p></div><div class=t><p>story {}</p></div></body>"
+    two = "<body><table class=b><tr><td>Menu of the other layout</td></tr></table><ul class=u><li>tale {}</li></ul></body>"
+    rows = [(i, f"http://h.example/{i}", (one if i % 2 else two).format(i)) for i in range(24)]
+    rows += [(100 + i, f"http://small.example/{i}", one.format(100 + i)) for i in range(4)]
+    versions = "<article><p>The long article that all the versions of it share, word for word</p><p>v{}</p></article>"
+    rows += [(200 + i, f"http://versions.example/{i}", versions.format(i)) for i in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["main_text"] for r in wrapper.main_text(pages).collect()}
+    assert all(got.pop(200 + i) == f"The long article that all the versions of it share, word for word\n\nv{i}" for i in range(5))
+    # the menu is longer than the text of every page
+    assert got == {i: f"{'story' if i % 2 or i >= 100 else 'tale'} {i}" for i in got} and len(got) == 28
+
+
 def test_hostile_pages_take_little_time():
     import time
 
