@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import bpe, hmm, hyperminhash, mixing, multi_index, pii, rp_forest, sharding, toxicity, wrapper
+from ledgerweave.llm import (bpe, fim, hmm, hyperminhash, mixing, multi_index, multipart, pca_filter, pii, rp_forest, sharding, toxicity,
+                             wrapper)
 from ledgerweave.llm.common import id_fold, table
 
 
@@ -84,6 +85,25 @@ def op10_raking(spark, sf_dir):
     return mixed.select("doc_id", "topic", "tokens", F.round("mix_probability", 6).alias("probability"), F.col("mix_kept").alias("kept"))
 
 
+def op11_pca_filter(spark, sf_dir):
+    return pca_filter.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).drop("embedding")
+
+
+def op12_rank_index(spark, sf_dir):
+    cut = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", F.col("fim_chars").alias("n"), F.col("fim_form").alias("form"), F.col("fim_prefix_chars").alias("prefix_chars"),
+        F.col("fim_middle_chars").alias("middle_chars"), F.sha2("fim_text", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("fim_text"), F.col("fim_form")), 256).alias("restored_sha256"))
+
+
+def op13_multipart_linking(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = multipart.find(docs, keep_text=False)
+    counts = [F.size(F.filter("secrets_base", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(multipart.KINDS[:multipart.BASE])]
+    return found.select("doc_id", *counts, F.sha2(multipart.digest("secrets_base"), 256).alias("base_sha256"), multipart.digest("secrets").alias("spans"))
+
+
 QUERIES = {
     "op1_bootstrapped_contexts": op1_bootstrapped_contexts,
     "op2_kd_tree": op2_kd_tree,
@@ -95,5 +115,8 @@ QUERIES = {
     "op8_projection_forest": op8_projection_forest,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_raking": op10_raking,
+    "op11_pca_filter": op11_pca_filter,
+    "op12_rank_index": op12_rank_index,
+    "op13_multipart_linking": op13_multipart_linking,
 }
-ORACLES: dict[str, str] = {"op10_raking": mixing.oracle()}
+ORACLES: dict[str, str] = {"op10_raking": mixing.oracle(), "op11_pca_filter": pca_filter.oracle(), "op12_rank_index": fim.oracle()}
