@@ -1,19 +1,29 @@
 """Posting with spending limits, linked chains and two-phase transfers together.
 
 A limit makes every verdict depend on the verdicts before it. Instead of
-replaying accounts one by one, every round brackets the room an account has
-before each event: at worst, if of the undecided events only those that shrink
-it apply, at best, if only those that widen it do. Whatever both ends agree on
-is decided, for all accounts at once, with two-level prefix sums; a hot account
-is spread over many tasks. Each round decides at least the first undecided
-event, so the result is exactly that of a replay in ``seq`` order. When few
-enough events are left, counted first, they are replayed in order by one task,
-on top of the room the decided events leave.
+replaying a ledger, rounds bracket the room an account has before each event: at
+worst, if of the undecided events only those that shrink it apply, at best, if
+only those that widen it do. The touches of an account are cut into buckets of
+bounded size along their order. Prefix sums over bucket totals give the bracket a
+bucket starts with; inside the bucket it is carried from event to event, and an
+event whose verdict hangs on this account alone settles at once and narrows it for
+the next. A hot account is as many tasks as it has buckets, and its first open
+bucket, which starts with an exact room, is decided whole in every round.
+
+What is decided leaves the working set: accepted effects are folded into the room
+each remaining touch carries, and the verdicts on pending transfers and on their
+claims into the rows that wait for them. Every round writes what is left, which
+becomes less, and decides at least the first undecided chain, so the result is
+exactly that of a replay in ``seq`` order.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import reduce
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,54 +31,75 @@ from pyspark.sql.window import Window
 from ledgerweave.functions import uint128 as u128
 from ledgerweave.functions import values as v
 from ledgerweave.operators import posting
-from ledgerweave.operators.scan import running_sums
+from ledgerweave.operators.scan import number_rows, running_sums
 from ledgerweave.session import stage
 
 UNDECIDED, ACCEPTED, REJECTED = 0, 1, 2
-REPLAY_ROWS = 200_000
+#: Touches of one account that one task carries through in order; a chain is never cut.
+BUCKET = 1 << 14
 _WIDE = "struct<hi:decimal(22,0),lo:decimal(19,0)>"
+_SUM = "decimal(32,0)"
+_CAPPED = f"(flags & {v.DEBITS_CAPPED | v.CREDITS_CAPPED}) <> 0"
 
 
 def settle(
-    events: DataFrame, accounts: DataFrame, opening: DataFrame | None = None, replay_rows: int = REPLAY_ROWS
+    events: DataFrame, accounts: DataFrame, earlier: DataFrame | None = None, opening: DataFrame | None = None,
+    bucket: int = BUCKET, on_round: Callable[[int], None] | None = None,
 ) -> DataFrame:
     """One row per transfer id with its ``error``, limits included.
 
-    ``opening`` holds earlier balances (``account_id`` and the four limb
-    columns) of accounts that already moved. An account with both limit flags does
-    not exist: no ledger creates it.
+    ``earlier`` holds rows a previous call returned, for a stream posted in
+    batches: ids decided there are left out, pending transfers there can be
+    resolved. ``opening`` holds the balances (``account_id`` and the four limb
+    columns) those rows led to. An account with both limit flags does not exist:
+    no ledger creates it. ``on_round`` is told how many events a round left.
     """
     accounts = accounts.filter(f"not ({posting.BOTH_CAPS})")
-    firsts = stage(_prepared(events, accounts), "limits-firsts")
-    state = firsts.withColumn("status", F.expr(
-        f"if(max(if(e1 is not null, 1, 0)) over (partition by chain_key) = 1, {REJECTED}, {UNDECIDED})"))
-    rooms = _opening_rooms(opening, accounts)
+    firsts = stage(_prepared(events, accounts, earlier), "limits-firsts")
+    rows = firsts.select(*_ROW)
+    legs = stage(_placed(_legs(firsts, opening, accounts), bucket), "limits-legs")
+    verdicts, placed = [], None
     while True:
-        decided = _decide(state, rooms)
-        state = stage(decided, "limits-round")
-        left = state.filter(f"status = {UNDECIDED}").count()
-        if left <= replay_rows:
+        judged = stage(_judged(rows, legs), "limits-round")
+        verdicts.append(judged.filter("done").select("seq", "error"))
+        left = judged.filter("not done").count()
+        if on_round:
+            on_round(left)
+        if not left:
             break
-    if left:
-        state = stage(_replayed(state, rooms), "limits-replayed")
-    judged = _judged(state, rooms)
-    first_bad = judged.filter("leg_error is not null").groupBy("chain_key").agg(F.min("seq").alias("_bad"))
-    return judged.join(first_bad, "chain_key", "left").selectExpr(
-        *[c for c in events.columns], "p_amount", "p_debit", "p_credit",
-        f"case when status = {ACCEPTED} then null when seq = _bad then leg_error else 'linked_event_failed' end as error",
-    )
+        rows, legs = stage(_remaining(judged), "limits-rows"), _folded(legs, judged)
+        if placed is None or left * 2 < placed:  # buckets that have emptied are filled up again
+            placed, legs = left, _placed(legs.drop("place"), bucket)
+        legs = stage(legs, "limits-legs")
+    known = reduce(DataFrame.unionByName, verdicts)
+    return firsts.join(known, "seq").select(*[c for c in events.columns], "p_amount", "p_debit", "p_credit", "error")
 
 
 # --- preparation ----------------------------------------------------------------
 
-def _prepared(events: DataFrame, accounts: DataFrame) -> DataFrame:
+#: What a round needs of an event.
+_ROW = ["seq", "id", "chain_key", "chain_size", "flags", "pending_id", "e1", "status", "p_chain", "p_state", "taken"]
+
+
+def _prepared(events: DataFrame, accounts: DataFrame, earlier: DataFrame | None) -> DataFrame:
     """First copies with their static errors, their pending transfer and their limited accounts."""
-    checked = posting.account_errors(posting.first_copies(events), accounts).withColumnRenamed("error", "e1")
+    firsts = posting.first_copies(events)
+    if earlier is not None:
+        firsts = firsts.join(earlier.select(F.col("id").alias("_e")), F.expr("id = _e"), "left_anti")
+    checked = posting.account_errors(firsts, accounts).withColumnRenamed("error", "e1").withColumn(
+        "chain_key", F.expr("coalesce(chain_id, -seq)"))
+    target = ["id as _p", "seq as _p_seq", "flags as _p_flags", "amount as p_amount",
+              "debit_account_id as p_debit", "credit_account_id as p_credit"]
     targets = checked.filter(f"not ({posting.RESOLVES})").selectExpr(
-        "id as _p", "seq as _p_seq", "flags as _p_flags", "amount as p_amount",
-        "debit_account_id as p_debit", "credit_account_id as p_credit")
+        *target, "chain_key as p_chain", f"if(e1 is null, {UNDECIDED}, {REJECTED}) as p_state")
+    claimed = None
+    if earlier is not None:
+        targets = targets.unionByName(earlier.filter(f"error is null and not ({posting.RESOLVES})").selectExpr(
+            *target, "cast(null as bigint) as p_chain", f"{ACCEPTED} as p_state"))
+        claimed = _claims(earlier.filter(f"error is null and {posting.RESOLVES}"))
     plain = checked.filter(f"not ({posting.RESOLVES})").selectExpr(
-        "*", f"cast(null as {u128.LIMBS}) as p_amount", "cast(null as string) as p_debit", "cast(null as string) as p_credit")
+        "*", f"cast(null as {u128.LIMBS}) as p_amount", "cast(null as string) as p_debit", "cast(null as string) as p_credit",
+        "cast(null as bigint) as p_chain", "cast(null as int) as p_state")
     resolving = checked.filter(posting.RESOLVES).join(
         targets, F.expr("pending_id = _p and _p_seq < seq"), "left"
     ).selectExpr(
@@ -76,28 +107,33 @@ def _prepared(events: DataFrame, accounts: DataFrame) -> DataFrame:
         "coalesce(e1, case when _p is null then 'pending_transfer_not_found'"
         f" when (_p_flags & {v.PENDING}) = 0 then 'pending_transfer_not_pending'"
         f" when (flags & {v.POST}) <> 0 and amount > p_amount then 'exceeds_pending_transfer_amount' end) as e1",
-        "p_amount", "p_debit", "p_credit",
+        "p_amount", "p_debit", "p_credit", "p_chain", "p_state",
     )
-    limited = accounts.filter(f"(flags & {v.DEBITS_CAPPED | v.CREDITS_CAPPED}) <> 0").selectExpr(
-        "id as _a", f"if((flags & {v.DEBITS_CAPPED}) <> 0, 'd', 'c') as cap")
-    out = plain.unionByName(resolving).withColumn("chain_key", F.expr("coalesce(chain_id, -seq)"))
+    out = plain.unionByName(resolving)
     # a chain that resolves one pending transfer twice fails at the second leg
     again = Window.partitionBy("chain_key", "pending_id").orderBy("seq")
     out = out.withColumn("_nth", F.row_number().over(again)).withColumn("e1", F.expr(
         f"coalesce(e1, case when {posting.RESOLVES} and _nth > 1 then 'pending_transfer_already_resolved' end)"
-    )).drop("_nth")
+    )).withColumn("chain_size", F.count("*").over(Window.partitionBy("chain_key"))).drop("_nth")
+    limited = accounts.filter(_CAPPED).selectExpr("id as _a", f"if((flags & {v.DEBITS_CAPPED}) <> 0, 'd', 'c') as cap")
     for side in ("debit", "credit"):
         known = limited.selectExpr("_a as _id", f"cap as {side}_cap")
         out = out.join(known, F.expr(f"coalesce(p_{side}, {side}_account_id) = _id"), "left").drop("_id")
-    return out
+    if claimed is None:
+        out = out.withColumn("taken", F.lit(None).cast("struct<seq:bigint,expiry:boolean>"))
+    else:
+        out = out.join(claimed, F.expr("pending_id = _r"), "left").drop("_r")
+    return out.withColumn("status", F.lit(UNDECIDED))
+
+
+def _claims(rows: DataFrame) -> DataFrame:
+    """The first claim of each pending transfer, and whether it was an expiry."""
+    return rows.groupBy("pending_id").agg(F.min(F.expr(f"named_struct('seq', seq, 'expiry', {posting.EXPIRY})")).alias("taken")).withColumnRenamed("pending_id", "_r")
 
 
-def _opening_rooms(opening: DataFrame | None, accounts: DataFrame) -> DataFrame | None:
+def _opening_rooms(opening: DataFrame, accounts: DataFrame) -> DataFrame:
     """Room of limited accounts before the first event."""
-    if opening is None:
-        return None
-    limited = accounts.filter(f"(flags & {v.DEBITS_CAPPED | v.CREDITS_CAPPED}) <> 0").selectExpr(
-        "id as account_id", f"(flags & {v.DEBITS_CAPPED}) <> 0 as d")
+    limited = accounts.filter(_CAPPED).selectExpr("id as account_id", f"(flags & {v.DEBITS_CAPPED}) <> 0 as d")
 
     def room(part: str) -> str:
         return (
@@ -109,8 +145,6 @@ def _opening_rooms(opening: DataFrame | None, accounts: DataFrame) -> DataFrame
         "account_id as _o", f"{room('hi')} as o_hi", f"{room('lo')} as o_lo")
 
 
-# --- one round --------------------------------------------------------------------
-
 def _limb(sign: str, amount: str) -> str:
     return f"cast(named_struct('hi', {sign}{amount}.hi, 'lo', {sign}{amount}.lo) as {_WIDE})"
 
@@ -130,8 +164,11 @@ def _effect(limited_side: bool) -> str:
     return f"case when (flags & {v.PENDING | v.VOID}) <> 0 then {zero} else {_limb('', 'amount')} end"
 
 
-def _legs(state: DataFrame) -> DataFrame:
-    """Every touch of a limited account: its effect on the room, and whether it is checked."""
+def _legs(firsts: DataFrame, opening: DataFrame | None, accounts: DataFrame) -> DataFrame:
+    """Every touch of a limited account: its effect on the room, whether it is checked, and the room without this call's events.
+
+    ``sole``: the event's verdict hangs on this check alone. ``sure``: it hangs on none.
+    """
     def leg(side: str, own: str) -> str:
         return (
             f"named_struct('account', coalesce(p_{side}, {side}_account_id), 'cap', {side}_cap,"
@@ -139,151 +176,149 @@ def _legs(state: DataFrame) -> DataFrame:
             f" 'checked', {side}_cap = '{own}' and not ({posting.RESOLVES}), 'name', '{side}')"
         )
 
-    return state.filter("debit_cap is not null or credit_cap is not null").selectExpr(
-        "seq", "chain_key", "status", "amount", f"inline(array({leg('debit', 'd')}, {leg('credit', 'c')}))"
-    ).filter("cap is not null")
-
-
-_NEGATIVE = f"(effect.hi + {u128.floor_div('effect.lo')} < 0)"
-
-
-def _with_room(state: DataFrame, rooms: DataFrame | None, low: str, high: str) -> DataFrame:
-    """Legs with the room before them when undecided events count as ``low`` and as ``high`` say."""
-    def counted(part: str, undecided: str) -> str:
-        return f"case when status = {ACCEPTED} or (status = {UNDECIDED} and {undecided}) then effect.{part} else 0BD end"
-
-    own = {f"{n}_{p}": counted(p, rule) for n, rule in (("low", low), ("high", high)) for p in ("hi", "lo")}
-    scanned = running_sums(_legs(state), ["account"], "seq", own)
-    scanned = scanned.selectExpr(
-        "seq", "chain_key", "status", "amount", "account", "effect", "checked", "name",
-        *[f"{c} - {e} as {c}" for c, e in own.items()], *[f"{e} as own_{c}" for c, e in own.items()])
-    if rooms is None:
-        return scanned
-    keep = [c for c in scanned.columns if c not in own]
-    return scanned.join(rooms, F.expr("account = _o"), "left").selectExpr(
-        *keep, *[f"{c} + coalesce(o_{c[-2:]}, 0BD) as {c}" for c in own])
-
-
-def _judged(state: DataFrame, rooms: DataFrame | None) -> DataFrame:
-    """Add ``passes`` (certainly) and ``leg_error`` (certainly fails) to every event."""
-    legs = _with_room(state, rooms, _NEGATIVE, f"not {_NEGATIVE}")
-    # inside its own chain an event sees the legs before it as applied, whatever becomes of the chain
-    earlier = Window.partitionBy("chain_key", "account").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    seen = {}
-    for c in ("low_hi", "low_lo", "high_hi", "high_lo"):
-        seen[c] = F.col(c) + F.coalesce(F.sum(F.expr(f"effect.{c[-2:]} - own_{c}")).over(earlier), F.lit(0))
-    legs = legs.select("seq", "amount", "checked", "name", *[e.alias(c) for c, e in seen.items()]).filter("checked")
-
-    def enough(end: str) -> str:
-        return f"({end}_hi - amount.hi + {u128.floor_div(f'({end}_lo - amount.lo)')} >= 0)"
-
-    checks = legs.groupBy("seq").agg(
-        F.expr(f"bool_and({enough('low')})").alias("_enough"),
-        F.expr(f"min(case when not {enough('high')} then if(name = 'debit', '1exceeds_credits', '2exceeds_debits') end)").alias("_over"),
-    ).withColumnRenamed("seq", "_c")
-    resolvers = state.filter(posting.RESOLVES).filter("e1 is null").groupBy("pending_id").agg(
-        F.expr(f"min(seq) filter (where status = {ACCEPTED})").alias("_taken"),
-        F.expr(f"min(seq) filter (where status <> {REJECTED})").alias("_open"),
-    ).withColumnRenamed("pending_id", "_r")
-    pendings = state.filter(f"not ({posting.RESOLVES})").selectExpr("id as _q", "chain_key as _p_chain", "status as _p_status")
-    base = state.join(checks, F.expr("seq = _c"), "left")
-    out = base.filter(posting.RESOLVES).join(resolvers, F.expr("pending_id = _r"), "left").join(
-        pendings, F.expr("pending_id = _q"), "left").unionByName(
-        base.filter(f"not ({posting.RESOLVES})"), allowMissingColumns=True)
-    return out.selectExpr(
-        *state.columns,
-        f"e1 is null and coalesce(_enough, true) and (not ({posting.RESOLVES}) or"
-        f" ((_p_status = {ACCEPTED} or _p_chain = chain_key) and coalesce(_open, seq) >= seq and coalesce(_taken, seq) >= seq)) as passes",
-        f"case when _p_status = {REJECTED} and _p_chain <> chain_key then 'pending_transfer_not_found' else coalesce(e1, substr(_over, 2),"
-        " case when _taken < seq then 'pending_transfer_already_resolved' end) end as leg_error",
-    )
+    checks = f"(if(coalesce(debit_cap = 'd', false), 1, 0) + if(coalesce(credit_cap = 'c', false), 1, 0))"
+    alone = f"chain_size = 1 and e1 is null and not ({posting.RESOLVES})"
+    legs = firsts.filter("debit_cap is not null or credit_cap is not null").selectExpr(
+        "seq", "chain_key", f"{UNDECIDED} as status", "amount", f"{alone} and {checks} = 1 as sole", f"{alone} and {checks} = 0 as sure",
+        f"inline(array({leg('debit', 'd')}, {leg('credit', 'c')}))"
+    ).filter("cap is not null").selectExpr(
+        "account", "seq", "chain_key", "status", "name", "checked", "sole", "sure", "effect.hi as e_hi", "effect.lo as e_lo",
+        "amount.hi as a_hi", "amount.lo as a_lo")
+    if opening is None:
+        return legs.selectExpr("*", f"cast(0 as {_SUM}) as r_hi", f"cast(0 as {_SUM}) as r_lo")
+    return legs.join(_opening_rooms(opening, accounts), F.expr("account = _o"), "left").selectExpr(
+        *legs.columns, *[f"cast(coalesce(o_{p}, 0BD) as {_SUM}) as r_{p}" for p in ("hi", "lo")])
+
+
+def _placed(legs: DataFrame, bucket: int) -> DataFrame:
+    """Add ``place``: buckets along each account's order; a chain lies in the bucket of its first touch."""
+    ranked = number_rows(legs, ["account", "seq", "name"], "_rank")
+    first = F.min("_rank").over(Window.partitionBy("account", "chain_key"))
+    return ranked.withColumn("place", F.floor(first / bucket)).drop("_rank")
+
 
+# --- one round --------------------------------------------------------------------
 
-def _decide(state: DataFrame, rooms: DataFrame | None) -> DataFrame:
-    judged = _judged(state, rooms)
+def _sides(part: str) -> tuple[str, str]:
+    """What a touch counts at worst and at best before it is looked at more closely."""
+    negative = f"(e_hi + {u128.floor_div('e_lo')} < 0)"
+    return tuple(
+        f"case when status = {REJECTED} then 0BD when sure or {test} then e_{part} else 0BD end"
+        for test in (negative, f"not {negative}"))
+
+
+def _carried(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Carry the bracket along sorted touches, bucket by bucket; one row (seq, passed, failed) per check."""
+    import pandas as pd
+
+    base, here, chain_here = 10 ** 18, None, None
+    low = high = own_low = own_high = 0
+    for pdf in batches:
+        checks = []
+        for account, b, seq, chain, status, name, checked, sole, sure, e_hi, e_lo, a_hi, a_lo, r_hi, r_lo, l_hi, l_lo, h_hi, h_lo in zip(
+                *[pdf[c] for c in _CARRIED], strict=True):
+            if (account, b) != here:
+                here, chain_here = (account, b), None
+                low, high = int(l_hi) * base + int(l_lo), int(h_hi) * base + int(h_lo)
+            if chain != chain_here:
+                chain_here, own_low, own_high = chain, 0, 0
+            effect, passed, failed = int(e_hi) * base + int(e_lo), False, False
+            if checked:
+                # inside its own chain an event sees the legs before it as applied, whatever becomes of the chain
+                spare = int(r_hi) * base + int(r_lo) - int(a_hi) * base - int(a_lo)
+                passed, failed = spare + low + own_low >= 0, spare + high + own_high < 0
+                checks.append((seq, name, passed, failed))
+            if status == 2 or sole and failed:
+                worst = best = 0
+            elif sure or sole and passed:
+                worst = best = effect
+            else:
+                worst, best = min(effect, 0), max(effect, 0)
+            low, high, own_low, own_high = low + worst, high + best, own_low + effect - worst, own_high + effect - best
+        yield pd.DataFrame(checks, columns=["seq", "name", "passed", "failed"])
+
+
+_CARRIED = ["account", "place", "seq", "chain_key", "status", "name", "checked", "sole", "sure", "e_hi", "e_lo", "a_hi", "a_lo", "r_hi", "r_lo",
+            "low_hi", "low_lo", "high_hi", "high_lo"]
+
+
+def _checks(legs: DataFrame) -> DataFrame:
+    """(seq, enough, over, unsure) of every event with a check: certainly room, or which limit is certainly exceeded.
+
+    The debit side is checked first: while its check is open, a failing credit side is not yet the reason.
+    """
+    ends = {f"{end}_{p}": side for p in ("hi", "lo") for end, side in zip(("low", "high"), _sides(p), strict=True)}
+    totals = legs.groupBy("account", "place").agg(*[F.expr(f"sum({e})").alias(n) for n, e in ends.items()])
+    before = Window.partitionBy("account").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("account", "place", *[F.coalesce(F.sum(n).over(before), F.lit(0)).cast("decimal(38,0)").alias(n) for n in ends])
+    carried = legs.join(starts, ["account", "place"]).select(*_CARRIED)
+    carried = carried.repartition("account", "place").sortWithinPartitions("account", "place", "seq", "name")
+    checks = carried.mapInPandas(_shipped(_carried), "seq bigint, name string, passed boolean, failed boolean")
+    return checks.groupBy("seq").agg(
+        F.expr("bool_and(passed)").alias("enough"),
+        F.expr("min(case when failed then if(name = 'debit', 'exceeds_credits', 'exceeds_debits') end)").alias("over"),
+        F.expr("bool_or(name = 'debit' and not passed and not failed)").alias("unsure"))
+
+
+def _shipped(function):
+    """A function of this module for workers that need not have this package."""
+    import sys
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    return function
+
+
+def _judged(rows: DataFrame, legs: DataFrame) -> DataFrame:
+    """The rows with their new ``status``, and for those that are ``done`` the ``error``."""
+    checks = _checks(legs).withColumnRenamed("seq", "_c")
+    base = rows.join(checks, F.expr("seq = _c"), "left")
+    resolving = base.filter(posting.RESOLVES)
+    open_ = rows.filter(f"{posting.RESOLVES} and e1 is null and status = {UNDECIDED}").groupBy("pending_id").agg(
+        F.min("seq").alias("_open")).withColumnRenamed("pending_id", "_r")
+    resolving = resolving.join(open_, F.expr("pending_id = _r"), "left")
+    both = resolving.unionByName(base.filter(f"not ({posting.RESOLVES})"), allowMissingColumns=True)
+    judged = both.selectExpr(
+        *rows.columns,
+        f"e1 is null and coalesce(enough, true) and (not ({posting.RESOLVES}) or"
+        f" ((p_state = {ACCEPTED} or coalesce(p_chain = chain_key, false)) and coalesce(_open, seq) >= seq and coalesce(taken.seq, seq) >= seq)) as passes",
+        f"case when p_state = {REJECTED} and coalesce(p_chain <> chain_key, true) then 'pending_transfer_not_found' else coalesce(e1, over,"
+        f" case when taken.seq < seq then {posting.lost_to('taken.expiry')} end) end as fails",
+        # whether the pending transfer stands may still change why a post or void fails
+        f"if({posting.RESOLVES}, coalesce(p_state <> {UNDECIDED} or p_chain = chain_key, true), not coalesce(unsure and e1 is null, false)) as named",
+    )
     chain = judged.groupBy("chain_key").agg(
-        F.expr("bool_and(passes)").alias("_all"), F.expr("bool_or(leg_error is not null)").alias("_any"))
+        F.expr("bool_and(passes)").alias("_all"), F.expr("bool_or(fails is not null)").alias("_any"),
+        F.expr("min(case when not passes then struct(seq, if(named, fails, null) as why) end)").alias("_first"))
+    # a chain that certainly fails moves nothing from now on; which leg failed first may show only later
     return judged.join(chain, "chain_key").selectExpr(
-        *[c for c in state.columns if c != "status"],
-        f"case when status <> {UNDECIDED} then status when _any then {REJECTED} when _all then {ACCEPTED}"
-        f" else {UNDECIDED} end as status",
+        *[c for c in rows.columns if c != "status"], "status as _was",
+        f"case when status <> {UNDECIDED} then status when _any then {REJECTED} when _all then {ACCEPTED} else {UNDECIDED} end as status",
+        "_first.seq as _bad", "_first.why as _why",
+    ).selectExpr(
+        "*", f"status = {ACCEPTED} or (status = {REJECTED} and _why is not null) as done",
+        f"case when status = {ACCEPTED} then null when seq = _bad then _why else 'linked_event_failed' end as error",
     )
 
 
-# --- the last few, in order ----------------------------------------------------------
-
-def _replayed(state: DataFrame, rooms: DataFrame | None) -> DataFrame:
-    """Replay the undecided events, at most ``replay_rows`` of them, in one ordered pass."""
-    left = state.filter(f"status = {UNDECIDED}")
-    legs = _with_room(state, rooms, "false", "false").filter(f"status = {UNDECIDED}").groupBy("seq").agg(
-        F.collect_list(F.struct(
-            "account", "checked",
-            *[F.col(c).cast("string").alias(n) for c, n in (
-                ("low_hi", "room_hi"), ("low_lo", "room_lo"), ("effect.hi", "effect_hi"), ("effect.lo", "effect_lo"))],
-        )).alias("legs")).withColumnRenamed("seq", "_s")
-    taken = state.filter(f"({posting.RESOLVES}) and status = {ACCEPTED}").groupBy("pending_id").agg(
-        F.min("seq").alias("taken_at")).withColumnRenamed("pending_id", "_r")
-    pendings = state.filter(f"(flags & {v.PENDING}) <> 0").selectExpr("id as _q", "status as p_status")
-    rows = (
-        left.join(legs, F.expr("seq = _s"), "left").join(taken, F.expr("pending_id = _r"), "left")
-        .join(pendings, F.expr("pending_id = _q"), "left")
-        .selectExpr("seq", "chain_key", "id", "pending_id", posting.RESOLVES + " as resolves", "e1 is not null as bad",
-                    u128.digits("amount") + " as amount", "taken_at", "p_status", "to_json(legs) as legs", "1 as one")
-    )
-    verdicts = rows.groupBy("one").applyInPandas(_replay, "seq bigint, verdict int").withColumnRenamed("seq", "_v")
-    return state.join(verdicts, F.expr("seq = _v"), "left").selectExpr(
-        *[c for c in state.columns if c != "status"], "coalesce(verdict, status) as status")
-
-
-def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
-    import json
-
-    base, extra, verdicts, resolved = 10**18, {}, {}, {}
-    by_id = {}
-    pdf = pdf.sort_values("seq")
-    sizes = pdf.groupby("chain_key")["seq"].count().to_dict()
-    open_rows: dict = {}
-
-    def finish(rows):
-        """Try a whole command's chain; undo it when a leg fails."""
-        trail, fine = [], True
-        marked = []
-        for row in rows:
-            legs = json.loads(row.legs) if isinstance(row.legs, str) else []
-            if row.bad:
-                fine = False
-            elif row.resolves:
-                status = by_id.get(row.pending_id, row.p_status)
-                late = row.taken_at is not None and not pd.isna(row.taken_at) and row.taken_at < row.seq
-                fine = status == ACCEPTED and not late and row.pending_id not in resolved
-            for leg in legs:
-                room = int(leg["room_hi"]) * base + int(leg["room_lo"]) + extra.get(leg["account"], 0)
-                if fine and leg["checked"] and room < int(row.amount):
-                    fine = False
-            if not fine:
-                break
-            for leg in legs:
-                effect = int(leg["effect_hi"]) * base + int(leg["effect_lo"])
-                extra[leg["account"]] = extra.get(leg["account"], 0) + effect
-                trail.append((leg["account"], effect))
-            if row.resolves:
-                resolved[row.pending_id] = row.seq
-                marked.append(row.pending_id)
-            by_id[row.id] = ACCEPTED
-        if not fine:
-            for account, effect in trail:
-                extra[account] -= effect
-            for pending in marked:
-                del resolved[pending]
-        for row in rows:
-            verdicts[row.seq] = by_id[row.id] = ACCEPTED if fine else REJECTED
-
-    for row in pdf.itertuples(index=False):
-        if sizes[row.chain_key] == 1:
-            finish([row])
-        else:
-            chain = open_rows.setdefault(row.chain_key, [])
-            chain.append(row)
-            if len(chain) == sizes[row.chain_key]:
-                finish(open_rows.pop(row.chain_key))
-    return pd.DataFrame({"seq": list(verdicts), "verdict": list(verdicts.values())})
+def _remaining(judged: DataFrame) -> DataFrame:
+    """Rows for the next round; what they wait for is written into them."""
+    news = judged.filter(f"status <> {UNDECIDED} and _was = {UNDECIDED}")
+    states = news.filter(f"not ({posting.RESOLVES})").selectExpr("id as _q", "status as _state")
+    claims = _claims(news.filter(f"{posting.RESOLVES} and status = {ACCEPTED}")).withColumnRenamed("taken", "_taken")
+    left = judged.filter("not done")
+    waiting = left.filter(posting.RESOLVES).join(states, F.expr("pending_id = _q"), "left").join(
+        claims, F.expr("pending_id = _r"), "left").selectExpr(
+        *[c for c in _ROW if c not in ("p_state", "taken")], "coalesce(_state, p_state) as p_state", "least(taken, _taken) as taken")
+    return left.filter(f"not ({posting.RESOLVES})").select(*_ROW).unionByName(waiting)
+
+
+def _folded(legs: DataFrame, judged: DataFrame) -> DataFrame:
+    """The touches of the remaining events, the accepted effects before them in their room."""
+    verdict = judged.selectExpr("seq as _s", "status as _now", "done")
+    known = legs.drop("status").join(verdict, F.expr("seq = _s")).drop("_s")
+    sums = {f"_f_{p}": f"case when done and _now = {ACCEPTED} then e_{p} else 0BD end" for p in ("hi", "lo")}
+    # an event that touches an account twice is one place in its order
+    folded = running_sums(known.withColumn("_at", F.struct("seq", "name")), ["account"], "_at", sums, bucket="place")
+    return folded.filter("not done").selectExpr(
+        *[c for c in legs.columns if c not in ("status", "r_hi", "r_lo")], "_now as status",
+        *[f"cast(r_{p} + _f_{p} as {_SUM}) as r_{p}" for p in ("hi", "lo")])

@@ -18,6 +18,14 @@ from ledgerweave.session import stage
 #: An account cannot carry both limits: such accounts are never created.
 BOTH_CAPS = f"(flags & {v.DEBITS_CAPPED | v.CREDITS_CAPPED}) = {v.DEBITS_CAPPED | v.CREDITS_CAPPED}"
 RESOLVES = f"(flags & {v.POST | v.VOID}) <> 0"
+#: Ids of the voids that timers add to the order (operators/expiry); no command can carry such an id.
+EXPIRY_PREFIX = "expiry:"
+EXPIRY = f"startswith(id, '{EXPIRY_PREFIX}')"
+
+
+def lost_to(expiry: str) -> str:
+    """SQL text of why a post or void comes too late."""
+    return f"if({expiry}, 'pending_transfer_expired', 'pending_transfer_already_resolved')"
 
 
 def first_copies(events: DataFrame) -> DataFrame:
