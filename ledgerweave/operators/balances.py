@@ -13,26 +13,51 @@ from ledgerweave.operators.scan import running_sums
 NAMES = list(posting.BUCKETS)
 
 
-def running_balances(account_legs: DataFrame) -> DataFrame:
+def running_balances(account_legs: DataFrame, opening: DataFrame | None = None) -> DataFrame:
     """Every leg with its account's four balances once the event is applied.
 
     A two-level prefix sum: a hot account is spread over buckets of ``seq``.
+    ``opening`` holds the balances of accounts before the first leg. Columns of
+    ``account_legs`` beyond those of ``posting.legs`` ride along.
     """
     sums = {}
     for name, (side, what) in posting.BUCKETS.items():
         for part in ("hi", "lo"):
             sums[f"_{name}_{part}"] = f"if(side = '{side}', {what}.{part}, 0BD)"
     scanned = running_sums(account_legs, ["account_id"], "seq", sums)
+    start = {n: "" for n in sums}
+    if opening is not None:
+        before = opening.selectExpr("account_id as _o", *[f"{n} as _open_{n}" for n in NAMES])
+        scanned = scanned.join(before, F.expr("account_id = _o"), "left")
+        start = {f"_{n}_{part}": f" + coalesce(_open_{n}.{part}, 0BD)" for n in NAMES for part in ("hi", "lo")}
+    scanned = scanned.selectExpr("*", *[f"cast({n}{more} as decimal(37,0)) as _s{n}" for n, more in start.items()])
+    more = [c for c in account_legs.columns if c not in ("seq", "id", "side", "account_id", "pending", "booked")]
     return scanned.selectExpr(
         "seq", "id", "side", "account_id",
-        *[f"{u128.carry(f'_{n}_hi', f'_{n}_lo')} as {n}" for n in NAMES],
+        *[f"{u128.carry(f'_s_{n}_hi', f'_s_{n}_lo')} as {n}" for n in NAMES], *more,
     )
 
 
-def change_events(posted: DataFrame, accounts: DataFrame, due: DataFrame | None = None) -> DataFrame:
-    """One event per applied transfer (and per expiry), both accounts as of the event."""
+def closing_balances(account_legs: DataFrame, opening: DataFrame) -> DataFrame:
+    """New balances of the accounts that moved: the opening ones and the sum of the legs."""
+    start = [f"named_struct('hi', cast({n}.hi as decimal(22,0)), 'lo', cast({n}.lo as decimal(19,0))) as {n}" for n in NAMES]
+    none = "cast(null as struct<hi:decimal(22,0),lo:decimal(19,0)>)"
+    moved = account_legs.selectExpr("account_id", *[
+        f"if(side = '{side}', {what}, {none}) as {n}" for n, (side, what) in posting.BUCKETS.items()])
+    touched = opening.join(account_legs.select("account_id").distinct(), "account_id", "left_semi").selectExpr("account_id", *start)
+    return moved.unionByName(touched).groupBy("account_id").agg(*[F.expr(u128.sum_limbs(n)).alias(n) for n in NAMES])
+
+
+def change_events(
+    posted: DataFrame, accounts: DataFrame, due: DataFrame | None = None, opening: DataFrame | None = None,
+) -> DataFrame:
+    """One event per applied transfer (and per expiry), both accounts as of the event.
+
+    ``opening``: the accounts' balances before these rows, for a ledger that is
+    posted in batches.
+    """
     kind = (
-        f"case when (flags & {v.PENDING}) <> 0 then 1 when (flags & {v.POST}) <> 0 then 2"
+        f"case when {posting.EXPIRY} then 4 when (flags & {v.PENDING}) <> 0 then 1 when (flags & {v.POST}) <> 0 then 2"
         f" when (flags & {v.VOID}) <> 0 then 3 else 0 end"
     )
     applied = posted.filter("error is null").withColumn("type", F.expr(kind))
@@ -43,38 +68,37 @@ def change_events(posted: DataFrame, accounts: DataFrame, due: DataFrame | None
         again = due.drop("expires_at").withColumn("type", F.lit(4)).withColumn(
             "p_amount", F.col("amount")).drop("seq").withColumnRenamed("expired_seq", "seq")
         shown = shown.unionByName(again, allowMissingColumns=True)
-    snapshots = running_balances(posting.legs(applied))
-    both = snapshots.groupBy("seq").agg(*[
-        F.max(F.when(F.col("side") == side, F.struct("account_id", *NAMES))).alias(side)
+    about = accounts.select(
+        F.col("id").alias("_a"), F.struct(
+            F.expr("cast(coalesce(user_data_64, 0) as decimal(20,0))" if "user_data_64" in accounts.columns else "0BD").alias("user_data_64"),
+            "code", "flags", "created").alias("about"))
+    # what is known of an account rides along with its legs, which are brought together once an event
+    legs = posting.legs(applied).join(about, F.expr("account_id = _a"), "left").drop("_a")
+    both = running_balances(legs, opening).groupBy("seq").agg(*[
+        F.max(F.when(F.col("side") == side, F.struct("account_id", *NAMES, "about"))).alias(side)
         for side in ("debit", "credit")
     ])
-    about = accounts.select("id", "code", "flags", "created", "user_data_64")
-    debit = about.toDF(*[f"da_{c}" for c in about.columns])
-    credit = about.toDF(*[f"ca_{c}" for c in about.columns])
-    rows = (
-        shown.join(both.withColumnRenamed("seq", "_seq"), F.expr("seq = _seq"))
-        .join(debit, F.expr("debit.account_id = da_id"), "left")
-        .join(credit, F.expr("credit.account_id = ca_id"), "left")
-    )
+    rows = shown.join(both.withColumnRenamed("seq", "_seq"), F.expr("seq = _seq"))
 
     def column(name: str) -> str:
         return name if name in posted.columns else "cast(null as string)"
 
     sides = []
-    for side, short in (("debit", "da"), ("credit", "ca")):
+    for side in ("debit", "credit"):
         sides += [
             f"{side}.account_id as {side}_account_id",
             *[f"{side}.{n} as {side}_account_{n}" for n in NAMES],
             f"cast(null as string) as {side}_account_user_data_128",
-            f"cast(coalesce({short}_user_data_64, 0) as decimal(20,0)) as {side}_account_user_data_64",
+            f"cast(coalesce({side}.about.user_data_64, 0) as decimal(20,0)) as {side}_account_user_data_64",
             f"0L as {side}_account_user_data_32",
-            f"coalesce({short}_code, 0) as {side}_account_code",
-            f"coalesce({short}_flags, 0) as {side}_account_flags",
-            f"coalesce({short}_created, 0L) as {side}_account_timestamp",
+            f"coalesce({side}.about.code, 0) as {side}_account_code",
+            f"coalesce({side}.about.flags, 0) as {side}_account_flags",
+            f"coalesce({side}.about.created, 0L) as {side}_account_timestamp",
         ]
+    released = f"if({posting.EXPIRY}, pending_id, id)"
     return rows.selectExpr(
-        "type", "seq as timestamp", "ledger_id as ledger", "id as transfer_id",
-        "amount as transfer_amount", "pending_id as transfer_pending_id",
+        "type", "seq as timestamp", "ledger_id as ledger", f"{released} as transfer_id",
+        "amount as transfer_amount", f"if({posting.EXPIRY}, null, pending_id) as transfer_pending_id",
         f"{column('user_data_128')} as transfer_user_data_128",
         f"cast({'user_data_64' if 'user_data_64' in posted.columns else '0'} as decimal(20,0)) as transfer_user_data_64",
         f"cast({'user_data_32' if 'user_data_32' in posted.columns else '0'} as bigint) as transfer_user_data_32",

@@ -333,9 +333,9 @@ def _checked_events(df: DataFrame, registry: Registry) -> DataFrame:
     return df.selectExpr("*", f"coalesce({transfer_events}, {account_events}) as _events")
 
 
-def explode_events(decoded: DataFrame) -> DataFrame:
-    """One row per event of every usable record, the record's position kept."""
+def explode_events(decoded: DataFrame, *more: str) -> DataFrame:
+    """One row per event of every usable record, the record's position (and columns ``more``) kept."""
     return (
-        decoded.selectExpr("topic", "partition", "offset", "op", "inline_outer(events)")
+        decoded.selectExpr("topic", "partition", "offset", "op", *more, "inline_outer(events)")
         .filter("idx is not null").drop("error")
     )

@@ -5,8 +5,8 @@ replaying a ledger, rounds bracket the room an account has before each event: at
 worst, if of the undecided events only those that shrink it apply, at best, if
 only those that widen it do. The touches of an account are cut into buckets of
 bounded size along their order. Prefix sums over bucket totals give the bracket a
-bucket starts with; inside the bucket it is carried from event to event, and an
-event whose verdict hangs on this account alone settles at once and narrows it for
+bucket starts with; inside the bucket it is carried from chain to chain, and a
+chain whose verdict hangs on this account alone settles at once and narrows it for
 the next. A hot account is as many tasks as it has buckets, and its first open
 bucket, which starts with an exact room, is decided whole in every round.
 
@@ -167,7 +167,7 @@ def _effect(limited_side: bool) -> str:
 def _legs(firsts: DataFrame, opening: DataFrame | None, accounts: DataFrame) -> DataFrame:
     """Every touch of a limited account: its effect on the room, whether it is checked, and the room without this call's events.
 
-    ``sole``: the event's verdict hangs on this check alone. ``sure``: it hangs on none.
+    ``sole``: the verdict on the whole chain hangs on checks of this account alone. ``sure``: it hangs on none.
     """
     def leg(side: str, own: str) -> str:
         return (
@@ -176,10 +176,13 @@ def _legs(firsts: DataFrame, opening: DataFrame | None, accounts: DataFrame) ->
             f" 'checked', {side}_cap = '{own}' and not ({posting.RESOLVES}), 'name', '{side}')"
         )
 
-    checks = f"(if(coalesce(debit_cap = 'd', false), 1, 0) + if(coalesce(credit_cap = 'c', false), 1, 0))"
-    alone = f"chain_size = 1 and e1 is null and not ({posting.RESOLVES})"
-    legs = firsts.filter("debit_cap is not null or credit_cap is not null").selectExpr(
-        "seq", "chain_key", f"{UNDECIDED} as status", "amount", f"{alone} and {checks} = 1 as sole", f"{alone} and {checks} = 0 as sure",
+    chain = Window.partitionBy("chain_key")
+    looked = (f"if({posting.RESOLVES}, array(), array_compact(array(if(debit_cap = 'd', debit_account_id, null),"
+              f" if(credit_cap = 'c', credit_account_id, null))))")
+    marked = firsts.withColumn("_checked", F.size(F.array_distinct(F.flatten(F.collect_list(F.expr(looked)).over(chain))))).withColumn(
+        "_bad", F.max(F.expr("e1 is not null")).over(chain)).withColumn("_phased", F.max(F.expr(posting.RESOLVES)).over(chain))
+    legs = marked.filter("debit_cap is not null or credit_cap is not null").selectExpr(
+        "seq", "chain_key", f"if(_bad, {REJECTED}, {UNDECIDED}) as status", "amount", "not _phased and _checked = 1 as sole", "not _phased and _checked = 0 as sure",
         f"inline(array({leg('debit', 'd')}, {leg('credit', 'c')}))"
     ).filter("cap is not null").selectExpr(
         "account", "seq", "chain_key", "status", "name", "checked", "sole", "sure", "effect.hi as e_hi", "effect.lo as e_lo",
@@ -208,33 +211,40 @@ def _sides(part: str) -> tuple[str, str]:
 
 
 def _carried(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Carry the bracket along sorted touches, bucket by bucket; one row (seq, passed, failed) per check."""
+    """Carry the bracket along sorted touches, chain by chain; one row (seq, name, passed, failed) per check."""
     import pandas as pd
 
     base, here, chain_here = 10 ** 18, None, None
-    low = high = own_low = own_high = 0
+    low = high = applied = 0
+    kind = passes = fails = None
+
+    def end_of_chain() -> tuple[int, int]:
+        """What the chain adds to the bracket: its legs apply together or not at all."""
+        if kind == "rejected" or kind == "sole" and fails:
+            return 0, 0
+        if kind == "sure" or kind == "sole" and passes:
+            return applied, applied
+        return min(applied, 0), max(applied, 0)
+
     for pdf in batches:
         checks = []
         for account, b, seq, chain, status, name, checked, sole, sure, e_hi, e_lo, a_hi, a_lo, r_hi, r_lo, l_hi, l_lo, h_hi, h_lo in zip(
                 *[pdf[c] for c in _CARRIED], strict=True):
-            if (account, b) != here:
-                here, chain_here = (account, b), None
-                low, high = int(l_hi) * base + int(l_lo), int(h_hi) * base + int(h_lo)
-            if chain != chain_here:
-                chain_here, own_low, own_high = chain, 0, 0
-            effect, passed, failed = int(e_hi) * base + int(e_lo), False, False
+            fresh = (account, b) != here
+            if fresh or chain != chain_here:
+                worst, best = end_of_chain()
+                low, high = low + worst, high + best
+                chain_here, applied, passes, fails = chain, 0, True, False
+                kind = "rejected" if status == 2 else "sure" if sure else "sole" if sole else "open"
+            if fresh:
+                here, low, high = (account, b), int(l_hi) * base + int(l_lo), int(h_hi) * base + int(h_lo)
             if checked:
                 # inside its own chain an event sees the legs before it as applied, whatever becomes of the chain
-                spare = int(r_hi) * base + int(r_lo) - int(a_hi) * base - int(a_lo)
-                passed, failed = spare + low + own_low >= 0, spare + high + own_high < 0
+                spare = int(r_hi) * base + int(r_lo) - int(a_hi) * base - int(a_lo) + applied
+                passed, failed = spare + low >= 0, spare + high < 0
+                passes, fails = passes and passed, fails or failed
                 checks.append((seq, name, passed, failed))
-            if status == 2 or sole and failed:
-                worst = best = 0
-            elif sure or sole and passed:
-                worst = best = effect
-            else:
-                worst, best = min(effect, 0), max(effect, 0)
-            low, high, own_low, own_high = low + worst, high + best, own_low + effect - worst, own_high + effect - best
+            applied += int(e_hi) * base + int(e_lo)
         yield pd.DataFrame(checks, columns=["seq", "name", "passed", "failed"])
 
 

@@ -110,20 +110,20 @@ def two_phase(events: DataFrame, earlier: DataFrame | None = None, fallen: DataF
             " as error",
         )
     )
-    claims = matched.filter("error is null").select("pending_id", "seq", "chain_id", "_fallen")
-    standing = claims.filter("not _fallen").select("pending_id", "seq")
+    claims = matched.filter("error is null").selectExpr("pending_id", "seq", "chain_id", "_fallen", f"{EXPIRY} as expiry")
+    standing = claims.filter("not _fallen").select("pending_id", "seq", "expiry")
     if earlier is not None:
-        standing = standing.unionByName(earlier.filter(f"error is null and {RESOLVES}").select("pending_id", "seq"))
-    winners = standing.groupBy("pending_id").agg(F.min("seq").alias("_won")).withColumnRenamed("pending_id", "_resolved")
+        standing = standing.unionByName(earlier.filter(f"error is null and {RESOLVES}").selectExpr("pending_id", "seq", f"{EXPIRY} as expiry"))
+    winners = standing.groupBy("pending_id").agg(F.min(F.struct("seq", "expiry")).alias("_won")).withColumnRenamed("pending_id", "_resolved")
     resolved = matched.join(winners, F.expr("pending_id = _resolved"), "left")
-    lost = "_won < seq"
+    lost = "_won.seq < seq"
     if fallen is not None:
         own = claims.filter("_fallen").groupBy("pending_id", "chain_id").agg(F.min("seq").alias("_own")).toDF("_own_p", "_own_chain", "_own")
         resolved = resolved.join(own, F.expr("_fallen and pending_id = _own_p and chain_id = _own_chain"), "left")
-        lost = "_won < seq or _own < seq"
+        lost = "_won.seq < seq or _own < seq"
     resolved = resolved.selectExpr(
         *[c for c in matched.columns if c not in ("error", "_fallen")],
-        f"coalesce(error, case when {lost} then 'pending_transfer_already_resolved' end) as error",
+        f"coalesce(error, case when {lost} then {lost_to('coalesce(_won.seq < seq and _won.expiry, false)')} end) as error",
     )
     return resolved.unionByName(plain.drop("_fallen"), allowMissingColumns=True)
 
@@ -206,7 +206,9 @@ def balances(account_legs: DataFrame) -> DataFrame:
 
 
 def expired(posted: DataFrame, as_of: int, ticks_per_second: int) -> DataFrame:
-    """Pending transfers that nothing resolved and whose time is up at ``as_of``.
+    """Pending transfers that nothing resolved and whose time is up at ``as_of``, for an order whose ``seq`` is its clock.
+
+    ``expiry.merge`` puts timers into the order before posting; this looks at posted rows at one moment.
 
     They get sequence numbers after ``as_of``, in order of expiry; as a release
     they look like a void of the pending transfer, under its own id.

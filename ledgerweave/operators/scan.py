@@ -105,3 +105,13 @@ def previous(
         )
         .drop("_b")
     )
+
+
+def running_max(df: DataFrame, order: str, value: str, out: str, bucket: str | None = None) -> DataFrame:
+    """Add the largest value up to each row along a unique ``order`` of the whole table."""
+    df = _bucketed(df, [], order, bucket)
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per bucket
+    tops = df.groupBy("_b").agg(F.max(value).alias("_top")).select("_b", F.max("_top").over(before).alias("_before"))
+    inside = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.join(tops, "_b").select(*df.columns, F.greatest("_before", F.max(value).over(inside)).alias(out)).drop("_b")
