@@ -133,6 +133,10 @@ def chains(events: DataFrame) -> DataFrame:
     A chain never leaves its command, and a command's size is limited, so the
     window is bounded. Events outside any chain have a NULL ``chain_id``.
     """
+    # a chain begins with a linked event: records that hold none need no window
+    linked = events.filter("(flags & 1) <> 0").select(*RECORD).distinct()
+    alone = events.join(linked, RECORD, "left_anti").select(*events.columns, F.lit(None).cast("bigint").alias("chain_id"))
+    events = events.join(linked, RECORD, "left_semi").select(*events.columns)
     record = Window.partitionBy(*RECORD).orderBy("idx")
     opened = F.coalesce(F.lag(F.expr("flags & 1")).over(record), F.lit(0)) == 0
     numbered = events.withColumn("_c", F.sum(F.when(opened, 1).otherwise(0)).over(record))
@@ -140,7 +144,7 @@ def chains(events: DataFrame) -> DataFrame:
     return numbered.select(
         *events.columns,
         F.when(F.count("*").over(chain) > 1, F.min("seq").over(chain)).alias("chain_id"),
-    )
+    ).unionByName(alone)
 
 
 def align_outcomes(commands: DataFrame, replies: DataFrame) -> DataFrame:

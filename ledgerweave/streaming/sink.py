@@ -172,7 +172,9 @@ def process_batch(
         mine = expiry.timers(clocked.filter(transferring).join(earlier.select("id"), "id", "left_anti"), TICKS)
         timers = mine.select(*expiry.WAITING).unionByName(waiting.filter("expires_at is not null").select(*expiry.WAITING))
         timers = stage(timers, f"timers-{batch_id}")
-        events = stage(expiry.merge(clocked, timers, now, batch_id * SEQ_PER_BATCH), f"ordered-{batch_id}")
+        if not timers.filter(f"expires_at <= {now}L").isEmpty():
+            clocked = expiry.merge(clocked, timers, now, batch_id * SEQ_PER_BATCH)
+        events = clocked
     creating, transfers = events.filter(f"op = '{CREATE_ACCOUNTS}'"), events.filter(transferring)
     ordered = events.filter(f"{transferring} or {posting.EXPIRY}")
 
