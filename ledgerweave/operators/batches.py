@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerweave.operators.scan import dense, previous, running_sums
+from ledgerweave.session import stage
 
 # workers get these functions by value and need not have this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -27,8 +28,8 @@ def op_runs(commands: DataFrame) -> DataFrame:
     ).drop("_before")
 
 
-#: Offsets of one block of a partition; the result does not depend on it.
-BLOCK = 1 << 17
+#: Offsets of one block of a partition, and blocks of one run; the result does not depend on them.
+BLOCK, FAN = 1 << 17, 64
 
 
 def _walk(op, n, limit: int):
@@ -73,17 +74,58 @@ def _outlook(limit: int):
     return run
 
 
+def _composed(limit: int):
+    """The outlook of a run of blocks: their outlooks applied one after another, for every possible entry at once."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
+        filled, begun, kind = np.arange(limit), np.zeros(limit, np.int64), None
+        for first, last, b, left in zip(pdf["first"], pdf["last"], pdf["begun"], pdf["left"], strict=True):
+            if kind is not None and first != kind:
+                filled = np.zeros(limit, np.int64)
+            begun, filled, kind = begun + np.asarray(b)[filled], np.asarray(left)[filled], last
+        return pd.DataFrame({
+            "topic": pdf["topic"].iloc[:1], "partition": pdf["partition"].iloc[:1], "block": pdf["run"].iloc[:1],
+            "first": pdf["first"].iloc[:1], "last": [kind], "begun": [begun], "left": [filled]})
+
+    return run
+
+
 def _entries(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Follow a partition's blocks in order: how each is entered."""
+    """Follow the blocks of a run in order: how each is entered, given how the run is."""
     pdf = pdf.sort_values("block")
-    filled, kind, batches, out = 0, None, 0, []
+    filled, batches, kind, out = int(pdf["enter_filled"].iloc[0]), int(pdf["enter_before"].iloc[0]), None, []
     for first, last, begun, left in zip(pdf["first"], pdf["last"], pdf["begun"], pdf["left"], strict=True):
-        filled = filled if first == kind else 0
+        filled = filled if kind is None or first == kind else 0
         out.append((filled, batches))
         batches, filled, kind = batches + int(begun[filled]), int(left[filled]), last
     return pdf[["topic", "partition", "block"]].assign(filled=[f for f, _ in out], before=[b for _, b in out])
 
 
+_BLOCK = "topic string, partition int, block bigint"
+_OUTLOOK = f"{_BLOCK}, first string, last string, begun array<bigint>, left array<bigint>"
+
+
+def _entered(outlook: DataFrame, limit: int, fan: int) -> DataFrame:
+    """How every block is entered.
+
+    Outlooks are functions of the entry, and functions compose: runs of ``fan``
+    blocks become one outlook each, runs of runs again, until a partition has few
+    left; then the entries come down the same way. No task sees more than ``fan``
+    outlooks, however long a partition is.
+    """
+    outlook = stage(outlook, "outlooks")
+    most = outlook.groupBy("topic", "partition").count().agg(F.max("count")).first()[0] or 0
+    place = ["topic", "partition"]
+    if most <= fan:
+        return outlook.withColumn("enter_filled", F.lit(0)).withColumn("enter_before", F.lit(0)).groupBy(*place).applyInPandas(
+            _entries, f"{_BLOCK}, filled bigint, before bigint")
+    runs = outlook.withColumn("run", F.expr(f"block div {fan}"))
+    above = _entered(runs.groupBy(*place, "run").applyInPandas(_composed(limit), _OUTLOOK), limit, fan)
+    above = above.selectExpr(*place, "block as run", "filled as enter_filled", "before as enter_before")
+    return runs.join(above, [*place, "run"]).groupBy(*place, "run").applyInPandas(_entries, f"{_BLOCK}, filled bigint, before bigint")
+
+
 def _placed(limit: int):
     """Number the batches of a block whose entry is known."""
 
@@ -104,24 +146,20 @@ def _placed(limit: int):
     return run
 
 
-def command_batches(commands: DataFrame, limit: int, block: int = BLOCK) -> DataFrame:
+def command_batches(commands: DataFrame, limit: int, block: int = BLOCK, fan: int = FAN) -> DataFrame:
     """Greedy packing of whole commands, never across a run, at most ``limit`` events.
 
     Exact for partitions of any length: each block of offsets works out what it
-    would do for every fill level it may be entered with, one short pass over
-    the blocks of a partition picks the level that comes true, and the blocks
-    then number their batches. A block is one task's group; of a partition only
-    the outlooks (``limit`` numbers a block) come together. Commands that can
-    never be sent keep their reason in ``error``.
+    would do for every fill level it may be entered with, composing these picks
+    the level that comes true, and the blocks then number their batches. A block,
+    or the outlooks of ``fan`` blocks (2 * ``limit`` numbers each), is one task's
+    group. Commands that can never be sent keep their reason in ``error``.
     """
     sized = commands.select("topic", "partition", "offset", "op", "n_events").withColumn("error", F.expr(
         f"case when n_events = 0 then 'empty_command' when n_events > {limit} then 'command_too_large' end"))
     rows = sized.filter("error is null").withColumn("block", F.expr(f"offset div {block}")).drop("error")
     place = ["topic", "partition", "block"]
-    known = "topic string, partition int, block bigint"
-    outlook = rows.groupBy(*place).applyInPandas(
-        _outlook(limit), f"{known}, first string, last string, begun array<bigint>, left array<bigint>")
-    entered = outlook.groupBy("topic", "partition").applyInPandas(_entries, f"{known}, filled bigint, before bigint")
+    entered = _entered(rows.groupBy(*place).applyInPandas(_outlook(limit), _OUTLOOK), limit, fan)
     packed = rows.join(entered, place).groupBy(*place).applyInPandas(
         _placed(limit), "topic string, partition int, offset bigint, op string, n_events int, batch bigint")
     return packed.unionByName(sized.filter("error is not null"), allowMissingColumns=True)
