@@ -49,8 +49,9 @@ def compare(spark, sf_dir, name, queries, oracles):
     want = table_of(rel.columns, rel.fetchall())
     if got == want:
         return f"ok {len(got[1])}", took, True
-    only_got = [r for r in got[1] if r not in set(want[1])][:3]
-    only_want = [r for r in want[1] if r not in set(got[1])][:3]
+    have, expected = set(got[1]), set(want[1])
+    only_got = [r for r in got[1] if r not in expected][:3]
+    only_want = [r for r in want[1] if r not in have][:3]
     return (f"DIFFERENT {got[0]} / {want[0]} rows {len(got[1])}/{len(want[1])}\n   spark {only_got}\n"
             f"   duck  {only_want}", took, False)
 
