@@ -51,18 +51,22 @@ def settle(
     ``earlier`` holds rows a previous call returned, for a stream posted in
     batches: ids decided there are left out, pending transfers there can be
     resolved. ``opening`` holds the balances (``account_id`` and the four limb
-    columns) those rows led to. An account with both limit flags does not exist:
+    columns) those rows led to. Events of a chain count at the place of its first
+    one. An account with both limit flags does not exist:
     no ledger creates it. ``on_round`` is told how many events a round left.
     """
     accounts = accounts.filter(f"not ({posting.BOTH_CAPS})")
     firsts = stage(_prepared(events, accounts, earlier), "limits-firsts")
     rows = firsts.select(*_ROW)
     legs = stage(_placed(_legs(firsts, opening, accounts), bucket), "limits-legs")
-    verdicts, placed = [], None
+    verdicts, placed, still = [], None, 0
     while True:
         judged = stage(_judged(rows, legs), "limits-round")
         verdicts.append(judged.filter("done").select("seq", "error"))
-        left = judged.filter("not done").count()
+        left, moved = judged.filter("not done").agg(F.count("*"), F.count(F.expr("if(status <> _was, 1, null)"))).first()
+        still = 0 if moved or judged.filter("done").select("seq").head(1) else still + 1
+        if still > 2:
+            raise RuntimeError(f"{left} events wait for each other")  # an order in which an event hangs on a later one
         if on_round:
             on_round(left)
         if not left:
@@ -72,7 +76,8 @@ def settle(
             placed, legs = left, _placed(legs.drop("place"), bucket)
         legs = stage(legs, "limits-legs")
     known = reduce(DataFrame.unionByName, verdicts)
-    return firsts.join(known, "seq").select(*[c for c in events.columns], "p_amount", "p_debit", "p_credit", "error")
+    return firsts.join(known, "seq").selectExpr(
+        *["seq0 as seq" if c == "seq" else f"`{c}`" for c in events.columns], "p_amount", "p_debit", "p_credit", "error")
 
 
 # --- preparation ----------------------------------------------------------------
@@ -88,6 +93,11 @@ def _prepared(events: DataFrame, accounts: DataFrame, earlier: DataFrame | None)
         firsts = firsts.join(earlier.select(F.col("id").alias("_e")), F.expr("id = _e"), "left_anti")
     checked = posting.account_errors(firsts, accounts).withColumnRenamed("error", "e1").withColumn(
         "chain_key", F.expr("coalesce(chain_id, -seq)"))
+    # a chain stands whole at the place of its first event, whatever lies between its events
+    start = events.agg(F.min("seq")).first()[0] or 0
+    checked = checked.withColumn("_first", F.min("seq").over(Window.partitionBy("chain_key")))
+    checked = number_rows(checked, ["_first", "seq"], "_rank").withColumn("seq0", F.col("seq")).withColumn(
+        "seq", F.expr(f"{start - 1}L + _rank")).drop("_first", "_rank")
     target = ["id as _p", "seq as _p_seq", "flags as _p_flags", "amount as p_amount",
               "debit_account_id as p_debit", "credit_account_id as p_credit"]
     targets = checked.filter(f"not ({posting.RESOLVES})").selectExpr(
@@ -219,7 +229,10 @@ def _carried(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     kind = passes = fails = None
 
     def end_of_chain() -> tuple[int, int]:
-        """What the chain adds to the bracket: its legs apply together or not at all."""
+        """What the chain adds to the bracket: its legs apply together or not at all.
+
+        Without a check on this account (``passes`` is None) its verdict is found elsewhere.
+        """
         if kind == "rejected" or kind == "sole" and fails:
             return 0, 0
         if kind == "sure" or kind == "sole" and passes:
@@ -234,7 +247,7 @@ def _carried(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if fresh or chain != chain_here:
                 worst, best = end_of_chain()
                 low, high = low + worst, high + best
-                chain_here, applied, passes, fails = chain, 0, True, False
+                chain_here, applied, passes, fails = chain, 0, None, False
                 kind = "rejected" if status == 2 else "sure" if sure else "sole" if sole else "open"
             if fresh:
                 here, low, high = (account, b), int(l_hi) * base + int(l_lo), int(h_hi) * base + int(h_lo)
@@ -242,7 +255,7 @@ def _carried(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 # inside its own chain an event sees the legs before it as applied, whatever becomes of the chain
                 spare = int(r_hi) * base + int(r_lo) - int(a_hi) * base - int(a_lo) + applied
                 passed, failed = spare + low >= 0, spare + high < 0
-                passes, fails = passes and passed, fails or failed
+                passes, fails = passed and passes is not False, fails or failed
                 checks.append((seq, name, passed, failed))
             applied += int(e_hi) * base + int(e_lo)
         yield pd.DataFrame(checks, columns=["seq", "name", "passed", "failed"])
