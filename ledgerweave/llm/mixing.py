@@ -98,21 +98,26 @@ def _scale(ratios: DataFrame) -> float:
     return 2.0 ** (least / 16)
 
 
-def mix(docs: DataFrame, power: float = TEMPER, rounds: int = ROUNDS, seed: str = "mix") -> DataFrame:
-    """``docs`` with tokens, topic, mix_probability and mix_kept."""
+def mix(docs: DataFrame, power: float = TEMPER, rounds: int = ROUNDS, seed: str = "mix", keep_text: bool = True) -> DataFrame:
+    """``docs`` with tokens, topic, mix_probability and mix_kept.
+
+    Texts are read through once; without ``keep_text`` they are not in the written table and the result.
+    """
     batches_of(docs.sparkSession)
     docs = without(docs, "tokens", "topic", "mix_probability", "mix_kept")
-    measured = docs.select(*_values(docs), _measured("text").alias("m")).select("source", "lang", "m.topic", "m.tokens")
+    columns = [c for c in docs.columns if keep_text or c != "text"]
+    docs = stage(docs.select(*[F.col(f"`{c}`") for c in columns], _measured("text").alias("_mix_measured")), "mix-measured")
+    measured = docs.select(*_values(docs), F.col("_mix_measured").alias("m")).select("source", "lang", "m.topic", "m.tokens")
     cells = stage(measured.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix-cells")
     raked = rake(cells, {d: tempered(cells, d, power) for d in DIMENSIONS}, rounds)
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
     scale = _scale(raked.select("weight", ratio.alias("ratio")))
     chance = stage(raked.select(*[F.col(d).alias(f"_mix_{d}") for d in DIMENSIONS], F.least(F.lit(1.0), ratio / scale).alias("mix_probability")), "mix-chances")
-    keyed = docs.withColumn("_mix_measured", _measured("text")).withColumns({f"_mix_{c.lower()}": v for c, v in zip(("source", "lang"), _values(docs), strict=True)})
+    keyed = docs.withColumns({f"_mix_{c.lower()}": v for c, v in zip(("source", "lang"), _values(docs), strict=True)})
     keyed = keyed.withColumn("_mix_topic", F.col("_mix_measured.topic"))
     drawn = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), id_text())), 1, 13), 16, 10).cast("double") / float(16**13)
     return keyed.join(chance, [f"_mix_{d}" for d in DIMENSIONS]).select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.col("_mix_measured.tokens").alias("tokens"), F.col("_mix_topic").alias("topic"),
+        *[F.col(f"`{c}`") for c in columns], F.col("_mix_measured.tokens").alias("tokens"), F.col("_mix_topic").alias("topic"),
         "mix_probability", (drawn < F.col("mix_probability")).alias("mix_kept"))
 
 

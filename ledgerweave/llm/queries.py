@@ -81,7 +81,7 @@ def op9_hyperminhash(spark, sf_dir):
 
 
 def op10_raking(spark, sf_dir):
-    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), keep_text=False)
     return mixed.select("doc_id", "topic", "tokens", F.round("mix_probability", 6).alias("probability"), F.col("mix_kept").alias("kept"))
 
 
