@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ledgerweave.llm import vectors
 from ledgerweave.llm.common import Shared, ship, without
 from ledgerweave.llm.components import components
+from ledgerweave.llm.vectors import unit as unit_vectors
 from ledgerweave.session import stage
 
 ship(__name__)
@@ -107,7 +108,7 @@ def _linked(index: Index, threshold: float):
 
         member = unit["member"].to_numpy()
         node, count = unit["node"].to_numpy(), unit["n"].to_numpy()
-        x = vectors.unit(unit["vector"])
+        x = unit_vectors(unit["vector"])
         m, v = np.flatnonzero(member), np.flatnonzero(~member)
         links, root = np.zeros(len(node), np.int64), node.copy()
         if len(m) and len(v):
@@ -155,7 +156,7 @@ def near_duplicates(table: DataFrame, id_column: str = "vec_id", vector: str = "
             import pandas as pd
 
             for pdf in batches:
-                costs = shared.value.costs(vectors.unit(pdf["vector"]))
+                costs = shared.value.costs(unit_vectors(pdf["vector"]))
                 home = shared.value.cell(costs)
                 visits = [shared.value.visits(a, b) for a, b in zip(*costs, strict=True)]
                 yield pd.DataFrame({"node": pdf["node"], "n": pdf["n"], "vector": pdf["vector"], "home": home, "visits": visits})

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ledgerweave.llm import vectors
 from ledgerweave.llm.common import Shared, ship
+from ledgerweave.llm.vectors import unit as unit_vectors
 from ledgerweave.session import stage
 
 ship(__name__)
@@ -126,7 +127,7 @@ def _scored(k: int):
         import pandas as pd
 
         member = unit["member"].to_numpy()
-        node, x = unit["node"].to_numpy(), vectors.unit(unit["vector"])
+        node, x = unit["node"].to_numpy(), unit_vectors(unit["vector"])
         first = unit["first"].to_numpy()
         m, q = np.flatnonzero(member), np.flatnonzero(~member)
         if not len(m) or not len(q):
@@ -164,12 +165,12 @@ def nearest(table: DataFrame, queries, k: int = 5, id_column: str = "vec_id", ve
 
     def placed(batches):
         for pdf in batches:
-            x = vectors.unit(pdf["vector"])
+            x = unit_vectors(pdf["vector"])
             yield pdf.assign(cells=list(np.stack([t.place(x) for t in shared.value.trees], 1).astype(np.int32)))
 
     def visited(batches):
         for pdf in batches:
-            x = vectors.unit(pdf["vector"])
+            x = unit_vectors(pdf["vector"])
             yield pdf.assign(visits=[[{"tree": t, "leaf": leaf} for t, leaf in shared.value.order(q, shared.value.visits)] for q in x])
 
     plain = nodes.select("node", "first", "vector")
