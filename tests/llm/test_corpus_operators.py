@@ -162,6 +162,92 @@ def test_tree_matching_finds_the_largest_ordered_alignment():
     assert wrapper.align("", a) == [0]
 
 
+def matched(a, b):
+    """Most nodes that match between two trees (signature, children), by trying every ordered matching of the children."""
+    if a[0] != b[0]:
+        return 0
+    best = {(0, 0): 0}
+    for i in range(len(a[1]) + 1):
+        for j in range(len(b[1]) + 1):
+            ways = [best[i - 1, j]] if i else []
+            ways += [best[i, j - 1]] if j else []
+            ways += [best[i - 1, j - 1] + matched(a[1][i - 1], b[1][j - 1])] if i and j else []
+            best[i, j] = max(ways, default=0)
+    return 1 + best[len(a[1]), len(b[1])]
+
+
+def some_tree(draw, depth=3):
+    return ["xyz"[draw.integers(0, 3 if depth < 3 else 2)], [some_tree(draw, depth - 1) for _ in range(draw.integers(0, 4))] if depth else []]
+
+
+def as_skeleton(tree):
+    parents = []
+
+    def add(node, parent):
+        parents.append(f"{parent}:{node[0]}")
+        number = len(parents)
+        for child in node[1]:
+            add(child, number)
+
+    for child in tree[1]:
+        add(child, 0)
+    return " ".join(parents)
+
+
+@pytest.mark.parametrize("stored", [500_000, 2])
+def test_tree_matching_equals_brute_force(monkeypatch, stored):
+    monkeypatch.setattr(wrapper, "STORED", stored)
+    draw = np.random.default_rng(5)
+    for _ in range(300):
+        a, b = (["#", some_tree(draw)[1]] for _ in range(2))
+        one, two = as_skeleton(a), as_skeleton(b)
+        found = wrapper.align(one, two)
+        assert sum(m >= 0 for m in found) == matched(a, b)
+        (parents, names), (others, theirs) = ([list(x) for x in zip(*(i.split(":") for i in t.split()), strict=True)] or [[], []] for t in (one, two))
+        pairs = [(i, m) for i, m in enumerate(found) if m > 0]
+        assert len({m for _, m in pairs}) == len(pairs)
+        for i, m in pairs:
+            assert names[i - 1] == theirs[m - 1] and found[int(parents[i - 1])] == int(others[m - 1])
+        for i, m in pairs:  # siblings stay in order
+            assert all((i < k) == (m < n) for k, n in pairs if parents[k - 1] == parents[i - 1] and k != i)
+
+
+def test_wide_and_deep_pages_align_in_little_memory():
+    import time
+    import tracemalloc
+
+    wide = "<div><{0}>head</{0}>" + "<p>x</p><div class=b>y</div>" * 2500 + "<{1}>end</{1}></div>"
+    pages = [(wide.format("h1", "h2"), wide.format("h3", "h4")), ("<div><p>a</p>" * 2000, "<div><h1>a</h1>" * 2000)]
+    for one, two, least in [(*(wrapper.scan(p)[0] for p in pages[0]), 5002), (*(wrapper.scan(p)[0] for p in pages[1]), 2001)]:
+        began = time.time()
+        assert sum(m >= 0 for m in wrapper.align(one, two)) == least
+        assert time.time() - began < 10
+        tracemalloc.start()
+        wrapper.align(one, two)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 100e6
+
+
+@pytest.mark.parametrize(("page", "kept"), [
+    (f'<p title="{"a" * 5000} > leaked">text</p>', ["text"]),
+    ('<body><div id="search-for-meaning"><p>Whole article</p></div>', ["Whole article"]),
+    ('<div class="social-history">article</div><p>tail</p>', ["article", "tail"]),
+    ('<p>Story <a href=x>of a long link to another text</a>.</p><div><a href=y>Menu</a></div>', ["Story of a long link to another text."]),
+    ('<div id="site-header">x</div><div class="left-sidebar">x</div><div class="comments-2">x</div><p>text</p>', ["text"]),
+    ('<p a="1>text</p>', ["text"]),
+])
+def test_long_values_names_among_words_and_links_in_text(page, kept):
+    assert [t for _, t in wrapper.parse(page)[1]] == kept
+
+
+def test_links_that_vary_on_a_host_are_no_menu(spark):
+    html = "<body><ul class=m><li><a href=/>Home</a></li></ul><div class=s><a href=/{0}>The story {0} that is one link</a></div><p>text {0}</p></body>"
+    pages = spark.createDataFrame([(i, f"http://v.example/{i}", html.format(i)) for i in range(8)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["main_text"] for r in wrapper.main_text(pages).collect()}
+    assert got == {i: f"The story {i} that is one link\n\ntext {i}" for i in range(8)}
+
+
 def test_constant_slots_are_template_and_copies_are_not(spark):
     rows = [(i, f"http://h.example/{i}", f"<body><div class=x><p>Same notice</p></div><div class=y><p>own words {i} and more of {i}</p></div></body>") for i in range(12)]
     rows += [(100 + i, "http://copy.example/", "<p>copied article</p><p>copied too</p>") for i in range(12)]
@@ -193,7 +279,7 @@ def test_hostile_pages_take_little_time():
     import time
 
     began = time.time()
-    for page in ("<a \"'" * 10000, "<p>" * 20000, "<" * 50000, "<div>" * 2000, "<!--" * 20000, "<b>" * 10000 + "<p>" * 10000):
+    for page in ("<a \"'" * 10000, "<a \">\" " * 100000, "<p>" * 20000, "<" * 50000, "<div>" * 2000, "<!--" * 20000, "<b>" * 10000 + "<p>" * 10000):
         wrapper.parse(page)
     assert time.time() - began < 20
 
