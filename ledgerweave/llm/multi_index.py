@@ -13,13 +13,18 @@ blocks of members and visitors; a block returns, for each vector, the number of
 its links and the smallest node it is connected with inside the block, never the
 pairs. Components are then joined over all blocks.
 
-Vectors that are null, zero, of another length or hold null or non-finite
-components link with nothing. Columns of the input named like a result are replaced.
+The grid grows with the table, so that a cell holds PER_CELL vectors on average,
+until the codebooks have as many codes as the sample can fit. Vectors of different
+lengths have no cosine; each length has an index of its own, one after another.
+
+Vectors that are null, zero or hold null or non-finite components link with
+nothing. Columns of the input named like a result are replaced.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +42,8 @@ ship(__name__)
 THRESHOLD, RECALL = 0.9, 0.995
 #: Vectors the codebooks and the margin are fitted on, at most.
 SAMPLE = 20_000
-CODES = 16
+#: Least codes of a half, sample vectors for each code at least, and vectors in a cell on average.
+CODES, PER_CODE, PER_CELL = 16, 40, 128
 MEMBERS, VISITORS = 1024, 2048
 
 
@@ -102,6 +108,11 @@ def fit(x: np.ndarray, codes: int = CODES, threshold: float = THRESHOLD, recall:
     return index
 
 
+def codes_for(vectors_in_all: int) -> int:
+    """Codes of each half for a table of that many different vectors."""
+    return max(CODES, min(math.isqrt(vectors_in_all // PER_CELL), SAMPLE // PER_CODE))
+
+
 def _linked(index: Index, threshold: float):
     def run(unit):
         import pandas as pd
@@ -137,6 +148,26 @@ def _linked(index: Index, threshold: float):
     return run
 
 
+def _links(nodes: DataFrame, count: int, threshold: float) -> DataFrame:
+    """Written (node, links, root) of different vectors of one length, several rows a node."""
+    index = fit(vectors.sampled(nodes, SAMPLE), codes_for(count), threshold)
+    shared = Shared(nodes.sparkSession, index)
+
+    def placed(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            costs = shared.value.costs(unit_vectors(pdf["vector"]))
+            home = shared.value.cell(costs)
+            visits = [shared.value.visits(a, b) for a, b in zip(*costs, strict=True)]
+            yield pd.DataFrame({"node": pdf["node"], "n": pdf["n"], "vector": pdf["vector"], "home": home, "visits": visits})
+
+    cells = stage(nodes.mapInPandas(placed, "node long, n long, vector array<double>, home int, visits array<int>"), "vector-cells")
+    columns = ["node", "n", "vector"]
+    units = vectors.blocked(cells.select(F.col("home").alias("cell"), *columns), cells.select(F.explode("visits").alias("cell"), *columns), ["cell"], MEMBERS, VISITORS, columns)
+    return stage(units.groupBy("cell", "i", "j").applyInPandas(_linked(index, threshold), "node long, links long, root long"), "vector-links")
+
+
 def near_duplicates(table: DataFrame, id_column: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
     """``table`` with n_links, component_id (the smallest id reachable) and kept (id = component_id)."""
     spark = table.sparkSession
@@ -147,26 +178,10 @@ def near_duplicates(table: DataFrame, id_column: str = "vec_id", vector: str = "
     flat = rows.select("row", F.col("id.doc").alias("doc"), F.col("id.id").alias("id"), "vector", "usable")
     # equal vectors meet by their content; the count is a partial aggregate
     nodes = stage(flat.where("usable").groupBy("vector").agg(F.min("row").alias("node"), F.count("*").alias("n")), "vector-nodes")
-    x = vectors.sampled(nodes, SAMPLE)
-    if len(x):
-        index = fit(x, threshold=threshold)
-        shared = Shared(spark, index)
-
-        def placed(batches):
-            import pandas as pd
-
-            for pdf in batches:
-                costs = shared.value.costs(unit_vectors(pdf["vector"]))
-                home = shared.value.cell(costs)
-                visits = [shared.value.visits(a, b) for a, b in zip(*costs, strict=True)]
-                yield pd.DataFrame({"node": pdf["node"], "n": pdf["n"], "vector": pdf["vector"], "home": home, "visits": visits})
-
-        cells = stage(nodes.mapInPandas(placed, "node long, n long, vector array<double>, home int, visits array<int>"), "vector-cells")
-        columns_ = ["node", "n", "vector"]
-        units = vectors.blocked(cells.select(F.col("home").alias("cell"), *columns_), cells.select(F.explode("visits").alias("cell"), *columns_), ["cell"], MEMBERS, VISITORS, columns_)
-        found = stage(units.groupBy("cell", "i", "j").applyInPandas(_linked(index, threshold), "node long, links long, root long"), "vector-links")
-    else:
-        found = spark.createDataFrame([], "node long, links long, root long")
+    found = spark.createDataFrame([], "node long, links long, root long")
+    for length, count in vectors.lengths(nodes):
+        if count > 1:
+            found = found.unionByName(_links(nodes.where(F.size("vector") == length), count, threshold))
     degree = found.groupBy("node").agg(F.sum("links").alias("links"))
     of = stage(components(found.select(F.col("node").alias("a"), F.col("root").alias("b"))), "vector-components")
     member = flat.where("usable").select("row", "id", "vector").join(nodes, "vector")

@@ -11,8 +11,13 @@ Equal vectors are one candidate that stands for its smallest ids; k + 1 of them
 are enough. A leaf of any size is worked off in blocks, each of which returns
 the k + 1 nearest for each of its queries.
 
-Vectors that are null, zero, of another length or hold null or non-finite
-components take no part, neither do null ids.
+Trees grow with the table, so that a leaf holds PER_LEAF vectors on average, until
+the sample is used up. Vectors of different lengths have no cosine; each length
+has a forest of its own, one after another.
+
+Vectors that are null, zero or hold null or non-finite components take no part,
+neither do null ids. Rows are told apart by their place, not by their id: rows
+that repeat an id each have a ranking, in which the others are candidates.
 """
 
 from __future__ import annotations
@@ -31,11 +36,11 @@ from ledgerweave.session import stage
 
 ship(__name__)
 
-TREES, RECALL = 4, 0.97
+TREES, RECALL = 4, 0.95
 #: Vectors the trees are fitted on, at most, and those of them that measure the recall.
 SAMPLE, TRIED = 20_000, 400
-#: A node of the sample with no more vectors than this part of it (and this many) is a leaf.
-LEAF_PART, LEAF = 64, 8
+#: Least leaves of a tree, sample vectors in each at least, and vectors of the table in a leaf on average.
+LEAVES, LEAF, PER_LEAF = 64, 8, 200
 MEMBERS, VISITORS = 4096, 1024
 
 
@@ -103,12 +108,17 @@ class Forest:
         return found
 
 
-def fit(x: np.ndarray, k: int, recall: float = RECALL, trees: int = TREES) -> Forest:
+def leaves_for(vectors_in_all: int) -> int:
+    """Leaves of a tree for a table of that many different vectors."""
+    return max(LEAVES, min(vectors_in_all // PER_LEAF, SAMPLE // LEAF))
+
+
+def fit(x: np.ndarray, k: int, recall: float = RECALL, trees: int = TREES, leaves: int = LEAVES) -> Forest:
     """Trees over the sample, and the leaves a query must visit for the target recall of its k nearest."""
     draw = np.random.Generator(np.random.PCG64(13))
     forest = Forest([Tree() for _ in range(trees)])
     for tree in forest.trees:
-        tree.grow(x, draw, max(LEAF, len(x) // LEAF_PART))
+        tree.grow(x, draw, max(LEAF, len(x) // leaves))
     places = np.stack([t.place(x) for t in forest.trees])
     total = sum(t.leaves for t in forest.trees)
     ranks = []
@@ -155,13 +165,18 @@ def nearest(table: DataFrame, queries, k: int = 5, id_column: str = "vec_id", ve
     rows = rows.where(F.col("usable") & F.col("id").isNotNull())
     # the k + 1 smallest ids of each vector: the limit is applied before the shuffle, too
     few = rows.withColumn("at", F.row_number().over(Window.partitionBy("vector").orderBy("id", "row"))).where(F.col("at") <= k + 1)
-    nodes = stage(few.groupBy("vector").agg(F.min("row").alias("node"), F.min("id").alias("first"), F.sort_array(F.collect_list("id")).alias("ids")), "forest-nodes")
+    nodes = stage(few.groupBy("vector").agg(F.min("row").alias("node"), F.min("id").alias("first"), F.sort_array(F.collect_list(F.struct("id", "row"))).alias("ids")), "forest-nodes")
     asked = rows.select("row", F.col("id").alias(id_column), "vector").where(queries).select("row", F.col(id_column).alias("id"), "vector")
-    asked = stage(asked.join(nodes.select("vector", "node"), "vector").select("id", "node"), "forest-queries")
-    x = vectors.sampled(nodes, SAMPLE)
-    if not len(x):
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    shared = Shared(spark, fit(x, k))
+    asked = stage(asked.join(nodes.select("vector", "node"), "vector").select("row", "id", "node"), "forest-queries")
+    ranked = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for length, count in vectors.lengths(nodes):
+        ranked = ranked.unionByName(_ranked(nodes.where(F.size("vector") == length), count, asked, k))
+    return ranked
+
+
+def _ranked(nodes: DataFrame, count: int, asked: DataFrame, k: int) -> DataFrame:
+    """The ranking of those queries whose vectors are among these, all of one length."""
+    shared = Shared(nodes.sparkSession, fit(vectors.sampled(nodes, SAMPLE), k, leaves=leaves_for(count)))
 
     def placed(batches):
         for pdf in batches:
@@ -184,7 +199,7 @@ def nearest(table: DataFrame, queries, k: int = 5, id_column: str = "vec_id", ve
     best = found.groupBy("query", "node").agg(F.max("score").alias("score")).join(nodes.select("node", "first", "ids"), "node")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "first")
     best = best.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k + 1)
-    near = asked.select(F.col("id").alias("query_id"), F.col("node").alias("query")).join(best, "query")
-    near = near.select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id").distinct()
-    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int"))
+    near = asked.select(F.col("id").alias("query_id"), F.col("row").alias("own"), F.col("node").alias("query")).join(best, "query")
+    near = near.select("query_id", "own", F.explode("ids").alias("other"), "score").where("other.row <> own").select("query_id", "own", F.col("other.id").alias("vec_id"), "other.row", "score")
+    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("own").orderBy(F.desc("score"), "vec_id", "row")).cast("int"))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

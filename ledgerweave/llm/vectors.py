@@ -19,11 +19,15 @@ def usable(vector: Column) -> Column:
 
 
 def numbered(table: DataFrame, id_column: str, vector: str) -> DataFrame:
-    """Written (row, id, vector, usable); vectors of another length than the most frequent one do not take part."""
+    """Written (row, id, vector, usable)."""
     v = F.col(f"`{vector}`")
-    rows = stage(table.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_column}`").alias("id"), v.cast("array<double>").alias("vector"), usable(v.cast("array<double>")).alias("usable")), "vectors")
-    common = rows.where("usable").groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.withColumn("usable", F.col("usable") & (F.size("vector") == (common["n"] if common else 0)))
+    return stage(table.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_column}`").alias("id"), v.cast("array<double>").alias("vector"), usable(v.cast("array<double>")).alias("usable")), "vectors")
+
+
+def lengths(nodes: DataFrame) -> list[tuple[int, int]]:
+    """Lengths of the vectors and how many there are of each. Vectors of one length are compared, each length by
+    an index of its own; a table has few lengths, most often one."""
+    return sorted((r["length"], r["count"]) for r in nodes.groupBy(F.size("vector").alias("length")).count().collect())
 
 
 def sampled(nodes: DataFrame, most: int) -> np.ndarray:
@@ -44,8 +48,8 @@ def blocked(members: DataFrame, visitors: DataFrame, cell: list[str], member_blo
     """Rows of the units (cell, i, j): a block of a cell's members and a block of its visitors.
 
     Both tables have ``cell`` and ``columns``, ``node`` among these. A cell of any
-    size becomes many units of bounded size. The number of cells is a parameter of
-    the index, so the counts are small.
+    size becomes many units of bounded size. The number of cells is bounded by the
+    sample an index is fitted on, so the counts are small.
     """
     counts = members.groupBy(*cell).agg(F.ceil(F.count("*") / member_block).cast("int").alias("mb")).join(
         visitors.groupBy(*cell).agg(F.ceil(F.count("*") / visitor_block).cast("int").alias("vb")), cell)

@@ -50,6 +50,35 @@ def test_links_equal_brute_force(spark, monkeypatch, clustered, members):
     assert [(r["n_links"], r["component_id"], r["kept"]) for r in nulls] == [(1, None, False)] * 2
 
 
+def test_each_length_is_compared_with_its_own_kind(spark):
+    rows = [(i, [float(i == j) for j in range(8)]) for i in range(8)] + [(20, [1.0, 2.0]), (21, [1.0, 2.0]), (22, [1.0, 2.1]), (23, [1.0, 0.0, 0.0]), (24, [3.0]), (25, [2.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in multi_index.near_duplicates(vectors).collect()}
+    assert got == {**{i: (0, i) for i in (*range(8), 23)}, **{i: (2, 20) for i in (20, 21, 22)}, 24: (1, 24), 25: (1, 24)}
+    near = rp_forest.nearest(vectors, F.col("vec_id") >= 20).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in near) == [(20, 1, 21), (20, 2, 22), (21, 1, 20), (21, 2, 22), (22, 1, 20), (22, 2, 21), (24, 1, 25), (25, 1, 24)]
+
+
+def test_rows_that_repeat_an_id_each_have_a_ranking(spark):
+    vectors = spark.createDataFrame([(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0])], "vec_id long, embedding array<float>")
+    near = sorted((r["rank"], r["vec_id"], round(r["score"], 3)) for r in rp_forest.nearest(vectors, F.col("vec_id") == 50, k=2).collect())
+    assert near == [(1, 1, 0.995), (1, 2, 0.995), (2, 1, 0.1), (2, 2, 0.1)]
+
+
+def test_indexes_grow_with_the_table_and_open_a_smaller_part():
+    assert [multi_index.codes_for(n) for n in (100, 10**6, 10**8)] == [16, 88, 500]
+    assert [rp_forest.leaves_for(n) for n in (100, 10**5, 10**8)] == [64, 500, 2500]
+    draw = np.random.default_rng(3)
+    parts = []
+    for n in (1000, 16000):
+        x = draw.standard_normal((60, 32))[draw.integers(0, 60, n)] + draw.standard_normal((n, 32)) * 0.5
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        forest = rp_forest.fit(x, 5, leaves=rp_forest.leaves_for(n))
+        places = [t.place(x) for t in forest.trees]
+        parts.append(np.mean([np.any([places[t] == leaf for t, leaf in forest.order(q, forest.visits)], axis=0).mean() for q in x[:40]]))
+    assert parts[1] < 0.8 * parts[0]
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert multi_index.near_duplicates(empty).count() == 0
