@@ -9,8 +9,11 @@ equal rows is split at the exact row. Histograms have at most 8192 bins a node;
 nodes of one level are split together. Splitting goes on until leaves reach the
 target bytes. Sizes of two leaves differ by a few rows at most.
 
-Text dimensions are ordered by their first six bytes. Nulls count as the least
-value. Columns of the input named like a result are replaced.
+Whole numbers, negative ones too, are their own coordinates; columns of any other
+type are ordered by the rank of their whole value among the different values.
+Nulls count as the least value. Bytes decide, not groups: equal texts are kept
+together only where their metadata is. Columns of the input named like a result
+are replaced.
 """
 
 from __future__ import annotations
@@ -19,22 +22,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.llm.common import without
+from ledgerweave.operators.scan import number_rows
 from ledgerweave.session import stage
 
 DIGIT, WIDTH = 13, 52
 _PASSES = WIDTH // DIGIT
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
 #: Rows of one numbering group at which a shard's slots are dealt out, on average.
 SLOT_GROUP = 20_000
 SLOT_GROUPS = 64
 
 
-def coordinate(df: DataFrame, name: str) -> Column:
-    """The column as a whole number from 0 below 2^52 that keeps its order."""
-    kind = dict(df.dtypes)[name]
-    if kind == "string":
-        hexed = F.rpad(F.hex(F.substring(F.encode(F.col(name), "utf-8"), 1, 6)), 12, "0")
-        return F.coalesce(F.conv(hexed, 16, 10).cast("long"), F.lit(0))
-    return F.coalesce(F.least(F.greatest(F.col(name).cast("long"), F.lit(0)), F.lit((1 << WIDTH) - 1)), F.lit(0))
+def coordinates(rows: DataFrame, dimensions: list[str]) -> DataFrame:
+    """``rows`` with c0, c1, ... for the dimensions: whole numbers from 0 below 2^52 that keep their order."""
+    kinds, given = dict(rows.dtypes), len(rows.columns)
+    whole = [d for d in dimensions if kinds[d] in _WHOLE]
+    limits = rows.select(*[f(F.col(f"`{d}`").cast("long")) for d in whole for f in (F.min, F.max)]).first() if whole else ()
+    least = {d: limits[2 * i:2 * i + 2] for i, d in enumerate(whole)}
+    for i, d in enumerate(dimensions):
+        value = F.col(f"`{d}`")
+        if d in least:
+            low, high = (x or 0 for x in least[d])
+            # a range beyond 52 bits loses its lowest ones; rows they told apart are split by their hash
+            beyond = (high - low).bit_length() - WIDTH
+            shift = beyond + 1 if beyond > 0 else 0
+            rows = rows.withColumn(f"c{i}", F.coalesce(F.shiftright(value.cast("long"), shift) - F.lit(low >> shift), F.lit(0)))
+        else:
+            ranks = number_rows(rows.select(value.alias(f"v{i}")).where(value.isNotNull()).distinct(), [f"v{i}"], f"c{i}")
+            rows = rows.join(ranks, value == F.col(f"v{i}"), "left").drop(f"v{i}").withColumn(f"c{i}", F.coalesce(F.col(f"c{i}").cast("long"), F.lit(0)))
+    return rows.select(*rows.columns[:given], *[f"c{i}" for i in range(len(dimensions))])
 
 
 def _digit(step: int) -> Column:
@@ -107,12 +123,14 @@ def shard(docs: DataFrame, dimensions: list[str], size: str = "size", shards: in
     docs = without(docs, "shard", "slot")
     spark = docs.sparkSession
     kept = stage(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("row")), "kd-docs")
-    flat = kept.select("doc.*", "row") if "row" not in {c.lower() for c in docs.columns} else kept.select("doc.*", F.col("row").alias("_kd_row")).withColumnRenamed("row", "_kd_given").withColumnRenamed("_kd_row", "row")
+    field = lambda c: F.col(f"doc.`{c}`")
     # row numbers are dense in their low bits within a partition: 33 bits and the partition's 19
-    rows = stage(flat.select(
-        F.lit(1).alias("node"), F.col(size).cast("long").alias("size"), *[coordinate(flat, d).alias(f"c{i}") for i, d in enumerate(dimensions)],
-        F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in flat.columns if c not in ("row", size)]), F.lit(1 << WIDTH)).alias("k1"),
-        F.col("row").alias("k2"), "row"), "kd-rows")
+    keys = kept.select(
+        F.lit(1).alias("node"), field(size).cast("long").alias("size"),
+        F.pmod(F.xxhash64(F.lit(0), *[field(c) for c in docs.columns if c != size]), F.lit(1 << WIDTH)).alias("k1"),
+        F.col("row").alias("k2"), "row", *[field(d).alias(f"d{i}") for i, d in enumerate(dimensions)])
+    placed_at = coordinates(keys, [f"d{i}" for i in range(len(dimensions))])
+    rows = stage(placed_at.drop(*[f"d{i}" for i in range(len(dimensions))]), "kd-rows")
     span = [f(f"c{d}").alias(f"{f.__name__}{d}") for d in range(len(dimensions)) for f in (F.min, F.max)]
     measured = lambda: {r["node"]: r for r in rows.groupBy("node").agg(F.sum("size").alias("total"), F.count("*").alias("n"), *span).collect()}
     found = measured()

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import hmm, sharding, wrapper
+from ledgerweave.llm import hmm, queries, sharding, wrapper
 
 
 # -- sharding --------------------------------------------------------------------------------------
@@ -33,6 +33,39 @@ def test_target_bytes_decide_the_number_of_shards(spark):
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))
 
 
+def test_long_common_prefixes_and_negative_numbers_keep_their_order(spark):
+    rows = [(i, f"commoncrawl-{i % 8}", 10) for i in range(800)]
+    out = sharding.shard(spark.createDataFrame(rows, "doc_id long, source string, size long"), ["source"], shards=8).toPandas()
+    assert all(g.source.nunique() == 1 for _, g in out.groupby("shard")) and out.groupby("shard").source.first().is_monotonic_increasing
+    rows = [(i, (i * 37 % 1000) - 500, (i * 37 % 1000 - 500) / 7, 10) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, whole long, part double, size long")
+    for dimension in ("whole", "part"):
+        spans = [(g[dimension].min(), g[dimension].max()) for _, g in sharding.shard(docs, [dimension], shards=8).toPandas().groupby("shard")]
+        assert len(spans) == 8 and all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
+def test_coordinates_keep_order_over_the_whole_range(spark):
+    values = [-(1 << 63), -(1 << 62), -1, 0, 5, 1 << 62, (1 << 63) - 1]
+    rows = sharding.coordinates(spark.createDataFrame([(v, str(v)) for v in values] + [(None, None)], "d0 long, d1 string"), ["d0", "d1"]).collect()
+    got = {r["d0"]: r["c0"] for r in rows}
+    assert got.pop(None) == 0 and [got[v] for v in values] == sorted(got.values())
+    assert max(got.values()) <= 1 << sharding.WIDTH and got[-(1 << 63)] < got[-(1 << 62)] < got[-1] and got[5] < got[1 << 62]
+    texts = sorted((r["d1"] or "", r["c1"]) for r in rows)
+    assert [c for _, c in texts] == list(range(8))
+
+
+def test_shard_query_equals_a_plain_account_of_the_table(spark, sample):
+    docs = {r["doc_id"]: (r["text"] or "").encode() for r in sample.collect()}
+    rows = queries.op2_kd_tree(spark, "/root/testdata/sf0.001").collect()
+    assert {r["doc_id"]: (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) for r in rows} == {i: (len(t) + 1, zlib.crc32(t), "bytes", None) for i, t in docs.items()}
+    slots = {}
+    for r in rows:
+        slots.setdefault(r["shard"], []).append((r["slot"], r["size"]))
+    assert sorted(slots) == list(range(8)) and all(sorted(s for s, _ in part) == list(range(len(part))) for part in slots.values())
+    sizes = [sum(n for _, n in part) for part in slots.values()]
+    assert max(sizes) - min(sizes) <= 2 * max(len(t) + 1 for t in docs.values())
+
+
 def test_no_rows_no_shards(spark):
     assert sharding.shard(spark.createDataFrame([], "doc_id long, size long"), ["size"], shards=8).count() == 0
 
