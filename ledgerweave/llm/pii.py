@@ -8,8 +8,10 @@ Patterns and instances (identifier-like strings) form a graph that Spark scores
 in rounds: a pattern's confidence in a kind is the weight of that kind's instances
 it surrounds over all occurrences of its word, beginning or end in the corpus;
 an instance that is no seed gets, for each kind its form allows, the
-probability that at least one of its trusted patterns is right. After the last
-round the instances above the threshold are personal data wherever they occur.
+probability that at least one of its trusted patterns is right. Instances above
+the threshold are accepted with that weight: in the next round they induce
+patterns as seeds do, so each round reaches one context further. What the last
+round accepts is personal data wherever it occurs.
 
 Offsets are code points, ends exclusive. Null texts count as empty. Columns of
 the input named like a result are replaced.
@@ -29,9 +31,9 @@ from ledgerweave.session import stage
 ship(__name__)
 
 KINDS = ("email", "ip", "card", "phone")
-#: Rounds of the pattern-instance graph.
+#: Rounds of the pattern-instance graph: from the seeds, so many contexts far.
 ROUNDS = 3
-#: A pattern is trusted with a kind if it surrounds so many different seeds of it.
+#: A pattern counts for a kind if it surrounds so many different seeds or accepted instances of it.
 LEAST_SEEDS = 3
 #: From this score on an instance is personal data.
 ACCEPT = 0.5
@@ -156,25 +158,25 @@ def _discovered(scan: DataFrame, counts: DataFrame) -> DataFrame:
     sides = F.explode(F.array(F.struct(side(BEFORE, 1), F.col("before").alias("word")), F.struct(side(AFTER, 2), F.col("after").alias("word"))))
     edges = seen.select("kind", "value", sides.alias("p")).select("kind", "value", "p.*").where("length(word) > 0")
     edges = stage(edges.groupBy("kind", "value", "side", "word").agg(F.count("*").alias("n")), "pii-edges")
-    seeds = edges.where("kind >= 0")
-    trusted = seeds.groupBy("side", "word", "kind").agg(F.countDistinct("value").alias("seeds"), F.sum("n").alias("weight")).where(F.col("seeds") >= LEAST_SEEDS)
     # a word of its own is counted once for both sides
-    trusted = trusted.withColumn("counted", F.when(F.col("side") < GLUED, BEFORE).otherwise(F.col("side")))
-    total = F.greatest("weight", F.coalesce("n", F.lit(0))).alias("total")
-    trusted = stage(trusted.join(counts.withColumnRenamed("side", "counted"), ["counted", "word"], "left").select("side", "word", "kind", "weight", total), "pii-patterns")
-    fits = edges.where("kind < 0").withColumn("kind", F.explode(_fits()))
-    open_ = stage(fits.join(trusted.select("side", "word", "kind"), ["side", "word", "kind"], "left_semi"), "pii-open")
-    scores = None
+    counted = F.when(F.col("side") < GLUED, BEFORE).otherwise(F.col("side")).alias("counted")
+    occurs = counts.select(F.col("side").alias("counted"), "word", F.col("n").alias("occurs"))
+    occurs = stage(occurs.join(edges.select(counted, "word").distinct(), ["counted", "word"], "left_semi"), "pii-occurs")
+    proof = seeds = edges.where("kind >= 0").withColumn("score", F.lit(1.0))
+    open_ = stage(edges.where("kind < 0").withColumn("kind", F.explode(_fits())), "pii-open")
+    accepted = None
     for _ in range(ROUNDS):
-        held = trusted.select("side", "word", "kind", "weight", "total", F.lit(0.0).alias("more"))
-        if scores is not None:
-            more = open_.join(scores, ["value", "kind"]).groupBy("side", "word", "kind").agg(F.sum(F.col("n") * F.col("score")).alias("more"))
-            held = trusted.join(more, ["side", "word", "kind"], "left")
-        confident = held.select("side", "word", "kind", F.least(F.lit(0.999), (F.col("weight") + F.coalesce("more", F.lit(0.0))) / (F.col("total") + SMOOTHING)).alias("trust"))
-        scores = stage(open_.join(confident, ["side", "word", "kind"]).groupBy("value", "kind")
-                       .agg((1 - F.exp(F.sum(F.log1p(-F.col("trust"))))).alias("score")), "pii-scores")
-    best = scores.where(F.col("score") >= ACCEPT).groupBy("value").agg(F.min(F.struct(-F.col("score"), "kind")).alias("best"))
-    return best.select("value", F.col("best.kind").alias("kind"))
+        if accepted is not None:
+            proof = seeds.unionByName(open_.join(accepted, ["value", "kind"]))
+        patterns = proof.groupBy("side", "word", "kind").agg(F.countDistinct("value").alias("members"), F.sum(F.col("n") * F.col("score")).alias("weight"))
+        patterns = patterns.where(F.col("members") >= LEAST_SEEDS).select("*", counted).join(occurs, ["counted", "word"], "left")
+        total = F.greatest("weight", F.coalesce("occurs", F.lit(0)))
+        trust = F.least(F.lit(0.999), F.col("weight") / (total + SMOOTHING)).alias("trust")
+        scores = open_.join(patterns.select("side", "word", "kind", trust), ["side", "word", "kind"]).groupBy("value", "kind").agg(
+            (1 - F.exp(F.sum(F.log1p(-F.col("trust"))))).alias("score"))
+        best = scores.where(F.col("score") >= ACCEPT).groupBy("value").agg(F.min(F.struct((-F.col("score")).alias("minus"), "kind")).alias("best"))
+        accepted = stage(best.select("value", "best.kind", (-F.col("best.minus")).alias("score")), "pii-accepted")
+    return accepted.select("value", "kind")
 
 
 def extract(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:

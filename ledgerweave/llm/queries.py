@@ -19,10 +19,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def _counts(spans, kinds):
+    """How many of ``spans`` are of each kind, as columns n_<kind>."""
+    of = lambda kind: lambda s: s.kind == kind  # noqa: E731 - a second parameter would be the index
+    return [F.size(F.filter(spans, of(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(kinds)]
+
+
 def op1_bootstrapped_contexts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.extract(docs, keep_text=False)
-    counts = [F.size(F.filter("pii_base", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    counts = _counts("pii_base", pii.KINDS)
     return found.select("doc_id", *counts, F.sha2(pii.digest("pii_base"), 256).alias("base_sha256"), pii.digest("pii").alias("spans"))
 
 
@@ -100,7 +106,7 @@ def op12_rank_index(spark, sf_dir):
 def op13_multipart_linking(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = multipart.find(docs, keep_text=False)
-    counts = [F.size(F.filter("secrets_base", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(multipart.KINDS[:multipart.BASE])]
+    counts = _counts("secrets_base", multipart.KINDS[:multipart.BASE])
     return found.select("doc_id", *counts, F.sha2(multipart.digest("secrets_base"), 256).alias("base_sha256"), multipart.digest("secrets").alias("spans"))
 
 

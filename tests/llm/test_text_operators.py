@@ -62,6 +62,19 @@ def test_contexts_of_seeds_discover_unseen_identifiers(spark):
     assert masked[10] == "please call [phone] now, the year 12345678 was fine" and masked[11] is None and masked[12] == ""
 
 
+def test_accepted_instances_induce_patterns_of_their_own(spark, monkeypatch):
+    """Seeds teach "mail"; what stands after it teaches "badge"; what stands before that stands after no known word itself."""
+    rows = [f"mail person{i}@example.org soon" for i in range(30)] + [f"mail worker{i}@intranet badge" for i in range(8)]
+    rows += ["visit guest@lobby badge", "visit other@place maybe"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r[0]: r[1] for r in pii.extract(docs).select("doc_id", pii.digest("pii")).collect()}
+    assert all(found[i].startswith("email:5:") for i in range(38))
+    assert found[38] == "email:6:17" and found[39] == ""
+    monkeypatch.setattr(pii, "ROUNDS", 1)  # one context far only
+    found = {r[0]: r[1] for r in pii.extract(docs).select("doc_id", pii.digest("pii")).collect()}
+    assert all(found[i] for i in range(38)) and found[38] == ""
+
+
 def test_glued_contexts_are_counted_as_they_are_cut(spark):
     """Beginnings such as tel: prove a number; a full stop proves none, however rarely it stands alone."""
     rows = [f"Ring tel:+44 20 7946 {1000 + i} now" for i in range(20)] + ["Ring tel:020 7946 0958 now", "Ring fax:020 7946 0123 yet"]
