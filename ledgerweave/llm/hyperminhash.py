@@ -11,14 +11,15 @@ nothing. Two documents are linked if 100 * intersection >= 75 * union.
    probability 5e-6. Nodes with an equal band form a bucket.
 3. Every node of a bucket meets the bucket's first node. What passes the
    collision-corrected estimate is verified on the full sets.
-4. Nodes that buckets connect form a neighbourhood. Where all of it now is one
-   component, it is done. Otherwise blocks of its nodes meet blocks: inside such a
-   unit, pairs of different components that pass the estimate are verified on the
-   full sets, and the unit returns at most one link for each two components it
-   joins. Blocks hold a bounded number of nodes and shingles; two blocks of one
-   component never meet. So a large group of near copies costs a verification
-   each, not one for each pair, no pair leaves a unit, and no link between
-   different components is lost.
+4. Nodes that buckets connect form a neighbourhood. A bucket whose nodes now are
+   all of one component is done. The nodes of the others are dealt into blocks,
+   and two blocks meet if they share such a bucket: inside such a unit, pairs of
+   different components that pass the estimate are verified on the full sets, and
+   the unit returns at most one link for each two components it joins. Blocks hold
+   a bounded number of nodes and shingles; two blocks of one component never meet.
+   So a large group of near copies costs a verification each, not one for each
+   pair, no pair leaves a unit, and no two nodes of a bucket that are linked end
+   in different components.
 
 Shingles are compared as 64-bit hashes. Null texts count as empty. Equal rows
 are separate rows of one component. The smallest id stands for a component;
@@ -218,6 +219,10 @@ def _between(unit):
 
 def _across(open_: DataFrame, nodes: DataFrame, sketch: DataFrame) -> DataFrame:
     """Links between different components of ``open_`` (node, area, component)."""
+    banded = open_.join(nodes.select("node", "bands").hint("merge"), "node").select("node", "component", F.posexplode("bands").alias("band", "value"))
+    mixed = banded.groupBy("band", "value").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
+    mixed = stage(banded.join(mixed.select("band", "value"), ["band", "value"]).select("node", "band", "value"), "minhash-mixed")
+    open_ = open_.join(mixed.select("node").distinct(), "node", "left_semi")
     members = open_.join(nodes.select("node", "n", "bands").hint("merge"), "node")
     parts = F.greatest(F.ceil(F.col("count") / BLOCK_NODES), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     sized = members.groupBy("area", "component").agg(F.count("*").alias("count"), F.sum("n").alias("shingles"))
@@ -230,9 +235,12 @@ def _across(open_: DataFrame, nodes: DataFrame, sketch: DataFrame) -> DataFrame:
               .withColumn("block", F.when(own, F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("parts"))))
                           .otherwise(F.pmod(F.xxhash64("component"), F.col("shared")).cast("long"))))
     placed = stage(placed.select("area", "node", "component", "n", "bands", "alone", "block"), "minhash-blocks")
-    blocks = placed.groupBy("area", "block").agg(F.first("alone").alias("alone"), F.first("component").alias("component"))
-    one, two = (blocks.select("area", F.col("block").alias(f"b{k}"), F.col("alone").alias(f"a{k}"), F.col("component").alias(f"c{k}")) for k in (1, 2))
-    meets = one.join(two, "area").where("b1 <= b2 and not (a1 and a2 and c1 = c2)").select("area", "b1", "b2")
+    # which blocks have nodes in which buckets; a block of one component names it, so that it meets no other of the same
+    lone = F.when(F.col("alone"), F.col("component")).alias("lone")
+    held = stage(mixed.join(placed.select("node", "area", "block", lone).hint("merge"), "node").drop("node").distinct(), "minhash-held")
+    one, two = (held.select("area", "band", "value", F.col("block").alias(f"b{k}"), F.col("lone").alias(f"l{k}")) for k in (1, 2))
+    meets = one.join(two, ["area", "band", "value"]).where("b1 <= b2 and (l1 = l2) is not true").select("area", "b1", "b2").distinct()
+    meets = stage(meets, "minhash-meets")
     texts = _texts(sketch, open_.select("node"))
     whole = placed.join(texts.hint("merge"), "node")
     columns = ["area", "node", "component", "n", "bands", "text", "b1", "b2"]
