@@ -161,7 +161,8 @@ def _discovered(scan: DataFrame, counts: DataFrame) -> DataFrame:
     # a word of its own is counted once for both sides
     counted = F.when(F.col("side") < GLUED, BEFORE).otherwise(F.col("side")).alias("counted")
     occurs = counts.select(F.col("side").alias("counted"), "word", F.col("n").alias("occurs"))
-    occurs = stage(occurs.join(edges.select(counted, "word").distinct(), ["counted", "word"], "left_semi"), "pii-occurs")
+    # merged at every size: the words beside instances grow with the corpus, so they are no broadcast
+    occurs = stage(occurs.join(edges.select(counted, "word").distinct().hint("merge"), ["counted", "word"], "left_semi"), "pii-occurs")
     proof = seeds = edges.where("kind >= 0").withColumn("score", F.lit(1.0))
     open_ = stage(edges.where("kind < 0").withColumn("kind", F.explode(_fits())), "pii-open")
     accepted = None
