@@ -81,3 +81,33 @@ def test_scans_across_buckets_with_a_hot_key(spark):
     numbered = number_rows(df.orderBy(F.rand(1)), ["x", "o"]).collect()
     ordered = sorted((r.x, r.o) for r in numbered)
     assert {r.rn: (r.x, r.o) for r in numbered} == {i + 1: v for i, v in enumerate(ordered)}
+
+
+def test_buckets_need_no_numbering(spark, monkeypatch):
+    """Gaps, negative and missing places; more buckets than one; nothing is numbered or written for them."""
+    from ledgerweave.operators import scan
+
+    monkeypatch.setattr(scan, "BUCKET", 16)
+    monkeypatch.setattr(scan, "number_rows", None)
+    rng = random.Random(5)
+    orders = [None, *sorted(rng.sample(range(-50, 10**12), 200)), *range(2 * 10**12, 2 * 10**12 + 400)]
+    rows = [("hot" if i % 3 else f"k{i % 7}", o, rng.randrange(100)) for i, o in enumerate(orders)]
+    df = spark.createDataFrame(rows, "k string, o bigint, x int")
+    facts = spark.createDataFrame([("hot", "fact")], "k string, f string")
+    out = running_sums(df, ["k"], "o", {"s": "x"}, facts=facts)
+    sums, want = {}, {}
+    for k, o, x in rows:
+        sums[k] = sums.get(k, 0) + x
+        want[o] = (sums[k], "fact" if k == "hot" else None)
+    assert {r.o: (r.s, r.f) for r in out.collect()} == want
+    last, before = {}, {}
+    for k, o, x in rows:
+        before[o], last[k] = last.get(k), x
+    assert {r.o: r.p for r in previous(df, ["k"], "o", "x", "p").collect()} == before
+    assert scan._bucketed(df, ["k"], "o", None).select("_b").distinct().count() > 10
+
+
+def test_only_the_columns_asked_for_are_numbered(spark):
+    df = spark.createDataFrame([(3, "a", 1.0), (1, "b", 2.0), (1, "a", 3.0)], "o int, p string, x double")
+    out = number_rows(df, ["o", "p"], keep=["x"])
+    assert out.columns == ["x", "rn"] and {r.x: r.rn for r in out.collect()} == {3.0: 1, 2.0: 2, 1.0: 3}
