@@ -58,14 +58,14 @@ SELECT seq, id, CASE WHEN d.id IS NULL THEN 'debit_account_not_found' ELSE 'cred
 FROM (SELECT * FROM f) f LEFT JOIN acc d ON d.id = f.debit AND d.created < f.seq LEFT JOIN acc c ON c.id = f.credit AND c.created < f.seq
 WHERE d.id IS NULL OR c.id IS NULL""".replace("SELECT seq, id,", "SELECT f.seq, f.id,"))
 def account_not_found(spark, sf):
-    firsts = posting.first_copies(t.fundings(spark, sf).unionByName(t.transfers(spark, sf)))
-    return posting.account_errors(firsts, t.accounts(spark, sf)).filter("error is not null").select("seq", "id", "error")
+    events = t.fundings(spark, sf).unionByName(t.transfers(spark, sf))
+    return posting.account_errors(posting.first_copies(events), t.accounts(spark, sf), events).filter("error is not null").select("seq", "id", "error")
 
 
 @query("linked_chains", f"""WITH {duck.POSTED} SELECT seq, id, chain_id, e2 AS error FROM s2 WHERE chain_id IS NOT NULL""")
 def linked_chains(spark, sf):
-    firsts = posting.first_copies(t.transfers(spark, sf))
-    judged = posting.chain_errors(posting.account_errors(firsts, t.accounts(spark, sf)))
+    events = t.transfers(spark, sf)
+    judged = posting.chain_errors(posting.account_errors(posting.first_copies(events), t.accounts(spark, sf), events))
     return judged.filter("chain_id is not null").select("seq", "id", "chain_id", "error")
 
 

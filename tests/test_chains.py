@@ -77,3 +77,26 @@ def test_late_events_stop_publication_instead_of_vanishing(spark):
     with pytest.raises(publish.OutOfOrder):
         publish.unpublished(at(99, 103), 102, at(100, 101, 102))
     assert [r[0] for r in publish.unpublished(at(101, 102, 103), 102, at(100, 101, 102)).collect()] == [103]
+
+
+def test_account_checks_move_narrow_rows_only(spark):
+    """Missing, late and repeated accounts, null ids and chains; the events themselves are shuffled by ``seq`` alone."""
+    events = spark.createDataFrame(
+        [(1, "a", "x", "y", None, 0, 7), (2, "b", "x", "gone", None, 0, 7), (3, "c", "late", "y", None, 0, None), (4, "d", "x", None, None, 0, None),
+         (5, "e", "twice", "y", None, 0, None), (6, "f", "late", "x", None, 0, None), (7, "b", "x", "y", None, 0, 8), (8, "g", "x", "y", None, 0, 8)],
+        "seq long, id string, debit_account_id string, credit_account_id string, pending_id string, flags int, chain_id long"
+    ).selectExpr("*", "named_struct('hi', cast(0 as decimal(21,0)), 'lo', cast(5 as decimal(18,0))) as amount", "0L as timeout_s")
+    accounts = spark.createDataFrame([("x", 0), ("y", 0), ("late", 4), ("twice", 0), ("twice", 1)], "id string, created long")
+    posted = posting.post(events, accounts)
+    assert sorted((r.id, r.error) for r in posted.select("id", "error").collect()) == sorted([
+        ("a", "linked_event_failed"), ("b", "credit_account_not_found"), ("c", "debit_account_not_found"), ("d", "credit_account_not_found"),
+        ("e", None), ("e", None), ("f", None), ("g", None)], key=lambda x: (x[0], x[1] or ""))
+    checked = posting.account_errors(posting.first_copies(events), accounts, events)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    # the accounts meet (account, seq), never the events
+    assert not any("debit_account_id" in line or "credit_account_id" in line for line in joins), joins
