@@ -98,3 +98,19 @@ def test_outlooks_compose_over_any_runs(spark, block, fan):
     frame = spark.createDataFrame(rows, "topic string, partition int, offset bigint, op string, n_events int")
     got = {(r["partition"], r["offset"]): r["batch"] for r in batches.command_batches(frame, 8, block, fan).collect()}
     assert got == want
+
+
+def test_checkpoints_leave_wide_rows_in_place(spark):
+    """Windows by their ends alone; repeated and missing timestamps as before."""
+    from ledgerweave.operators import cdc
+
+    stamps = [5, 9, 11, 40, 41, 77, 90]
+    events = spark.createDataFrame([(s, f"wide {s}") for s in stamps] + [(None, "none")], "timestamp bigint, body string")
+    out = cdc.checkpoints(events, 3, 2)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    # the row without a timestamp takes the first place and is left out
+    assert {r.timestamp: (r.window, r.is_closing, r.checkpoint) for r in out.collect()} == {
+        5: (0, False, 2), 9: (0, True, 9), 11: (1, False, 9), 40: (1, False, 9), 41: (1, True, 41), 77: (2, False, 41), 90: (2, True, 90)}
+    again = events.unionByName(events.filter("timestamp = 9"))
+    assert cdc.checkpoints(again, 3, 2).filter("timestamp = 9").count() == 4
+    assert cdc.checkpoints(events.limit(0), 3).count() == 0
