@@ -111,3 +111,11 @@ def test_only_the_columns_asked_for_are_numbered(spark):
     df = spark.createDataFrame([(3, "a", 1.0), (1, "b", 2.0), (1, "a", 3.0)], "o int, p string, x double")
     out = number_rows(df, ["o", "p"], keep=["x"])
     assert out.columns == ["x", "rn"] and {r.x: r.rn for r in out.collect()} == {3.0: 1, 2.0: 2, 1.0: 3}
+
+
+def test_missing_values_do_not_depend_on_buckets(spark):
+    rows = [("a", i, None if i in (0, 1, 4, 5, 9) else i) for i in range(12)]
+    df = spark.createDataFrame(rows, "k string, o bigint, x int")
+    want = {0: None, 1: None, 2: 2, 3: 5, 4: 5, 5: 5, 6: 11, 7: 18, 8: 26, 9: 26, 10: 36, 11: 47}
+    for size in (1, 2, 4, 100):
+        assert {r.o: r.s for r in running_sums(df, ["k"], "o", {"s": "x"}, bucket=f"o div {size}").collect()} == want
