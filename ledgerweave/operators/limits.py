@@ -91,13 +91,18 @@ def _prepared(events: DataFrame, accounts: DataFrame, earlier: DataFrame | None)
     firsts = posting.first_copies(events)
     if earlier is not None:
         firsts = firsts.join(earlier.select(F.col("id").alias("_e")), F.expr("id = _e"), "left_anti")
-    checked = posting.account_errors(firsts, accounts).withColumnRenamed("error", "e1").withColumn(
+    checked = posting.account_errors(firsts, accounts, events).withColumnRenamed("error", "e1").withColumn(
         "chain_key", F.expr("coalesce(chain_id, -seq)"))
     # a chain stands whole at the place of its first event, whatever lies between its events
     start = events.agg(F.min("seq")).first()[0] or 0
-    checked = checked.withColumn("_first", F.min("seq").over(Window.partitionBy("chain_key")))
-    checked = number_rows(checked, ["_first", "seq"], "_rank").withColumn("seq0", F.col("seq")).withColumn(
-        "seq", F.expr(f"{start - 1}L + _rank")).drop("_first", "_rank")
+    begins = F.min("seq").over(Window.partitionBy("chain_key"))
+    # places are found on narrow rows, so that the events themselves move once, by ``seq``
+    ranks = number_rows(firsts.selectExpr("seq", "coalesce(chain_id, -seq) as chain_key").withColumn("_first", begins), ["_first", "seq"], "_rank", ["seq"])
+    if _unique(accounts, "id") and _unique(ranks, "seq"):
+        placed = stage(checked.join(ranks.withColumnRenamed("seq", "_s"), F.expr("seq = _s")).drop("_s"), "limits-placed")
+    else:  # rows that share a place each have their own number
+        placed = number_rows(checked.withColumn("_first", begins), ["_first", "seq"], "_rank").drop("_first")
+    checked = placed.withColumn("seq0", F.col("seq")).withColumn("seq", F.expr(f"{start - 1}L + _rank")).drop("_rank")
     target = ["id as _p", "seq as _p_seq", "flags as _p_flags", "amount as p_amount",
               "debit_account_id as p_debit", "credit_account_id as p_credit"]
     targets = checked.filter(f"not ({posting.RESOLVES})").selectExpr(
@@ -136,6 +141,10 @@ def _prepared(events: DataFrame, accounts: DataFrame, earlier: DataFrame | None)
     return out.withColumn("status", F.lit(UNDECIDED))
 
 
+def _unique(rows: DataFrame, key: str) -> bool:
+    return rows.groupBy(key).count().filter("count > 1").isEmpty()
+
+
 def _claims(rows: DataFrame) -> DataFrame:
     """The first claim of each pending transfer, and whether it was an expiry."""
     return rows.groupBy("pending_id").agg(F.min(F.expr(f"named_struct('seq', seq, 'expiry', {posting.EXPIRY})")).alias("taken")).withColumnRenamed("pending_id", "_r")
