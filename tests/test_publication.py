@@ -114,3 +114,11 @@ def test_checkpoints_leave_wide_rows_in_place(spark):
     again = events.unionByName(events.filter("timestamp = 9"))
     assert cdc.checkpoints(again, 3, 2).filter("timestamp = 9").count() == 4
     assert cdc.checkpoints(events.limit(0), 3).count() == 0
+
+
+def test_a_window_is_written_from_its_own_files(spark):
+    read = []
+    publish.publish_windows(changes(spark, range(1, 10)), 0, 3, REG.ledger_table(spark), REG.code_table(spark), "t", lambda records, step: read.append((step, records.count(), set(records.inputFiles()))), lambda _: None)
+    assert [(step, n) for step, n, _ in read] == [("rest", 2), ("closing", 1)] * 3
+    files = [f for step, _, f in read if step == "rest"]
+    assert all(f and not f & g for i, f in enumerate(files) for g in files[:i])
