@@ -100,3 +100,17 @@ def test_account_checks_move_narrow_rows_only(spark):
     joins = [line for line in plan.splitlines() if "Join" in line]
     # the accounts meet (account, seq), never the events
     assert not any("debit_account_id" in line or "credit_account_id" in line for line in joins), joins
+
+
+def test_places_under_limits_are_found_on_narrow_rows(spark, monkeypatch):
+    from ledgerweave.operators import limits
+
+    numbered, real = [], limits.number_rows
+    monkeypatch.setattr(limits, "number_rows", lambda df, *more: numbered.append(df.columns) or real(df, *more))
+    events = spark.createDataFrame([(1, "a", "x", "y", None, 0, None), (2, "b", "x", "y", None, 0, 7), (5, "c", "y", "gone", None, 0, 7)],
+        "seq long, id string, debit_account_id string, credit_account_id string, pending_id string, flags int, chain_id long"
+    ).selectExpr("*", "named_struct('hi', cast(0 as decimal(21,0)), 'lo', cast(5 as decimal(18,0))) as amount", "0L as timeout_s")
+    accounts = spark.createDataFrame([("x", 0, 0), ("y", 0, 0)], "id string, created long, flags int")
+    out = limits._prepared(events, accounts, None).select("id", "seq", "seq0", "e1").collect()
+    assert {(r.id, r.seq, r.seq0, r.e1) for r in out} == {("a", 1, 1, None), ("b", 2, 2, None), ("c", 3, 5, "credit_account_not_found")}
+    assert numbered == [["seq", "chain_key", "_first"]]
