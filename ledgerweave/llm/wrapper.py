@@ -28,6 +28,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from itertools import groupby
 
 import numpy as np
@@ -41,8 +42,11 @@ ship(__name__)
 
 #: A block is template if it stands at one node on this part of a wrapper's different pages, of which there are at least so many.
 SHARE, LEAST_PAGES = 0.8, 3
-#: Skeletons of which this part of the nodes match share a wrapper; most new wrappers of a host in one round.
-SIMILAR, LEADERS = 0.6, 8
+#: Skeletons of which this part of the nodes match share a wrapper; most new wrappers of a host in one round, and in one
+#: after rounds that gave none (the size of a row's list; rounds go on until no pages are left that could share a wrapper).
+SIMILAR, LEADERS, MOST_LEADERS = 0.6, 8, 32
+#: Rounds whose results are read as tables of their own, before they are written as one.
+APART = 16
 LINKS = 0.6
 #: Weights of pairs of subtrees a tree matching keeps at once.
 STORED = 500_000
@@ -374,6 +378,16 @@ def similarity(skeleton: str, other: str) -> tuple[float, list[int]]:
     return 2 * (sum(m >= 0 for m in matches) - 1) / max(1, len(skeleton.split()) + len(other.split())), matches
 
 
+def _names(skeleton: str) -> Counter:
+    """How often each signature stands in a skeleton."""
+    return Counter(item.partition(":")[2] for item in skeleton.split())
+
+
+def _may_be_similar(names: Counter, others: Counter) -> bool:
+    """Whether two skeletons have enough nodes of one signature: nodes of different signatures never match."""
+    return 2 * (names & others).total() / max(1, names.total() + others.total()) >= SIMILAR
+
+
 @vectorised("array<string>")
 def _leaders(candidates):
     """Of skeletons in order those that are similar to none before them."""
@@ -381,11 +395,12 @@ def _leaders(candidates):
 
     out = []
     for skeletons in candidates:
-        found: list[str] = []
+        found: dict[str, Counter] = {}
         for s in skeletons:
-            if all(s != f and similarity(s, f)[0] < SIMILAR for f in found):
-                found.append(s)
-        out.append(found)
+            names = _names(s)
+            if all(s != f and not (_may_be_similar(names, others) and similarity(s, f)[0] >= SIMILAR) for f, others in found.items()):
+                found[s] = names
+        out.append(list(found))
     return pd.Series(out)
 
 
@@ -394,29 +409,42 @@ def _nearest(skeletons, leaders):
     """The most similar wrapper, or null if none is similar, and the matches."""
     import pandas as pd
 
-    out = []
+    out, known = [], {}
     for skeleton, wrappers in zip(skeletons, leaders, strict=True):
-        (score, matches), wrapper = max(((similarity(skeleton, w), w) for w in wrappers), key=lambda x: x[0][0])
-        near = score >= SIMILAR or wrapper == skeleton
-        out.append({"wrapper": wrapper if near else None, "matches": matches if near else None})
+        names, best = _names(skeleton), (-1.0, None, None)
+        for w in wrappers:
+            if w not in known:
+                known[w] = _names(w)
+            if w == skeleton or _may_be_similar(names, known[w]):
+                score, matches = similarity(skeleton, w)
+                if score > best[0] and (score >= SIMILAR or w == skeleton):
+                    best = (score, w, matches)
+        out.append({"wrapper": best[1], "matches": best[2]})
     return pd.DataFrame(out, columns=["wrapper", "matches"])
 
 
 def _grouped(shapes: DataFrame) -> DataFrame:
     """(host, skeleton, wrapper, matches, pages) of skeletons (host, skeleton, n) that share a wrapper on LEAST_PAGES pages.
 
-    In rounds, each host's most frequent skeletons that are not similar to each other become wrappers; a host whose round
-    gave one with enough pages goes on with the skeletons that are similar to none."""
-    done, left = None, shapes
+    In rounds, each host's most frequent skeletons that are not similar to each other become wrappers. A host goes on with the
+    skeletons that are similar to none until what is left has too few pages for a wrapper; a round that gave none with enough
+    pages is followed by one with twice as many candidates. Every round takes at least one skeleton out of each host."""
+    done, left, rounds = None, shapes.withColumn("most", F.lit(LEADERS)), 0
     while True:
         order = Window.partitionBy("host").orderBy(F.col("n").desc(), "skeleton")
-        first = left.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= LEADERS)
+        first = left.withColumn("rank", F.row_number().over(order)).where((F.col("rank") <= MOST_LEADERS) & (F.col("rank") <= F.col("most")))
         first = first.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("rank", "skeleton"))).alias("first")).select("host", _leaders("first.skeleton").alias("leaders"))
-        near = stage(left.join(first, "host").select("host", "skeleton", "n", _nearest("skeleton", "leaders").alias("w")).select("host", "skeleton", "n", "w.*"), "pages-aligned")
+        near = left.join(first, "host").select("host", "skeleton", "n", "most", _nearest("skeleton", "leaders").alias("w"))
+        near = stage(near.select("host", "skeleton", "n", "most", "w.*"), "pages-aligned")
         pages = near.where("wrapper IS NOT NULL").groupBy("host", "wrapper").agg(F.sum("n").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
         found = near.join(pages, ["host", "wrapper"]).select("host", "skeleton", "wrapper", "matches", "pages")
-        done = found if done is None else done.unionByName(found)
-        left = near.where("wrapper IS NULL").select("host", "skeleton", "n").join(pages.select("host").distinct(), "host", "left_semi")
+        done, rounds = found if done is None else done.unionByName(found), rounds + 1
+        if rounds % APART == 0:
+            done = stage(done, "pages-grouped")
+        hosts = near.where("wrapper IS NULL").groupBy("host").agg(F.sum("n").alias("rest"), F.max("most").alias("most")).where(F.col("rest") >= LEAST_PAGES)
+        gave = pages.select("host").distinct().withColumn("gave", F.lit(True))
+        hosts = hosts.join(gave, "host", "left").select("host", F.when(F.col("gave"), LEADERS).otherwise(F.least(2 * F.col("most"), F.lit(MOST_LEADERS))).alias("most"))
+        left = near.where("wrapper IS NULL").select("host", "skeleton", "n").join(hosts, "host")
         if left.isEmpty():
             return done
 

@@ -1,5 +1,6 @@
 """Sharding, the language model, wrapper induction and the pipeline against plain versions."""
 
+import random
 import zlib
 from collections import Counter
 
@@ -308,6 +309,25 @@ def test_each_layout_and_small_host_has_its_template(spark):
     assert got == {i: f"{'story' if i % 2 or i >= 100 else 'tale'} {i}" for i in got} and len(got) == 28
 
 
+def test_rounds_without_a_wrapper_drop_no_page(spark):
+    """Forty layouts of one page each come before one that four pages share, which differ a little."""
+    odd = [("h", f"0:a{i} 1:b{i} 2:c{i}", 1) for i in range(40)]
+    alike = [("h", f"0:z 1:y 2:x 2:w 2:v{i}", 1) for i in range(4)]
+    few = [("few", "0:z 1:y", 1), ("few", "0:q", 1)]
+    shapes = spark.createDataFrame([*odd, *alike, *few], "host string, skeleton string, n long")
+    got = wrapper._grouped(shapes).collect()
+    assert sorted(r["skeleton"] for r in got) == [s for _, s, _ in alike]
+    assert {r["wrapper"] for r in got} == {alike[0][1]} and {r["pages"] for r in got} == {4}
+
+
+def test_skeletons_are_passed_over_only_where_they_cannot_be_similar():
+    draw = random.Random(5)
+    for _ in range(300):
+        one, two = (" ".join(f"{draw.randrange(i)}:{draw.choice('abc')}" for i in range(1, draw.randrange(2, 9))) for _ in range(2))
+        if wrapper.similarity(one, two)[0] >= wrapper.SIMILAR:
+            assert wrapper._may_be_similar(wrapper._names(one), wrapper._names(two))
+
+
 def test_hostile_pages_take_little_time():
     import time
 
