@@ -9,7 +9,8 @@ are scored exactly by cosine in double precision and the nearest are kept.
 
 Equal vectors are one candidate that stands for its smallest ids; k + 1 of them
 are enough. A leaf of any size is worked off in blocks, each of which returns
-the k + 1 nearest for each of its queries.
+the k + 1 nearest for each of its queries, as far as they are not behind the
+k + 1 nearest that the query found in the leaves it opened first.
 
 Trees grow with the table, so that a leaf holds PER_LEAF vectors on average, until
 the sample is used up. Vectors of different lengths have no cosine; each length
@@ -42,6 +43,8 @@ SAMPLE, TRIED = 20_000, 400
 #: Least leaves of a tree, sample vectors in each at least, and vectors of the table in a leaf on average.
 LEAVES, LEAF, PER_LEAF = 64, 8, 200
 MEMBERS, VISITORS = 4096, 1024
+#: Leaves a query opens first. What it finds there bounds what the others return, so that rows do not grow with the leaves opened.
+FIRST = 2 * TREES
 
 
 @dataclass
@@ -138,21 +141,22 @@ def _scored(k: int):
 
         member = unit["member"].to_numpy()
         node, x = unit["node"].to_numpy(), unit_vectors(unit["vector"])
-        first = unit["first"].to_numpy()
+        first, least = unit["first"].to_numpy(), unit["least"].to_numpy()
         m, q = np.flatnonzero(member), np.flatnonzero(~member)
         if not len(m) or not len(q):
-            return pd.DataFrame({"query": [], "node": [], "score": []}).astype({"query": "int64", "node": "int64"})
+            return pd.DataFrame({"query": [], "node": [], "first": [], "score": []}).astype({"query": "int64", "node": "int64", "first": "int64"})
         rough = x[q] @ x[m].T
         most = min(k + 1, len(m))
         # all that may be among the nearest, ties at the border included
         border = -np.partition(-rough, most - 1, axis=1)[:, most - 1: most]
-        i, j = np.nonzero(rough >= border - 1e-12)
+        i, j = np.nonzero(rough >= np.maximum(border, least[q][:, None]) - 1e-12)
         score = (x[q[i]] * x[m[j]]).sum(1)
         by = np.lexsort((first[m[j]], -score, i))
         i, j, score = i[by], j[by], score[by]
         at = np.arange(len(i)) - np.searchsorted(i, i)
         keep = at < most
-        return pd.DataFrame({"query": node[q[i[keep]]], "node": node[m[j[keep]]], "score": score[keep]})
+        near = m[j[keep]]
+        return pd.DataFrame({"query": node[q[i[keep]]], "node": node[near], "first": first[near], "score": score[keep]})
 
     return run
 
@@ -190,15 +194,26 @@ def _ranked(nodes: DataFrame, count: int, asked: DataFrame, k: int) -> DataFrame
 
     plain = nodes.select("node", "first", "vector")
     members = stage(plain.mapInPandas(placed, "node long, first long, vector array<double>, cells array<int>"), "forest-members")
-    members = members.select("node", "first", "vector", F.posexplode("cells").alias("tree", "leaf"))
+    members = members.select("node", "first", "vector", F.lit(-2.0).alias("least"), F.posexplode("cells").alias("tree", "leaf"))
     seekers = plain.join(asked.select("node").distinct(), "node", "left_semi")
     seekers = stage(seekers.mapInPandas(visited, "node long, first long, vector array<double>, visits array<struct<tree:int,leaf:int>>"), "forest-seekers")
-    seekers = seekers.select("node", "first", "vector", F.explode("visits").alias("v")).select("node", "first", "vector", "v.tree", "v.leaf")
-    units = vectors.blocked(members, seekers, ["tree", "leaf"], MEMBERS, VISITORS, ["node", "first", "vector"])
-    found = units.groupBy("tree", "leaf", "i", "j").applyInPandas(_scored(k), "query long, node long, score double")
-    best = found.groupBy("query", "node").agg(F.max("score").alias("score")).join(nodes.select("node", "first", "ids"), "node")
+
+    def opened(some: DataFrame, visits) -> DataFrame:
+        """(query, node, first, score) of what seekers (with ``least``) find in these of their leaves."""
+        some = some.select("node", "first", "vector", "least", F.explode(visits).alias("v")).select("node", "first", "vector", "least", "v.tree", "v.leaf")
+        units = vectors.blocked(members, some, ["tree", "leaf"], MEMBERS, VISITORS, ["node", "first", "vector", "least"])
+        return units.groupBy("tree", "leaf", "i", "j").applyInPandas(_scored(k), "query long, node long, first long, score double")
+
+    found = stage(opened(seekers.withColumn("least", F.lit(-2.0)), F.slice("visits", 1, FIRST)), "forest-found")
+    ranks = Window.partitionBy("query").orderBy(F.desc("score"), "node")
+    least = found.groupBy("query", "node").agg(F.max("score").alias("score")).withColumn("at", F.row_number().over(ranks)).where(F.col("at") == k + 1)
+    least = least.select(F.col("query").alias("node"), F.col("score").alias("bound"))
+    bounded = seekers.join(least, "node", "left").withColumn("least", F.coalesce("bound", F.lit(-2.0)))
+    found = found.unionByName(opened(bounded, F.slice("visits", FIRST + 1, F.greatest(F.size("visits") - FIRST, F.lit(0)))))
+    best = found.groupBy("query", "node", "first").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "first")
-    best = best.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k + 1)
+    # only the nearest of all leaves a query opens go for their ids
+    best = best.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k + 1).drop("at", "first").join(nodes.select("node", "ids"), "node")
     near = asked.select(F.col("id").alias("query_id"), F.col("row").alias("own"), F.col("node").alias("query")).join(best, "query")
     near = near.select("query_id", "own", F.explode("ids").alias("other"), "score").where("other.row <> own").select("query_id", "own", F.col("other.id").alias("vec_id"), "other.row", "score")
     ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("own").orderBy(F.desc("score"), "vec_id", "row")).cast("int"))

@@ -1,6 +1,7 @@
 """Vector near-duplicates and nearest neighbours against brute force."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,21 @@ def test_recall_on_the_table(spark):
         hits += len({r["vec_id"] for r in found if r["query_id"] == ids[i]} & set(ids[np.argsort(-score)[:5]].tolist()))
         total += 5
     assert hits / total >= 0.9
+
+
+def test_only_the_nearest_go_for_their_ids(spark, clustered):
+    plan = rp_forest.nearest(table(spark, clustered), F.col("vec_id") % 20 == 0)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join Inner, (node"):]  # what the rows that meet the ids are made of
+    assert "row_number()" in below
+
+
+def test_leaves_opened_later_return_only_what_may_be_nearest():
+    draw = np.random.Generator(np.random.PCG64(7))
+    x = draw.standard_normal((30, 8))
+    unit = pd.DataFrame({"member": [i > 0 for i in range(30)], "node": range(30), "first": range(30), "vector": list(x), "least": -2.0})
+    whole = rp_forest._scored(5)(unit)
+    assert len(whole) == 6
+    unit["least"] = whole["score"].iloc[2]
+    assert rp_forest._scored(5)(unit).equals(whole.iloc[:3])
+    unit["least"] = 2.0
+    assert rp_forest._scored(5)(unit).empty
