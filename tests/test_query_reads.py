@@ -33,3 +33,12 @@ def test_first_transfers_writes_only_ids(spark, orders):
     assert len(ids) == len(set(ids)) == 8
     written = [df.columns for (app, folder, name), df in t._staged.items() if folder == orders and "event" in name]
     assert written == [["id"]]
+
+
+def test_commands_are_dealt_over_more_tasks_than_cores(spark, orders):
+    day = datetime.datetime(2024, 1, 1)
+    spark.createDataFrame([(i, day, 1 + i % 2, "view", 1.25) for i in range(20)], "event_id long, ts timestamp, user_id long, event_type string, value double"
+                          ).coalesce(1).write.parquet(f"{orders}/events.parquet")
+    log = t.command_log(spark, orders)
+    assert log.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    assert sorted(r["offset"] for r in log.collect()) == list(range(20))
