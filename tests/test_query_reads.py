@@ -4,7 +4,7 @@ import datetime
 
 import pytest
 
-from ledgerweave.plans import stream_queries
+from ledgerweave.plans import inputs, stream_queries
 from ledgerweave.sources import tables as t
 
 
@@ -35,6 +35,17 @@ def test_first_transfers_writes_only_ids(spark, orders):
     assert written == [["id"]]
 
 
+def test_reconcile_ranges_writes_only_timestamps_of_changes(spark, orders):
+    spark.createDataFrame([(1, 0), (2, 1)], "s_suppkey long, s_nationkey int").write.parquet(f"{orders}/supplier.parquet")
+    assert stream_queries.reconcile_ranges(spark, orders).collect() == []
+    times = t._staged[spark.sparkContext.applicationId, orders, "change_times"]
+    # the wide change events are not written
+    assert times.columns == ["timestamp"] and times.count() > 0
+    assert (spark.sparkContext.applicationId, orders, "changes") not in t._staged
+    wide = inputs.changes(spark, orders).select("timestamp")
+    assert sorted(r[0] for r in times.collect()) == sorted(r[0] for r in wide.collect())
+
+
 def test_commands_are_dealt_over_more_tasks_than_cores(spark, orders):
     day = datetime.datetime(2024, 1, 1)
     spark.createDataFrame([(i, day, 1 + i % 2, "view", 1.25) for i in range(20)], "event_id long, ts timestamp, user_id long, event_type string, value double"
