@@ -118,9 +118,10 @@ def running_balances(spark, sf):
 SELECT count(DISTINCT id) AS sent, 0 AS lost, (SELECT sum(amt) FROM (SELECT amt FROM ev QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq) = 1))::VARCHAR AS total FROM ev""")
 def no_loss_no_double(spark, sf):
     """Post the stream twice over: every id is there once, and the total is that of the first copies."""
-    events = t.ledger_events(spark, sf)
+    # several steps read the events and two the first copies: of both only what they read is written, once
+    events = t.staged(spark, sf, "sent", lambda s, d: t.ledger_events(s, d).select("seq", "id", "amount"))
     replayed = events.unionByName(events.withColumn("seq", F.expr("seq + 1000000000000000")))
-    applied = posting.first_copies(replayed)
+    applied = t.staged(spark, sf, "applied_once", lambda s, d: posting.first_copies(replayed).select("id", "amount"))
     lost = events.select("id").distinct().join(applied.select("id"), "id", "left_anti")
     total = applied.agg(F.count("*").alias("sent"), F.expr(u128.sum_limbs("amount")).alias("s"))
     return total.selectExpr("'k' as k", "sent", f"{u128.digits('s')} as total").join(

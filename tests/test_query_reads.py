@@ -4,7 +4,7 @@ import datetime
 
 import pytest
 
-from ledgerweave.plans import inputs, stream_queries
+from ledgerweave.plans import inputs, posting_queries, stream_queries
 from ledgerweave.sources import tables as t
 
 
@@ -53,3 +53,14 @@ def test_commands_are_dealt_over_more_tasks_than_cores(spark, orders):
     log = t.command_log(spark, orders)
     assert log.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
     assert sorted(r["offset"] for r in log.collect()) == list(range(20))
+
+
+def test_no_loss_no_double_writes_its_events_and_first_copies_once(spark, orders):
+    (row,) = posting_queries.no_loss_no_double(spark, orders).collect()
+    assert (row["sent"], row["lost"]) == (8, 0)
+    app = spark.sparkContext.applicationId
+    sent, applied = t._staged[app, orders, "sent"], t._staged[app, orders, "applied_once"]
+    # the line item that is there twice comes with a place of its own and is applied once
+    assert sent.columns == ["seq", "id", "amount"] and sent.count() == 9
+    assert applied.columns == ["id", "amount"] and applied.count() == 8
+    assert int(row["total"]) == sum(r["amount"]["hi"] * 10**18 + r["amount"]["lo"] for r in applied.collect())
