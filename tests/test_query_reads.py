@@ -1,6 +1,7 @@
 """What queries write of the tables they derive."""
 
 import datetime
+import os
 
 import pytest
 
@@ -64,3 +65,11 @@ def test_no_loss_no_double_writes_its_events_and_first_copies_once(spark, orders
     assert sent.columns == ["seq", "id", "amount"] and sent.count() == 9
     assert applied.columns == ["id", "amount"] and applied.count() == 8
     assert int(row["total"]) == sum(r["amount"]["hi"] * 10**18 + r["amount"]["lo"] for r in applied.collect())
+
+
+def test_topic_of_a_stream_that_reads_times_holds_no_bodies(spark, orders):
+    if not os.path.exists(f"{orders}/supplier.parquet"):
+        spark.createDataFrame([(1, 0), (2, 1)], "s_suppkey long, s_nationkey int").write.parquet(f"{orders}/supplier.parquet")
+    seen = sorted(r["timestamp"] for r in stream_queries.stream_deduplicated(spark, orders).collect())
+    assert seen == sorted(r["timestamp"] for r in inputs.changes(spark, orders).collect())
+    assert t._staged[spark.sparkContext.applicationId, orders, "topic"].columns == ["topic", "partition", "offset", "timestamp"]
