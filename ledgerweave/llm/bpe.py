@@ -3,8 +3,10 @@
 A rolling hash over the last four bytes decides after which white space a text
 is cut, so equal passages are cut alike wherever they stand. Each task encodes a
 chunk once, whatever the number of its documents that share it, into a store of
-bounded size; nothing is shuffled. A document's ids are its chunks' ids one
-after another. Every kind of join (the two characters that meet) is tried when
+bounded size; nothing is shuffled. New chunks of plain letters, digits and signs
+share a second store, of the pieces that the tokenizer's own splitting makes of
+them: only new pieces go through the merges. A document's ids are its chunks' ids
+one after another. Every kind of join (the two characters that meet) is tried when
 it first occurs, by encoding the two chunks as one text; where that disagrees,
 chunks are merged with their neighbours and encoded again until the ids on both
 sides agree.
@@ -16,6 +18,8 @@ empty and have no ids. Columns of the input named like a result are replaced.
 
 from __future__ import annotations
 
+import json
+import re
 from array import array
 
 import numpy as np
@@ -26,9 +30,24 @@ from ledgerweave.llm.common import Shared, batches_of, ship, vectorised, without
 
 ship(__name__)
 
-#: Chunks a task keeps, about; beyond it the store is emptied.
+#: Chunks a task keeps, about, and pieces; beyond it the store is emptied.
 KEPT = 400_000
 
+#: The preparation of texts whose pieces ``Encoder`` finds by itself in plain chunks; those of other tokenizers are encoded whole.
+_PREPARED = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed",
+         "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+#: Printable ASCII without "<", where added tokens begin, white space, and the letters U+00C0 to U+00FF: nothing here is composed.
+_PLAIN = re.compile(rb"(?:[\t-\r -;=-~]++|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*+")
+#: The pattern of ``_PREPARED`` on plain chunks in lower case, with "<" between them.
+_PIECES = re.compile("<|'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\t-\r 0-9<a-z\xdf-\xf6\xf8-\xff]+")
+
+
 
 def cut(text: str) -> tuple[bytes, list[int], np.ndarray]:
     """The text as UTF-8, where its chunks end, and the kind of each join: the last byte before it and
@@ -67,12 +86,19 @@ class Encoder:
         import os
 
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
         self.tokenizer = Tokenizer.from_str(self.definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.store: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        spelled = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = {c: spelled(chr(c))[0][0] for c in range(0xC0, 0x100)}  # as the merges know them
+        known = json.loads(self.definition)
+        self.plain = all(known.get(k) == v for k, v in _PREPARED.items()) and not known.get("post_processor") and all(
+            t["content"].startswith("<") and not t["normalized"] for t in known["added_tokens"])
         self.joins: dict[int, bool] = {}
         return self
 
@@ -82,6 +108,30 @@ class Encoder:
         return [array("i", e.ids).tobytes() for i in range(0, len(texts), 2000)
                 for e in batch(texts[i:i + 2000], add_special_tokens=False)]
 
+    def _new(self, raw: list[bytes]) -> list[bytes]:
+        """Ids of chunks that are not in the store: of plain ones piece by piece, of others whole."""
+        if not self.plain:
+            return self.whole(raw)
+        plain = raw if _PLAIN.fullmatch(b" ".join(raw)) else [r for r in raw if _PLAIN.fullmatch(r)]
+        if not plain:
+            return self.whole(raw)
+        found = _PIECES.findall(b"<".join(plain).decode().lower())
+        if len(self.pieces) > KEPT:
+            self.pieces.clear()
+        pieces, merge = self.pieces, self.tokenizer.model.tokenize
+        for p in set(found).difference(pieces):
+            pieces[p] = array("i", [t.id for t in merge(p if p.isascii() else p.translate(self.letters))]).tobytes()
+        pieces["<"] = array("i", [-1]).tobytes()
+        ids = b"".join(map(pieces.__getitem__, found))
+        ends = (np.flatnonzero(np.frombuffer(ids, np.int32) == -1) * 4).tolist()
+        of = [ids[a + 4:b] for a, b in zip([-4, *ends], [*ends, len(ids)], strict=True)]
+        if len(plain) == len(raw):
+            return of
+        known = dict(zip(plain, of, strict=True))
+        others = [r for r in raw if r not in known]
+        known.update(zip(others, self.whole(others), strict=True))
+        return [known[r] for r in raw]
+
     def _agrees(self, left: bytes, right: bytes) -> bool:
         """Whether the join leaves the ids of both sides as they are."""
         a, b, both = self.whole([left, right, left + right])
@@ -97,7 +147,7 @@ class Encoder:
             self.store.clear()
         store = self.store
         new = list(set().union(*pieces).difference(store))
-        store.update(zip(new, self.whole(new), strict=True))
+        store.update(zip(new, self._new(new), strict=True))
         out = []
         for found, kind in zip(pieces, kinds, strict=True):
             some, where = np.unique(kind, return_index=True)

@@ -253,6 +253,21 @@ def test_chunks_are_cut_by_content_and_repair_reaches_agreement(tokenizer):
     assert np.frombuffer(encoder._repaired(pieces, wrong), np.int32).tolist() == ids
 
 
+def test_plain_chunks_go_through_the_tokenizer_piece_by_piece(tokenizer, monkeypatch):
+    """Only joins are tried by whole texts; new chunks need merges for new pieces alone (op7: 1,280 CPU seconds a GB, budget 900)."""
+    with open(queries.tokenizer_path(), encoding="utf-8") as f:
+        encoder = bpe.Encoder(f.read()).open()
+    whole, sent = encoder.whole, []
+    monkeypatch.setattr(encoder, "whole", lambda raw: sent.extend(raw) or whole(raw))
+    plain = [f"Word{i} don't CAFÉ-{i % 7}, naïve x{i}\tÿ. I'LL? " for i in range(300)]
+    odd = ["a < b <|endoftext|>c ", "e ́ x\x1cy z ", "１２ 日本 ", "ſ K İ Σ ", "a\x85b ½ ", "", " \n"]
+    for texts in (plain, odd, plain + odd, []):
+        got = encoder.encode(texts)
+        assert [x.tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        if texts is plain:
+            assert len(sent) < 200 < len(encoder.store)  # joins of a few kinds
+
+
 # -- all of them -----------------------------------------------------------------------------------
 
 OPERATORS = {
