@@ -40,6 +40,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if not mark[0] or mark == before:
             break
         before = mark
-        links = stage(_towards_least(_towards_least(links, small=False), small=True), "links")
+        for small in (False, True):  # both read their links twice, so each is written
+            links = stage(_towards_least(links, small), "links")
     roots = links.select(F.col("other").alias("node"), F.col("other").alias("component")).distinct()
     return links.select("node", F.col("other").alias("component")).union(roots)

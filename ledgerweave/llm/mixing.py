@@ -66,7 +66,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     """``cells`` (the dimensions, tokens) with weight: tokens raked to the target shares of each
     dimension. ``targets``: for each dimension a table (dimension, share); values it leaves out get weight 0.
 
-    Both the cells and the marginals may be large: each step is a partial aggregate and a join.
+    Both the cells and the marginals may be large: each step is a partial aggregate and a join. Each is written,
+    as its rows are read twice by the next one: plans that held several would double with each.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     raked = cells.withColumn("weight", F.col("tokens").cast("double"))
@@ -76,8 +77,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
             margin = raked.groupBy(d).agg(F.sum("weight").alias("margin"))
             factor = margin.join(target, d, "left").select(
                 d, F.when(F.col("margin") > 0, F.coalesce("share", F.lit(0.0)) * total / F.col("margin")).otherwise(0.0).alias("factor"))
-            raked = raked.join(factor, d).select(*cells.columns, (F.col("weight") * F.col("factor")).alias("weight"))
-        raked = stage(raked, "mix-round")
+            raked = stage(raked.join(factor, d).select(*cells.columns, (F.col("weight") * F.col("factor")).alias("weight")), "mix-step")
     return raked
 
 

@@ -221,6 +221,26 @@ def test_mixing_keeps_every_row_and_the_same_ids(spark, odd_docs):
     assert all(len(v) == 1 for v in by_row.values())
 
 
+def test_plans_of_rounds_stay_small(spark, monkeypatch):
+    """Each step of the rounds is written: a plan of several doubles with each, and the driver's memory with it (pipeline: over 1,500 MB)."""
+    from ledgerweave.llm import components
+
+    plans, written = [], components.stage
+
+    def stage(df, label="stage"):
+        plans.append(df._jdf.queryExecution().analyzed().toString().count("Join "))
+        return written(df, label)
+
+    monkeypatch.setattr(components, "stage", stage)
+    monkeypatch.setattr(mixing, "stage", stage)
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(50, 51), (None, 3)], "a long, b long")
+    found = dict(components.components(links).collect())
+    assert found == {**{i: 0 for i in range(41)}, 50: 50, 51: 50} and max(plans) <= 1
+    cells = spark.createDataFrame([("a", "x", 0, 5), ("b", "x", 1, 7), ("b", "y", 0, 1)], "source string, lang string, topic int, tokens long")
+    raked = mixing.rake(cells, {d: mixing.tempered(cells, d) for d in mixing.DIMENSIONS}, rounds=2)
+    assert raked.count() == 3 and max(plans) <= 2
+
+
 # -- encoding --------------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
