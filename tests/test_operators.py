@@ -119,3 +119,65 @@ def test_missing_values_do_not_depend_on_buckets(spark):
     want = {0: None, 1: None, 2: 2, 3: 5, 4: 5, 5: 5, 6: 11, 7: 18, 8: 26, 9: 26, 10: 36, 11: 47}
     for size in (1, 2, 4, 100):
         assert {r.o: r.s for r in running_sums(df, ["k"], "o", {"s": "x"}, bucket=f"o div {size}").collect()} == want
+
+
+def test_totals_are_made_of_hot_keys_only(spark, monkeypatch):
+    """A key of few rows is one bucket: its rows move once, and nothing is joined to them."""
+    from ledgerweave.operators import scan
+
+    rows = [(f"k{i % 50}", i, i % 9) for i in range(1000)]
+    df = spark.createDataFrame([*rows, (None, 5000, 1)], "k string, o bigint, x int")
+    sums, want = {}, {}
+    for k, o, x in rows:
+        sums[k] = sums.get(k, 0) + x
+        want[o] = sums[k]
+    small = running_sums(df, ["k"], "o", {"s": "x"})
+    assert "Join" not in small._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.o: r.s for r in small.collect()} == want  # a row without a key is left out, as ever
+    monkeypatch.setattr(scan, "BUCKET", 30)
+    hot = [("hot", o, 1) for o in range(2000, 2400)]
+    want |= {o: i + 1 for i, (_, o, _) in enumerate(hot)}
+    mixed = df.unionByName(spark.createDataFrame([*hot, ("hot", None, 7)], "k string, o bigint, x int"))
+    facts = spark.createDataFrame([("hot", 1), ("k3", 2), ("none", 3)], "k string, f int")
+    got = running_sums(mixed, ["k"], "o", {"s": "x"}, facts=facts).collect()
+    want = {o: s + 7 if o >= 2000 else s for o, s in want.items()} | {None: 7}  # a row without a place comes first
+    assert {r.o: r.s for r in got} == want
+    assert {(r.k, r.f) for r in got} == {("hot", 1), *((f"k{i}", 2 if i == 3 else None) for i in range(50))}
+
+
+def test_no_shuffle_files_stay_behind_a_written_step(spark):
+    import time
+
+    from ledgerweave.session import configure, stage
+
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        every = files.getAllFiles()
+        return {name for name in (every.apply(i).getName() for i in range(every.size())) if name.startswith("shuffle_")}
+
+    before = shuffled()
+    summed = configure(spark).range(10000).selectExpr("id % 100 as k", "id").groupBy("k").sum("id")
+    assert stage(summed).count() == 100
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert len(summed.collect()) == len(summed.collect()) == 100  # the same frame again makes them again
+
+
+@pytest.mark.parametrize("hi,lo", [(0, 7), (0, 10**18 - 1), (3, 5)])
+def test_balances_of_any_size_are_exact(spark, hi, lo):
+    from ledgerweave.operators import balances
+
+    amount = "struct<hi:decimal(22,0),lo:decimal(19,0)>"
+    legs = spark.range(30).selectExpr(
+        "id as seq", "cast(id as string) as id", f"cast(named_struct('hi', 0, 'lo', 0) as {amount}) as pending",
+        f"cast(named_struct('hi', {hi}, 'lo', {lo}) as {amount}) as booked",
+        "inline(array(named_struct('side', 'debit', 'account_id', 'a'), named_struct('side', 'credit', 'account_id', 'b')))")
+    assert balances._fits_long(legs) == (hi == 0 and lo == 7)
+    got = {(r.side, r.seq): (int(r.debits_posted.hi) * 10**18 + int(r.debits_posted.lo), int(r.credits_posted.hi) * 10**18 + int(r.credits_posted.lo))
+           for r in balances.running_balances(legs).collect()}
+    each = hi * 10**18 + lo
+    assert got == {(side, s): ((s + 1) * each, 0) if side == "debit" else (0, (s + 1) * each) for s in range(30) for side in ("debit", "credit")}
