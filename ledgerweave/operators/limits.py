@@ -283,8 +283,9 @@ def _checks(legs: DataFrame) -> DataFrame:
     totals = legs.groupBy("account", "place").agg(*[F.expr(f"sum({e})").alias(n) for n, e in ends.items()])
     before = Window.partitionBy("account").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("account", "place", *[F.coalesce(F.sum(n).over(before), F.lit(0)).cast("decimal(38,0)").alias(n) for n in ends])
-    carried = legs.join(starts, ["account", "place"]).select(*_CARRIED)
-    carried = carried.repartition("account", "place").sortWithinPartitions("account", "place", "seq", "name")
+    # a number along every bucket keeps each whole and in order in one task; a mere repartition may give way to the join's own layout
+    along = Window.partitionBy("account", "place").orderBy("seq", "name")
+    carried = legs.join(starts, ["account", "place"]).withColumn("nth", F.row_number().over(along)).select(*_CARRIED, "nth")
     checks = carried.mapInPandas(_shipped(_carried), "seq bigint, name string, passed boolean, failed boolean")
     return checks.groupBy("seq").agg(
         F.expr("bool_and(passed)").alias("enough"),

@@ -155,3 +155,33 @@ def test_reject_then_smaller_debit(spark):
     outcomes = posting.outcomes(frame(spark, rows), out)
     again = outcomes.filter("seq = 7").first()
     assert (again.status, again.error) == ("rejected", "exceeds_credits")
+
+
+def test_a_bucket_stays_whole_whatever_join_brings_its_start(spark):
+    """Big tables by their estimates, small ones once they have run: the join may change, the carried order may not."""
+    from ledgerweave.session import stage
+
+    zero = "cast(0 as decimal(32,0))"
+    legs = stage(spark.range(1, 201, numPartitions=8).repartition(8).selectExpr(
+        "'d' as account", "id as seq", "-id as chain_key", "0 as status", "'debit' as name", "true as checked", "true as sole", "false as sure",
+        "cast(0 as decimal(22,0)) as e_hi", "cast(-10 as decimal(19,0)) as e_lo", "cast(0 as decimal(21,0)) as a_hi", "cast(10 as decimal(18,0)) as a_lo",
+        f"{zero} as r_hi", "cast(1000 as decimal(32,0)) as r_lo", "0L as place"))
+    settings = {"spark.sql.sources.fileCompressionFactor": "1e9", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.openCostInBytes": str(1 << 27)}
+    known = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, value in settings.items():
+            spark.conf.set(k, value)
+        got = {r.seq: (r.enough, r.over) for r in limits._checks(legs).collect()}
+    finally:
+        for k, value in known.items():
+            spark.conf.set(k, value)
+    assert got == {s: (s <= 100, None if s <= 100 else "exceeds_credits") for s in range(1, 201)}
+
+
+def test_a_verdict_is_sent_to_every_task_only_where_its_rows_are_few(spark):
+    """Estimates count rows as they are in memory, not as their files are compressed."""
+    from ledgerweave.session import configure, stage
+
+    verdicts = stage(configure(spark).range(400_000).selectExpr("id as _s", "cast(id % 3 as int) as _now", "id % 2 = 0 as done").coalesce(1), "verdicts")
+    legs = stage(spark.range(800_000).selectExpr("id div 2 as seq", "uuid() as account").coalesce(1), "legs")
+    assert "Broadcast" not in legs.join(verdicts, F.expr("seq = _s"))._jdf.queryExecution().executedPlan().toString()
