@@ -122,3 +122,16 @@ def test_a_window_is_written_from_its_own_files(spark):
     assert [(step, n) for step, n, _ in read] == [("rest", 2), ("closing", 1)] * 3
     files = [f for step, _, f in read if step == "rest"]
     assert all(f and not f & g for i, f in enumerate(files) for g in files[:i])
+
+
+def test_a_step_reads_its_own_files_and_layouts_encode_nothing(spark, monkeypatch):
+    read, laid = [], []
+    named = cdc.named
+    monkeypatch.setattr(cdc, "named", lambda events, *more: laid.append(events._jdf.queryExecution().analyzed().toString()) or named(events, *more))
+    publish.publish_windows(changes(spark, [*range(1, 8)]), 0, 3, REG.ledger_table(spark), REG.code_table(spark), "t",
+                            lambda records, step: read.append((step, sorted(r[0] for r in records.select("event_timestamp").collect()), set(records.inputFiles()))), lambda _: None)
+    assert [(step, t) for step, t, _ in read] == [("rest", [1, 2]), ("closing", [3]), ("rest", [4, 5]), ("closing", [6]), ("rest", []), ("closing", [7])]
+    files = [f for _, t, f in read if t]
+    assert all(f and not f & g for i, f in enumerate(files) for g in files[:i])
+    # events reach the encoder in the order and place they are written in
+    assert len(laid) == 1 and "RepartitionByExpression" in laid[0]
